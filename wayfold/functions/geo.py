@@ -46,33 +46,47 @@ def _xi0() -> float:
 _M0 = K0 * _rect * _xi0()
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value worked out once: a one-element transform binds it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def to_metres(lon: Column, lat: Column) -> Column:
     """Struct(x, y) in EPSG:5179 of WGS84 degrees: Krueger's series to the fourth order (sub-millimetre)."""
-    phi, lam = F.radians(lat), F.radians(lon) - math.radians(LON0)
-    s = F.sin(phi)
-    t = F.sinh(F.atanh(s) - F.lit(_e) * F.atanh(F.lit(_e) * s))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.asinh(F.sin(lam) / F.sqrt(t * t + F.cos(lam) * F.cos(lam)))
-    x, y = eta, xi
-    for j, a in enumerate(_alpha, 1):
-        x = x + F.lit(a) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y + F.lit(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return F.struct((F.lit(FE) + F.lit(K0 * _rect) * x).alias("x"), (F.lit(FN) + F.lit(K0 * _rect) * y - F.lit(_M0)).alias("y"))
+    def angles(p: Column) -> Column:
+        s = F.sin(p.phi)
+        return F.struct(F.sinh(F.atanh(s) - F.lit(_e) * F.atanh(F.lit(_e) * s)).alias("t"), F.sin(p.lam).alias("s"), F.cos(p.lam).alias("c"))
+
+    def series(q: Column) -> Column:
+        x, y = q.eta, q.xi
+        for j, a in enumerate(_alpha, 1):
+            x = x + F.lit(a) * F.cos(2 * j * q.xi) * F.sinh(2 * j * q.eta)
+            y = y + F.lit(a) * F.sin(2 * j * q.xi) * F.cosh(2 * j * q.eta)
+        return F.struct((F.lit(FE) + F.lit(K0 * _rect) * x).alias("x"), (F.lit(FN) + F.lit(K0 * _rect) * y - F.lit(_M0)).alias("y"))
+
+    start = F.struct(F.radians(lat).alias("phi"), (F.radians(lon) - F.lit(math.radians(LON0))).alias("lam"))
+    turned = lambda q: F.struct(F.atan2(q.t, q.c).alias("xi"), F.asinh(q.s / F.sqrt(q.t * q.t + q.c * q.c)).alias("eta"))
+    return let(let(let(start, angles), turned), series)
 
 
 def to_degrees(x: Column, y: Column) -> Column:
     """Struct(lon, lat) in WGS84 of EPSG:5179 metres."""
-    xi = (y - F.lit(FN) + F.lit(_M0)) / F.lit(K0 * _rect)
-    eta = (x - F.lit(FE)) / F.lit(K0 * _rect)
-    xp, ep = xi, eta
-    for j, b in enumerate(_beta, 1):
-        xp = xp - F.lit(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        ep = ep - F.lit(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(xp) / F.cosh(ep))
-    phi = chi
-    for j, d in enumerate(_delta, 1):
-        phi = phi + F.lit(d) * F.sin(2 * j * chi)
-    return F.struct(F.degrees(F.lit(math.radians(LON0)) + F.atan2(F.sinh(ep), F.cos(xp))).alias("lon"), F.degrees(phi).alias("lat"))
+    def back(q: Column) -> Column:
+        xp, ep = q.xi, q.eta
+        for j, b in enumerate(_beta, 1):
+            xp = xp - F.lit(b) * F.sin(2 * j * q.xi) * F.cosh(2 * j * q.eta)
+            ep = ep - F.lit(b) * F.cos(2 * j * q.xi) * F.sinh(2 * j * q.eta)
+        return F.struct(xp.alias("xp"), ep.alias("ep"))
+
+    def series(q: Column) -> Column:
+        phi = q.chi
+        for j, d in enumerate(_delta, 1):
+            phi = phi + F.lit(d) * F.sin(2 * j * q.chi)
+        return F.struct(F.degrees(F.lit(math.radians(LON0)) + q.lam).alias("lon"), F.degrees(phi).alias("lat"))
+
+    start = F.struct(((y - F.lit(FN) + F.lit(_M0)) / F.lit(K0 * _rect)).alias("xi"), ((x - F.lit(FE)) / F.lit(K0 * _rect)).alias("eta"))
+    turned = lambda q: F.struct(F.asin(F.sin(q.xp) / F.cosh(q.ep)).alias("chi"), F.atan2(F.sinh(q.ep), F.cos(q.xp)).alias("lam"))
+    return let(let(let(start, back), turned), series)
 
 
 def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius: float = RADIUS_M) -> Column:

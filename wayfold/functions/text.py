@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wayfold.functions.geo import let
+
 NUMBER = r"[+-]?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
 POINT_TEXT = rf"(?i)^\s*(?:SRID\s*=\s*4326\s*;)?\s*POINT\s*\(\s*({NUMBER})\s+({NUMBER})\s*\)\s*$"
 
@@ -51,9 +53,9 @@ def _within(lon: Column, lat: Column) -> Column:
 
 def point_lon_lat(c: Column) -> Column:
     """Struct(lon, lat) of a WKT or EWKT point in Korean bounds; null for anything else."""
-    lon = F.nullif(F.regexp_extract(c, POINT_TEXT, 1), F.lit("")).try_cast("double")
-    lat = F.nullif(F.regexp_extract(c, POINT_TEXT, 2), F.lit("")).try_cast("double")
-    return F.when(_within(lon, lat), F.struct(lon.alias("lon"), lat.alias("lat")))
+    two = F.split(F.regexp_replace(F.when(c.rlike(POINT_TEXT), c), POINT_TEXT, "$1 $2"), " ")
+    xy = let(two, lambda t: F.struct(F.get(t, F.lit(0)).try_cast("double").alias("lon"), F.get(t, F.lit(1)).try_cast("double").alias("lat")))
+    return let(xy, lambda p: F.when(_within(p.lon, p.lat), p))
 
 
 def valid_lat_lng(lat: Column, lng: Column) -> Column:

@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wayfold.plans.runtime import materialize
+
 
 @dataclass(frozen=True)
 class StateDomain:
@@ -135,7 +137,7 @@ def divergence(df: DataFrame, loads: DataFrame, domains: Sequence, load: str) ->
     no rounding decides a case on a limit. The value distance is computed on masks that keep domain
     values apart: a value of a state domain is its own mask.
     """
-    counts = value_counts(df, domains, load)
+    counts = materialize(value_counts(df, domains, load))  # one row a load, column and distinct value: the table is read once
     states = [d.column for d in domains if not d.number]
     is_state = F.col("column_name").isin(*states) if states else F.lit(False)
     flat = counts.groupBy("load_id", "column_name").agg(F.sum("n").alias("rows_n"), F.sum(F.when(F.col("blank"), F.col("n")).otherwise(0)).alias("blank_n"), F.sum(F.when(F.col("in_domain"), F.col("n")).otherwise(0)).alias("dom_n"))

@@ -55,8 +55,8 @@ _NUM = r"[+-]?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?"
 _DOM = {
     "slope_state": "slope_state in ('FLAT','MODERATE','STEEP','RISK','UNKNOWN')",
     "surface_state": "surface_state in ('PAVED','UNPAVED','UNKNOWN')",
-    "avg_slope_percent": r"regexp_full_match(avg_slope_percent, '[0-9]+(\.[0-9]{1,2})?') and avg_slope_percent::decimal(18,2) between 0 and 100",
-    "width_meter": r"regexp_full_match(width_meter, '[0-9]+(\.[0-9]{1,2})?') and width_meter::decimal(18,2) between 0 and 30",
+    "avg_slope_percent": r"regexp_full_match(avg_slope_percent, '[0-9]+(\.[0-9]{1,2})?') and try_cast(avg_slope_percent as decimal(18,2)) between 0 and 100",
+    "width_meter": r"regexp_full_match(width_meter, '[0-9]+(\.[0-9]{1,2})?') and try_cast(width_meter as decimal(18,2)) between 0 and 30",
 }
 
 
