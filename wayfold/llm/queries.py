@@ -2,17 +2,41 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wayfold.llm import groups
-from wayfold.plans.runtime import table
+from wayfold.llm import groups, packing, tokens
+from wayfold.plans.runtime import materialize, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.consolidate(table(spark, sf_dir, "node_match_pairs"), "from_node_id", "canonical_node_id")
 
 
-QUERIES = {"p1_found": p1_found}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(table(spark, sf_dir, "documents"))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> list[tuple[str, int, DataFrame]]:
+    sizes = materialize(tokens.count(table(spark, sf_dir, "documents")))
+    names = table(spark, sf_dir, "pack_capacities").where("capacity_tokens > 0").collect()  # a fixed table of three rows
+    return [(r["capacity_name"], r["capacity_tokens"], packing.pack(sizes, r["capacity_tokens"])) for r in sorted(names, key=lambda r: r["capacity_tokens"])]
+
+
+def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """capacity_name, container_id, doc_id, part_no, n_tokens: where every document is put, for every capacity."""
+    rows = [p.select(F.lit(name).alias("capacity_name"), "container_id", F.col("item_id").alias("doc_id"), "part_no", F.col("size").alias("n_tokens")) for name, _, p in _packed(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [packing.summary(p, c).select(F.lit(name).alias("capacity_name"), F.lit(c).cast("bigint").alias("capacity_tokens"), "*") for name, c, p in _packed(spark, sf_dir)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+QUERIES = {"p1_found": p1_found, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
 
 ORACLES = {
     "p1_found": """
