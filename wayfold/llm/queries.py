@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import groups, packing, tokens
+from wayfold.llm import groups, mojibake, packing, tokens
 from wayfold.plans.runtime import materialize, table
 
 
@@ -15,6 +15,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.consolidate(table(spark, sf_dir, "node_match_pairs"), "from_node_id", "canonical_node_id")
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.garbled_cells(table(spark, sf_dir, "places"), "place_id", ["name", "address"]).select("place_id", "field_name").distinct()
+
+
+def p7_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The garbled cells with the text as it was meant, null where it is lost."""
+    return mojibake.garbled_cells(table(spark, sf_dir, "places"), "place_id", ["name", "address"]).distinct()
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(table(spark, sf_dir, "documents"))
 
@@ -36,7 +45,7 @@ def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-QUERIES = {"p1_found": p1_found, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
+QUERIES = {"p1_found": p1_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
 
 ORACLES = {
     "p1_found": """
