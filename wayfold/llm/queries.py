@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import groups, mojibake, packing, tokens
+from wayfold.llm import address, groups, mojibake, packing, tokens
 from wayfold.plans.runtime import materialize, table
 
 
@@ -15,6 +15,16 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.consolidate(table(spark, sf_dir, "node_match_pairs"), "from_node_id", "canonical_node_id")
 
 
+def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = address.parsed(table(spark, sf_dir, "places"), "place_id", "address")
+    removed = address.parsed(table(spark, sf_dir, "facility_priority_manual_removed_applied"), "removed_id", "public_facility_address")
+    return materialize(places.unionByName(removed))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return address.same_building(_addresses(spark, sf_dir))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.garbled_cells(table(spark, sf_dir, "places"), "place_id", ["name", "address"]).select("place_id", "field_name").distinct()
 
@@ -45,7 +55,7 @@ def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-QUERIES = {"p1_found": p1_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
+QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
 
 ORACLES = {
     "p1_found": """
