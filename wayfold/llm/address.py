@@ -117,12 +117,13 @@ def parsed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 # ---- expectation-maximisation over agreement patterns
 
 
-def em_weights(patterns: np.ndarray, counts: np.ndarray, match: list[list[float]], other: list[list[float]], prior: float = 0.1, strength: float = 10.0, rounds: int = 300) -> tuple[float, list[np.ndarray], list[np.ndarray]]:
+def em_weights(patterns: np.ndarray, counts: np.ndarray, match: list[list[float]], other: list[list[float]], prior: float = 0.1, strength: float = 10.0, anchored: tuple[int, ...] = (), rounds: int = 300) -> tuple[float, list[np.ndarray], list[np.ndarray]]:
     """Share of matches and, for each component, the levels' probabilities among matches and among others.
 
     patterns: rows of level numbers with their counts; match, other: first guesses of the levels'
     probabilities, which also count as so many observations (strength), so that a few patterns
-    cannot turn the classes round and levels that never occur stay possible.
+    cannot turn the classes round and levels that never occur stay possible. Components in anchored
+    keep the first guess among matches: they define what a match is.
     """
     k = len(match)
     m0, u0 = ([np.array(x, float) / sum(x) for x in start] for start in (match, other))
@@ -132,7 +133,7 @@ def em_weights(patterns: np.ndarray, counts: np.ndarray, match: list[list[float]
         new = float(np.clip(((g * counts).sum() + strength * 0.1) / (counts.sum() + strength), 1e-5, 0.999))
         m = [np.bincount(patterns[:, j], weights=g * counts, minlength=len(m0[j])) + strength * m0[j] for j in range(k)]
         u = [np.bincount(patterns[:, j], weights=(1 - g) * counts, minlength=len(u0[j])) + strength * u0[j] for j in range(k)]
-        m, u = [x / x.sum() for x in m], [x / x.sum() for x in u]
+        m, u = [m0[j] if j in anchored else x / x.sum() for j, x in enumerate(m)], [x / x.sum() for x in u]
         if abs(new - prior) < 1e-9:
             break
         prior = new

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import address, groups, mojibake, packing, tokens
+from wayfold.llm import address, entities, groups, mojibake, packing, tokens
 from wayfold.plans.runtime import materialize, table
 
 
@@ -15,6 +15,35 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.consolidate(table(spark, sf_dir, "node_match_pairs"), "from_node_id", "canonical_node_id")
 
 
+def _facility_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Removed facilities and remove candidates in the form that entities.match takes."""
+    r = table(spark, sf_dir, "facility_priority_manual_removed_applied").where("removed_id is not null").drop("ingested_at", "removed_at").dropDuplicates(["removed_id"])
+    c = table(spark, sf_dir, "facility_priority_manual_remove_candidates").where("candidate_id is not null").dropDuplicates(["candidate_id"])
+    parts = [address.parsed(df, key, col) for df, key, col in ((r, "removed_id", "public_facility_address"), (r, "removed_id", "address"), (c, "candidate_id", "address"))]
+    places = address.buildings(materialize(reduce(DataFrame.unionByName, parts)))
+    found = places.groupBy("record_id").agg(F.collect_set("building").alias("buildings"), F.min("road").alias("road"))  # two addresses a record at most
+    empty = F.array().cast("array<string>")
+
+    def side(df: DataFrame, key: str, names: list[str], category: str, metres: str) -> DataFrame:
+        rest = df.select(F.col(key).alias("record_id"), F.col("district_gu").alias("district"), F.col(category).alias("category"), F.col(metres).alias("metres"))
+        return entities.described(df, key, names).drop("pieces").join(rest, "record_id").join(found, "record_id", "left").withColumn("buildings", F.coalesce("buildings", empty))
+
+    return side(r, "removed_id", ["name", "public_facility_name"], "db_category", "case_kakao_distance_m"), side(c, "candidate_id", ["kakao_place_name", "name", "poi_name"], "db_category", "kakao_distance_m")
+
+
+def _facility_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.match(*_facility_sides(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.decide(_facility_marginals(spark, sf_dir)).select(F.col("left_id").alias("removed_id"), F.col("right_id").alias("candidate_id"))
+
+
+def p3_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every accepted pair with its marginal probability."""
+    return entities.decide(_facility_marginals(spark, sf_dir)).select(F.col("left_id").alias("removed_id"), F.col("right_id").alias("candidate_id"), F.round("probability", 6).alias("confidence"))
+
+
 def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = address.parsed(table(spark, sf_dir, "places"), "place_id", "address")
     removed = address.parsed(table(spark, sf_dir, "facility_priority_manual_removed_applied"), "removed_id", "public_facility_address")
@@ -55,7 +84,7 @@ def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
 
 ORACLES = {
     "p1_found": """
