@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import address, entities, groups, mojibake, packing, tokens
+from wayfold.llm import abuse, address, entities, groups, mojibake, packing, tokens
 from wayfold.plans.runtime import materialize, table
 
 
@@ -84,7 +84,27 @@ def p9_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary}
+def _abuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = abuse.trained(documents, table(spark, sf_dir, "document_labels"))
+    return abuse.scored(documents, model)
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _abuse(spark, sf_dir).where("found").select("doc_id").distinct()
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _abuse(spark, sf_dir).select("doc_id", "source", "language", F.round("score", 4).alias("score"), "found")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, findings and their share by source."""
+    per = _abuse(spark, sf_dir).groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("found").alias("n_found"))
+    return per.withColumn("rate", F.round(F.col("n_found") / F.col("n_docs"), 6))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_confidence": p3_confidence, "p5_found": p5_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_pack": p9_pack, "p9_summary": p9_summary, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 
 ORACLES = {
     "p1_found": """
