@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,10 +32,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def _clean() -> None:
+    """Remove the tables of a session that is still there when Python ends."""
+    for spark, path in _written:
+        try:
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        except Exception:  # the session ended first; the folder is the cluster's to clear
+            return
+
+
+atexit.register(_clean)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there; survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write df as a table in the shared checkpoint folder and go on from there.
+
+    Survives lost executors and cuts the lineage. A written table is preferred to checkpoint(),
+    whose result keeps the size estimate of the plan behind it: in loops that join a state with
+    itself that estimate squares every round, while a table has the size of its files, by which the
+    planner may also broadcast safely.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def salts_for(rows: int, per_task: int = 200_000) -> int:
