@@ -25,6 +25,8 @@ gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,45 +43,32 @@ def rank_chains(arcs: DataFrame) -> DataFrame:
     """
     a, b = arcs.alias("a"), arcs.alias("b")
     first = a.join(b, (F.col("b.v") == F.col("a.y")) & (F.col("b.y") == F.col("a.v")), "left")
-    state = materialize(
-        first.select(
-            F.col("a.v").alias("v"),
-            F.col("a.y").alias("y"),
-            F.when(F.col("b.other").isNotNull(), F.col("b.v")).alias("nv"),
-            F.col("b.other").alias("ny"),
-            F.when(F.col("b.v").isNull(), F.col("a.y")).alias("anchor"),
-            F.when(F.col("b.v").isNull(), F.col("a.v")).otherwise(F.least("a.v", "a.y")).alias("low"),
-        )
+    start = first.select(
+        F.col("a.v").alias("v"),
+        F.col("a.y").alias("y"),
+        F.when(F.col("b.other").isNotNull(), F.col("b.v")).alias("nv"),
+        F.col("b.other").alias("ny"),
+        F.when(F.col("b.v").isNull(), F.col("a.y")).alias("anchor"),
+        F.when(F.col("b.v").isNull(), F.col("a.v")).otherwise(F.least("a.v", "a.y")).alias("low"),
     )
-    parts = []
+    state = materialize(start)
+    done, going = [state.where("ny is null")], state.where("ny is not null")  # only arcs still going are written again
     going_before = -1
-    while True:
-        going = state.where("ny is not null")
-        n = going.count()
-        if n == 0:
-            parts.append(state)
-            break
-        s, t = state.alias("s"), state.alias("t")
-        doubled = s.join(t, (F.col("s.nv") == F.col("t.v")) & (F.col("s.ny") == F.col("t.y")), "left")
-        nxt = materialize(
-            doubled.select(
-                "s.v",
-                "s.y",
-                F.when(F.col("s.ny").isNotNull(), F.col("t.nv")).alias("nv"),
-                F.when(F.col("s.ny").isNotNull(), F.col("t.ny")).alias("ny"),
-                F.coalesce("s.anchor", "t.anchor").alias("anchor"),
-                F.least("s.low", "t.low").alias("low"),
-                F.coalesce(F.least("s.low", "t.low") < F.col("s.low"), F.lit(False)).alias("sank"),
-            )
-        )
+    while (n := going.count()) > 0:
+        s, t = going.alias("s"), reduce(DataFrame.unionByName, done, going).alias("t")
+        doubled = s.join(t, (F.col("s.nv") == F.col("t.v")) & (F.col("s.ny") == F.col("t.y")))
+        low = F.least("s.low", "t.low")
+        nxt = materialize(doubled.select("s.v", "s.y", "t.nv", "t.ny", "t.anchor", low.alias("low"), (low < F.col("s.low")).alias("sank")))
         # a chain with an end loses arcs in every round; if none was lost, only cycles are left, and
         # they are done once no low sinks: windows of equal low tile the whole cycle
-        if n == going_before and nxt.where("ny is not null and sank").isEmpty():
-            parts.append(nxt.drop("sank"))
-            break
+        still = n == going_before and nxt.where("ny is not null and sank").isEmpty()
         going_before = n
-        state = nxt.drop("sank")
-    return parts[0].select("v", "y", "anchor", "low")
+        nxt = nxt.drop("sank")
+        done.append(nxt if still else nxt.where("ny is null"))
+        if still:
+            break
+        going = nxt.where("ny is not null")
+    return reduce(DataFrame.unionByName, done).select("v", "y", "anchor", "low")
 
 
 def _strip(edges: DataFrame) -> tuple[DataFrame, DataFrame] | None:
