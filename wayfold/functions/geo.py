@@ -189,3 +189,45 @@ def morton(x: Column, y: Column) -> Column:
             v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
         return v
     return spread(x).bitwiseOR(F.shiftleft(spread(y), 1))
+
+
+def measured(points: Column) -> Column:
+    """Vertices with their distance along the line: array<struct(x, y, m)>."""
+    first = F.struct(points[0].x.alias("x"), points[0].y.alias("y"), F.lit(0.0).alias("m"))
+
+    def step(acc, p):
+        last = F.element_at(acc, -1)
+        return F.concat(acc, F.array(F.struct(p.x.alias("x"), p.y.alias("y"), (last.m + F.hypot(p.x - last.x, p.y - last.y)).alias("m"))))
+
+    return F.when(F.size(points) >= 1, F.aggregate(F.slice(points, F.lit(2), F.greatest(F.size(points) - 1, F.lit(0))), F.array(first), step))
+
+
+def interpolate(line: Column, m: Column) -> Column:
+    """Struct(x, y) at measure m of a measured line; ends are clamped."""
+    before = F.coalesce(F.element_at(F.filter(line, lambda p: p.m <= m), -1), line[0])
+    after = F.coalesce(F.get(F.filter(line, lambda p: p.m > m), F.lit(0)), F.element_at(line, -1))
+
+    def at(q: Column) -> Column:
+        t = F.when(q.b.m > q.a.m, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (q.m - q.a.m) / (q.b.m - q.a.m)))).otherwise(F.lit(0.0))
+        return F.struct((q.a.x + t * (q.b.x - q.a.x)).alias("x"), (q.a.y + t * (q.b.y - q.a.y)).alias("y"))
+
+    return let(F.struct(before.alias("a"), after.alias("b"), m.alias("m")), at)
+
+
+def substring(line: Column, start: Column, end: Column) -> Column:
+    """Part of a measured line between two measures, as array<struct(x, y)>."""
+    inner = F.transform(F.filter(line, lambda p: (p.m > start) & (p.m < end)), lambda p: F.struct(p.x.alias("x"), p.y.alias("y")))
+    return F.concat(F.array(interpolate(line, start)), inner, F.array(interpolate(line, end)))
+
+
+def without_repeats(points: Column) -> Column:
+    """Consecutive equal vertices once."""
+    return F.aggregate(points, F.slice(points, F.lit(1), F.lit(1)), lambda acc, p: F.when((F.element_at(acc, -1).x == p.x) & (F.element_at(acc, -1).y == p.y), acc).otherwise(F.concat(acc, F.array(p))))
+
+
+def leg_crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Struct(x, y) where leg a-b crosses leg c-d; null if they are parallel or do not meet."""
+    den = (b.x - a.x) * (d.y - c.y) - (b.y - a.y) * (d.x - c.x)
+    t = ((c.x - a.x) * (d.y - c.y) - (c.y - a.y) * (d.x - c.x)) / F.nullif(den, F.lit(0.0))
+    u = ((c.x - a.x) * (b.y - a.y) - (c.y - a.y) * (b.x - a.x)) / F.nullif(den, F.lit(0.0))
+    return F.when(t.between(0.0, 1.0) & u.between(0.0, 1.0), F.struct((a.x + t * (b.x - a.x)).alias("x"), (a.y + t * (b.y - a.y)).alias("y")))

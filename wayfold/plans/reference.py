@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.functions import geo, states, text
-from wayfold.operators import fuse, graph, nearest, quality_profile, rules
+from wayfold.operators import fuse, graph, nearest, quality_profile, repair, rules
 from wayfold.plans.core_problems import located_places
-from wayfold.plans.runtime import table
+from wayfold.plans.runtime import materialize, table
+from wayfold.sources import files
+from wayfold.streaming import flow
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -382,6 +384,93 @@ def quality_profile_all(spark, sf_dir):
     return quality_profile.profile(table(spark, sf_dir, "road_segments"), quality_profile.ROAD_DOMAINS, "load_id")
 
 
+# ---- connections between components, export
+
+
+def metric_nodes(spark, sf_dir):
+    """vertex_id, lon, lat, x, y of road nodes."""
+    n = table(spark, sf_dir, "road_nodes").select("vertex_id", text.point_lon_lat(F.col("point")).alias("p")).where("p is not null").distinct()
+    return n.select("vertex_id", "p.lon", "p.lat", geo.to_metres(F.col("p.lon"), F.col("p.lat")).alias("m")).select("vertex_id", "lon", "lat", "m.x", "m.y")
+
+
+_ENDS = (
+    _CC.replace("with recursive", "with recursive " + SEG + ",").replace("from road_segments where", "from seg where")
+    + f""", nd as (select vertex_id, x, y from {_TM.format(src=_POINTS('road_nodes', 'vertex_id'))}),
+ dg as (select v, count(*) k from (select from_node_id v from seg union all select to_node_id from seg) where v is not null group by v),
+ ends as (select nd.vertex_id, x, y, g from nd join dg on dg.v = nd.vertex_id and k = 1 join cc on cc.v = nd.vertex_id)"""
+)
+
+
+@query(
+    _ENDS
+    + """, p as (select a.vertex_id a, b.vertex_id b, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) d, least(a.g,b.g) g0, greatest(a.g,b.g) g1 from ends a join ends b on a.vertex_id < b.vertex_id and a.g <> b.g and abs(a.x-b.x) <= 60 and abs(a.y-b.y) <= 60)
+ select a as vertex_id_a, b as vertex_id_b, round(d, 3) as distance_m, case when d <= 0.75 then 'NODE_MERGE' else 'ENDPOINT_TO_ENDPOINT' end as kind from (select *, row_number() over (partition by g0, g1 order by d, a, b) k from p where d <= 60) where k <= 2"""
+)
+def connectivity_candidates(spark, sf_dir):
+    s = materialize(segments(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id"))
+    ends = materialize(repair.endpoints(metric_nodes(spark, sf_dir), s, graph.components(s, "from_node_id", "to_node_id")))
+    return repair.connection_candidates(ends, connect_m=60.0).withColumn("distance_m", F.round("distance_m", 3))
+
+
+@query(
+    _ENDS
+    + """, st as (select g, count(*) n from cc group by g), se as (select cc.g, count(*) e from seg join cc on cc.v = seg.from_node_id group by cc.g), mn as (select st.g from st left join se using (g) order by coalesce(e,0) desc, n desc, g limit 1),
+ al as (select nd.vertex_id, x, y, cc.g, cc.g = (select g from mn) is_main from nd join cc on cc.v = nd.vertex_id),
+ p as (select a.g, a.vertex_id a, b.vertex_id b, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) d from al a join al b on not a.is_main and b.is_main and abs(a.x-b.x) <= 30 and abs(a.y-b.y) <= 30)
+ select g as component, round(d, 3) as distance_m, case when d <= 3 then 'AUTO' when d <= 12 then 'REVIEW' else 'HELD' end as tier from (select *, row_number() over (partition by g order by d, a, b) k from p where d <= 30) where k = 1"""
+)
+def component_bridges(spark, sf_dir):
+    s = materialize(segments(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id"))
+    label = materialize(graph.components(s, "from_node_id", "to_node_id"))
+    b = repair.bridges(metric_nodes(spark, sf_dir), s, label, 30.0)
+    return b.select("component", F.round("distance_m", 3).alias("distance_m"), "tier")
+
+
+@query()
+def repaired_graph(spark, sf_dir):
+    """Segments after merging near ends to a fixed point."""
+    s = materialize(segments(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id", "segment_type"))
+    return repair.repair(metric_nodes(spark, sf_dir), s)[0]
+
+
+@query()
+def split_at_elevators(spark, sf_dir):
+    """Road edges cut where the nearest elevators project onto them."""
+    lines = segments(spark, sf_dir).select("edge_id", F.transform(text.parse_linestring(F.col("geom")), lambda p: nearest.local_xy(p.x, p.y, 34.68)).alias("points")).where("points is not null")
+    lines = materialize(lines)
+    pts = _lifts(spark, sf_dir).withColumn("p", nearest.local_xy(F.col("lon"), F.col("lat"), 34.68)).select("elevator_id", "p.x", "p.y")
+    near = nearest.nearest_leg(pts, lines, "elevator_id", "edge_id", 40.0).join(pts, "elevator_id").join(lines, "edge_id")
+    line = near.withColumn("line", geo.measured(F.col("points")))
+    foot = F.array_min(F.zip_with(F.slice("line", F.lit(1), F.size("line") - 1), F.slice("line", F.lit(2), F.size("line") - 1), lambda a, b: F.struct(geo.point_leg(F.col("x"), F.col("y"), a.x, a.y, b.x, b.y).d.alias("d"), (a.m + geo.point_leg(F.col("x"), F.col("y"), a.x, a.y, b.x, b.y).t * (b.m - a.m)).alias("m"))))
+    cuts = line.select("edge_id", foot.m.alias("m"))
+    return repair.split_segments(lines, cuts).select("edge_id", "part_no", F.size("points").alias("n_points"), F.round("length", 3).alias("length"))
+
+
+@query()
+def osm_elements(spark, sf_dir):
+    """Lines of the OSM XML export."""
+    s = segments(spark, sf_dir).withColumn("points", text.parse_linestring(F.col("geom"))).where("points is not null")
+    nodes = materialize(files.osm_nodes(metric_nodes(spark, sf_dir), s))
+    ways = files.osm_ways(s, nodes, {"walk_access": "walk_access", "surface": "surface_state", "signal": "signal_state", "stairs": "stairs_state"})
+    return files.osm_lines(nodes, ways)
+
+
+# ---- streams
+
+
+@query("""select time_bucket(interval '1 day', ts) as "start", event_type, count(*) as n from events group by 1, 2""")
+def stream_daily_counts(spark, sf_dir):
+    s = flow.read_table(spark, f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = flow.drain_complete(flow.window_counts(s, "ts", "400 days", "1 day", None, "event_type"))
+    return out.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@query("select count(distinct event_id) as n_events from events")
+def stream_deduplicated(spark, sf_dir):
+    s = flow.read_table(spark, f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return flow.drain(flow.deduplicated(s.select("event_id", "ts"), "event_id", "ts", "400 days")).agg(F.count("*").alias("n_events"))
+
+
 # ---- general analytics on the star schema
 
 
