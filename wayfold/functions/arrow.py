@@ -6,12 +6,13 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-LINE = "array<struct<x: double, y: double>>"
+LINE = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def longest_blocks_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff and Obershelp's similarity of two texts; null if either is null."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")

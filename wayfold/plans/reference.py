@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.functions import geo, states, text
-from wayfold.operators import fuse, graph, nearest, quality_profile, repair, rules
+from wayfold.operators import build, fuse, graph, nearest, quality_profile, repair, rules
 from wayfold.plans.core_problems import located_places
 from wayfold.plans.runtime import materialize, table
 from wayfold.sources import files
@@ -455,6 +455,35 @@ def osm_elements(spark, sf_dir):
     return files.osm_lines(nodes, ways)
 
 
+def _planar(spark, sf_dir):
+    s = segments(spark, sf_dir).withColumn("points", F.transform(text.parse_linestring(F.col("geom")), lambda p: nearest.local_xy(p.x, p.y, 34.68)))
+    return s.where("points is not null")
+
+
+@query()
+def edge_chains(spark, sf_dir):
+    """Edges, length and number of edges of maximal paths through nodes of degree two."""
+    s = materialize(segments(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id", "length"))
+    return build.chains(s).join(s.select("edge_id", "length"), "edge_id").groupBy("chain").agg(F.count("*").alias("n_edges"), F.round(F.sum("length"), 2).alias("metres"))
+
+
+@query()
+def corner_split(spark, sf_dir):
+    lines = materialize(_planar(spark, sf_dir).select("edge_id", "points"))
+    return repair.split_segments(lines, build.corner_cuts(lines, 45.0)).select("edge_id", "part_no", F.round("length", 3).alias("length"))
+
+
+@query()
+def line_crossings(spark, sf_dir):
+    return build.crossings(_planar(spark, sf_dir).select("edge_id", "points")).select("edge_id_a", "edge_id_b", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
+@query()
+def self_scanned_graph(spark, sf_dir):
+    s = materialize(segments(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id", "length").where("from_node_id is not null and to_node_id is not null"))
+    return build.self_scan(metric_nodes(spark, sf_dir), s)[0]
+
+
 # ---- streams
 
 

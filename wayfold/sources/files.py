@@ -49,7 +49,10 @@ def clean_header(name: str) -> str:
 
 def read_csv(spark: SparkSession, path: str, required: Sequence[str] = (), encoding: str | None = None, multi_line: bool = False) -> DataFrame:
     """All columns as trimmed text, with clean header names; a missing required column is an error."""
-    df = spark.read.option("header", True).option("encoding", encoding or sniff_encoding(spark, path)).option("escape", '"').option("multiLine", multi_line).csv(path)
+    encoding = encoding or sniff_encoding(spark, path)
+    if encoding not in ("UTF-8", "ISO-8859-1", "US-ASCII"):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # the reader else knows a few Western and Unicode charsets only
+    df = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line).csv(path)
     df = df.toDF(*[clean_header(c) for c in df.columns])
     missing = [c for c in required if c not in df.columns]
     if missing:
