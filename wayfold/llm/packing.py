@@ -33,16 +33,28 @@ SHARD_ITEMS = 100_000
 SCHEMA = "container_id bigint, item_id bigint, part_no bigint, size bigint"
 
 
-def linear_groups(sizes: np.ndarray, counts: np.ndarray, k: int) -> list[tuple[int, int, int, int]]:
-    """(group, low, high, n): sizes low..high, all of a size in one group, about equal numbers of items, largest first."""
+def linear_groups(sizes: np.ndarray, counts: np.ndarray, k: int, capacity: int) -> list[tuple[int, int, int, int]]:
+    """(group, low, high, n): sizes low..high, all of a size in one group, about equal numbers of items, largest first.
+
+    A group ends where rounding up would cost a place: at a half, a third and so on of the capacity;
+    and a size that fills a group by itself gets its own.
+    """
     order = np.argsort(-sizes)
     sizes, counts = sizes[order], counts[order]
     quota, out, start, have = max(1.0, counts.sum() / k), [], 0, 0
+
+    def close(end: int) -> None:
+        nonlocal start, have
+        if have:
+            out.append((len(out), int(sizes[end]), int(sizes[start]), have))
+        start, have = end + 1, 0
+
     for i in range(len(sizes)):
+        if have and (counts[i] >= quota or capacity // int(sizes[start]) != capacity // int(sizes[i])):
+            close(i - 1)
         have += int(counts[i])
         if have >= quota or i == len(sizes) - 1:
-            out.append((len(out), int(sizes[i]), int(sizes[start]), have))
-            start, have = i + 1, 0
+            close(i)
     return out
 
 
@@ -180,7 +192,7 @@ def pack(items: DataFrame, capacity: int, id_col: str = "doc_id", size_col: str
     # large items
     hist = open_.where(F.col("size") > limit).groupBy("size").count().collect()  # at most capacity rows
     if hist:
-        grouped = linear_groups(np.array([r[0] for r in hist]), np.array([r[1] for r in hist]), groups)
+        grouped = linear_groups(np.array([r[0] for r in hist]), np.array([r[1] for r in hist]), groups, capacity)
         rounded, need = np.array([g[2] for g in grouped]), np.array([g[3] for g in grouped])
         plan = few_size_patterns(rounded, need, capacity)
         slots: dict[int, list] = {g[0]: [] for g in grouped}
