@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from wayfold.functions import geo
 from wayfold.operators import build
 
 LINES = "edge_id long, points array<struct<x:double,y:double>>"
@@ -51,3 +52,14 @@ def test_learned_lengths(spark):
     r = build.learned_lengths(e).first()
     assert (r.delete_max, r.add_min, r.add_max) == (20.0, 4.0, 20.0)
     assert build.learned_lengths(e.where(F.lit(False))).first().delete_max == 25.0
+
+
+def test_side_lines_and_zones(spark):
+    df = spark.createDataFrame([(1, [(0.0, 0.0), (10.0, 0.0)], 6.0), (2, [(0.0, 0.0), (10.0, 0.0)], None)], LINES + ", width double")
+    got = {(r.edge_id, r.side): r.points[0].y for r in build.side_lines(df).collect()}
+    assert got == {(1, "LEFT"): 3.0, (1, "RIGHT"): -3.0, (2, "LEFT"): 1.0, (2, "RIGHT"): -1.0}
+    shape = spark.createDataFrame([(7, [[[(900000.0, 1630000.0), (900100.0, 1630000.0), (900100.0, 1630100.0), (900000.0, 1630100.0)]]])], "zone long, parts array<array<array<struct<x:double,y:double>>>>")
+    at = geo.to_degrees(F.col("x"), F.col("y")).alias("d")
+    cells = spark.createDataFrame([(1, 900010.0, 1630010.0, 2.0), (2, 900020.0, 1630020.0, 4.0), (3, 900200.0, 1630020.0, 9.0)], "cell long, x double, y double, z double").select("cell", "z", at).select("cell", "z", "d.lon", "d.lat")
+    r = build.zone_stats(cells, shape, "zone").first()
+    assert (r.zone, r.n, r["mean"], r.least, r.greatest) == (7, 2, 3.0, 2.0, 4.0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.functions import geo
+from wayfold.functions import arrow, geo
 from wayfold.operators import fuse, graph, repair, spatial
 from wayfold.plans.runtime import materialize
 
@@ -51,6 +51,20 @@ def dense_ends(ends: DataFrame, metres: float = 13.0, least: int = 4) -> DataFra
     return both.groupBy("vertex_id").agg((F.count("*") + 1).alias("n")).where(F.col("n") >= least)
 
 
+def side_lines(segments: DataFrame, least_m: float = 1.0) -> DataFrame:
+    """edge_id, side (LEFT, RIGHT), points: lines parallel to each polyline at half its width, at least least_m. segments: edge_id, points, width."""
+    half = F.greatest(F.coalesce("width", F.lit(0.0)) / 2, F.lit(least_m))
+    sides = F.explode(F.array(F.struct(F.lit("LEFT").alias("side"), F.lit(1.0).alias("sign")), F.struct(F.lit("RIGHT").alias("side"), F.lit(-1.0).alias("sign")))).alias("s")
+    both = segments.select("edge_id", "points", half.alias("half"), sides).select("edge_id", "points", "s.side", (F.col("half") * F.col("s.sign")).alias("by"))
+    return both.select("edge_id", "side", arrow.offset("points", "by").alias("points"))
+
+
+def zone_stats(cells: DataFrame, regions: DataFrame, key: str, parts: str = "parts") -> DataFrame:
+    """key, n, mean, least, greatest of the values z of raster cells (cell, lon, lat, z) whose centre lies in a region."""
+    inside = spatial.in_regions(cells.select("cell", "lon", "lat"), regions, parts).select("cell", key)
+    return inside.join(cells.select("cell", "z"), "cell").groupBy(key).agg(F.count("z").alias("n"), F.avg("z").alias("mean"), F.min("z").alias("least"), F.max("z").alias("greatest"))
+
+
 #: fixed values: lengths in metres below which an anomaly is removed, in order of precedence
 MICRO_LOOP_M, TAIL_M, DENSE_TAIL_M = 8.0, 18.0, 42.0
 

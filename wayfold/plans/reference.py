@@ -473,6 +473,12 @@ def corner_split(spark, sf_dir):
     return repair.split_segments(lines, build.corner_cuts(lines, 45.0)).select("edge_id", "part_no", F.round("length", 3).alias("length"))
 
 
+@query()
+def side_lines(spark, sf_dir):
+    """Left and right lines of every edge with their number of vertices."""
+    return build.side_lines(_planar(spark, sf_dir)).select("edge_id", "side", F.size("points").alias("n_points"))
+
+
 @query()
 def line_crossings(spark, sf_dir):
     return build.crossings(_planar(spark, sf_dir).select("edge_id", "points")).select("edge_id_a", "edge_id_b", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
