@@ -90,10 +90,13 @@ def in_regions(points: DataFrame, regions: DataFrame, parts: str = "parts") -> D
     nothing. Column names of both sides must differ.
     """
     outer = F.flatten(F.transform(F.col(parts), lambda part: F.get(part, F.lit(0))))
-    boxed = regions.where(F.col(parts).isNotNull()).withColumn("box_", geo.bbox(outer)).where("box_.x0 is not null and box_.y0 is not null")
-    covered = materialize(cover(boxed, F.col("box_.x0"), F.col("box_.y0"), F.col("box_.x1"), F.col("box_.y1")))
+    # written before anything filters on the shapes: a filter would be pushed down and parse them again
+    boxed = materialize(regions.withColumn("box_", geo.bbox(outer))).where("box_.x0 is not null and box_.y0 is not null")
+    covered = cover(boxed, F.col("box_.x0"), F.col("box_.y0"), F.col("box_.x1"), F.col("box_.y1"))
     pts = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).withColumn("m_", geo.to_metres(F.col("lon"), F.col("lat")))
     pts = pts.withColumn("x_", F.col("m_.x")).withColumn("y_", F.col("m_.y")).drop("m_")
-    hits = at_levels(pts, "x_", "y_", used_levels(covered) or [MIN_LEVEL]).join(covered, ["level_", "prefix_"])
+    extent = F.greatest(F.col("box_.x1") - F.col("box_.x0"), F.col("box_.y1") - F.col("box_.y0"))
+    levels = used_levels(boxed.select(level_of(extent).alias("level_"))) or [MIN_LEVEL]
+    hits = at_levels(pts, "x_", "y_", levels).join(covered, ["level_", "prefix_"])
     inside = F.col("x_").between(F.col("box_.x0"), F.col("box_.x1")) & F.col("y_").between(F.col("box_.y0"), F.col("box_.y1"))
     return hits.where(inside).where(geo.in_multipolygon(F.col("x_"), F.col("y_"), F.col(parts))).drop("level_", "prefix_", "box_", "x_", "y_", parts)

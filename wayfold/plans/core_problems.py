@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import text
 from wayfold.operators import quality_profile, spatial
-from wayfold.plans.runtime import table
+from wayfold.plans.runtime import materialize, table
 from wayfold.sources.reject_csv import RAW_FORMATS, split_lines
 
 
@@ -27,7 +27,7 @@ def located_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = located_places(spark, sf_dir)
+    places = materialize(located_places(spark, sf_dir))  # both joins read it
     lifts = table(spark, sf_dir, "subway_station_elevators_erd_ready").where("elevator_id is not null").select("elevator_id", text.point_lon_lat(F.col("point")).alias("p"))
     lifts = lifts.where("p is not null").select("elevator_id", "p.lon", "p.lat").distinct()
     near = spatial.within_distance(places, lifts, 50.0).select(F.lit("ELEVATOR").alias("relation"), "place_id", F.col("elevator_id").alias("other_id"))
