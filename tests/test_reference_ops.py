@@ -2,6 +2,7 @@
 
 import heapq
 import random
+import re
 import struct
 
 import pytest
@@ -39,6 +40,18 @@ def test_text_functions(spark):
         spark.createDataFrame([("z",)], "c string").select(text.lookup(F.col("c"), {"a": "b"}, strict=True)).collect()
 
 
+def test_normalized_places_keep_dirty_rows(spark, tmp_path):
+    from wayfold.plans import reference
+
+    texts = [None, "", "  ", "갤힘시 턴헌구 헐로 1", "\u3000갤힘시\u3000턴헌구\u00a0헐로", "\t갤힘시\n턴헌구", "１２３번 – 길", "\u1100\u1161 가·나 Äb (본관) Z9", "\ufffd\ufffd x", "A(미완 b", "\x85a\x1cb c"]
+    rows = [(i * len(texts) + j, n, a) for i, n in enumerate(texts) for j, a in enumerate(texts)]
+    spark.createDataFrame(rows, "place_id long, name string, address string").write.parquet(str(tmp_path / "places.parquet"))
+    plain = lambda v: None if v is None else re.sub("[^0-9a-z가-힣]", "", re.sub(r"\([^)]*\)", "", v.lower()))
+    prefix = lambda v: None if v is None else " ".join(v.split()[:2])
+    got = {tuple(r) for r in reference.normalized_places(spark, str(tmp_path)).collect()}
+    assert got == {(k, plain(n), prefix(a)) for k, n, a in rows}
+
+
 def test_lines(spark):
     df = spark.createDataFrame([("LINESTRING(0 0, 10 0, 10 10)",), ("LINESTRING(0 0)",), ("LINESTRING(0 0, a 1)",), (None,)], "g string").select(text.parse_linestring(F.col("g")).alias("p"))
     assert [r.p is not None for r in df.collect()] == [True, False, False, False]

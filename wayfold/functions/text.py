@@ -162,7 +162,9 @@ def address_tokens(c: Column) -> Column:
 
 
 def address_prefix(c: Column, words: int = 2) -> Column:
-    return F.array_join(F.slice(F.split(F.trim(c), r"\s+"), 1, words), " ")
+    """First words between any Unicode white space (ideographic and no-break blanks too); null for null."""
+    parts = F.filter(F.split(c, r"[\s\p{Z}\x1c-\x1f\x85]+"), lambda w: w != "")
+    return F.array_join(F.slice(parts, 1, words), " ")
 
 
 def first_of(c: Column, terms: Sequence[str]) -> Column:

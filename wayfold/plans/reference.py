@@ -72,7 +72,8 @@ def derived_states(spark, sf_dir):
     from places where address is not null and name is not null and regexp_full_match(address, '[ -~가-힣]*') and regexp_full_match(name, '[ -~가-힣]*')"""
 )
 def normalized_places(spark, sf_dir):
-    p = table(spark, sf_dir, "places").where(F.col("address").rlike(r"\A[ -~가-힣]*\z") & F.col("name").rlike(r"\A[ -~가-힣]*\z"))
+    """Every place, null for null. The SQL covers only places whose name and address are printable ASCII and Hangul syllables."""
+    p = table(spark, sf_dir, "places")
     return p.select("place_id", text.normalize_plain(F.col("name")).alias("plain_name"), text.address_prefix(F.col("address")).alias("address_prefix")).distinct()
 
 
