@@ -94,6 +94,14 @@ def test_matching(spark):
     assert {(r.left_id, r.right_id) for r in got.collect()} == {(i, 100 + i) for i in range(0, 60, 2)}
 
 
+def test_names_of_hot_pieces_are_compared(spark):
+    schema = "record_id long, names array<string>, branch string, buildings array<string>, road string, district string, metres double, category string"
+    left = [(i, ["공중화장실"], None, [f"길:{i}"] if i % 9 else [], "길" if i % 9 else None, "구", 5.0 * i, "R") for i in range(260)]
+    right = [(1000 + i, ["공중화장실"], None, [f"로:{i}"] if i % 7 else [], "로" if i % 7 else None, "구", None if i % 2 else 9.0 * i, "R") for i in range(40)]
+    got = [tuple(r) for r in entities.name_blocks(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), hot=50).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(x[0], y[0]) for x in left for y in right if not x[3] or not y[3]}
+
+
 def test_disguise_is_undone():
     assert abuse.normalize("너 같은 쓰 레 기, 멍*청이야!! 씨발발발발") == ["너", "같은", "쓰레기", "멍청이야", "씨발"]
     assert abuse.normalize("You dumb@55, b@5t@rd!") == ["you", "dumbass", "bastard"]
