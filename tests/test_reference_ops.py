@@ -147,6 +147,13 @@ def test_nearest(spark):
     assert [r.p for r in nearest.without_near(a, b, "p", "q", 50.0).collect()] == [2]
 
 
+def test_nearest_leg_of_any_length(spark):
+    points = spark.createDataFrame([(1, 5000.0, 3.0), (2, 10.0, 12.0), (3, 150000.0, -7.0), (4, 5000.0, 900.0)], "p long, x double, y double")
+    lines = spark.createDataFrame([(10, [(0.0, 0.0), (9000.0, 0.0)]), (11, [(0.0, 20.0), (30.0, 20.0)]), (12, [(100000.0, 0.0), (200000.0, 0.0)])], "l long, points array<struct<x: double, y: double>>")
+    assert {tuple(r) for r in nearest.nearest_leg(points, lines, "p", "l", 40.0).collect()} == {(1, 10, 3.0), (2, 11, 8.0), (3, 12, 7.0)}
+    assert nearest.nearest_leg(points, lines.limit(0), "p", "l", 40.0).count() == 0
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes('﻿"이름", 값\n" 가 ",1\n나,\n'.encode("cp949", "ignore"))
     df = files.read_csv(spark, str(tmp_path / "a.csv"), required=["이름", "값"])

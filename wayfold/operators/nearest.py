@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import geo
 from wayfold.operators import spatial
+from wayfold.plans.runtime import materialize
 
 
 def local_xy(lon: Column, lat: Column, lat0: float) -> Column:
@@ -60,13 +61,15 @@ def nearest_leg(points: DataFrame, lines: DataFrame, point_id: str, line_id: str
     """point_id, line_id, distance_m: nearest polyline by exact distance to its legs.
 
     points: x, y; lines: points array<struct(x, y)>; both planar metres. Legs are covered with cells
-    of their bounding box grown by metres.
+    of their bounding box grown by metres, points are expanded to the levels that occur.
     """
     legs = lines.select(line_id, F.explode(geo.legs(F.col("points"))).alias("g")).select(line_id, "g.a", "g.b")
     lo = lambda c: F.least(F.col(f"a.{c}"), F.col(f"b.{c}")) - metres
     hi = lambda c: F.greatest(F.col(f"a.{c}"), F.col(f"b.{c}")) + metres
+    legs = materialize(legs)  # the levels are taken from it, too
     covered = spatial.cover(legs, lo("x"), lo("y"), hi("x"), hi("y"))
-    levels = list(range(spatial.MIN_LEVEL, spatial.MIN_LEVEL + 4 * spatial.LEVEL_STEP, spatial.LEVEL_STEP))
+    extent = F.greatest(hi("x") - lo("x"), hi("y") - lo("y"))
+    levels = spatial.used_levels(legs.select(spatial.level_of(extent).alias("level_"))) or [spatial.MIN_LEVEL]
     hits = spatial.at_levels(points.select(point_id, "x", "y"), "x", "y", levels).join(covered, ["level_", "prefix_"])
     far = geo.point_leg(F.col("x"), F.col("y"), F.col("a.x"), F.col("a.y"), F.col("b.x"), F.col("b.y")).d
     near = hits.withColumn("distance_m", far).where(F.col("distance_m") <= metres)
