@@ -154,6 +154,17 @@ def test_nearest_leg_of_any_length(spark):
     assert nearest.nearest_leg(points, lines.limit(0), "p", "l", 40.0).count() == 0
 
 
+def test_profile_of_all_states(spark, tmp_path):
+    from wayfold.plans import reference
+
+    states_ = ["walk_access", "braille_block_state", "audio_signal_state", "stairs_state", "slope_state", "width_state", "surface_state", "signal_state", "segment_type", "avg_slope_percent", "width_meter"]
+    rows = [(1, 1, *["YES"] * 11), (2, 1, *[None] * 11), (3, 1, *["no"] * 11)]
+    spark.createDataFrame(rows, "edge_id long, load_id long, " + ", ".join(f"{c} string" for c in states_)).write.parquet(str(tmp_path / "road_segments.parquet"))
+    got = {r.column_name: r for r in reference.quality_profile_all(spark, str(tmp_path)).collect()}
+    assert set(got) == set(states_) and all((r.n_rows, r.n_blank, r.n_masks) == (3, 1, 2) for r in got.values())
+    assert got["stairs_state"].n_violations == 0 and got["slope_state"].n_violations == 2
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes('﻿"이름", 값\n" 가 ",1\n나,\n'.encode("cp949", "ignore"))
     df = files.read_csv(spark, str(tmp_path / "a.csv"), required=["이름", "값"])

@@ -186,6 +186,20 @@ def divergence(df: DataFrame, loads: DataFrame, domains: Sequence, load: str) ->
     )
 
 
+@dataclass(frozen=True)
+class AnyValue:
+    """A column without a domain: profiled, never violated."""
+
+    column: str
+    number = False
+
+    def allows(self, v: Column) -> Column:
+        return v.isNotNull()
+
+    def mask_allows(self, m: Column) -> Column:
+        return m.isNotNull()
+
+
 #: fixed values: the domains of the road segment columns
 ROAD_DOMAINS = (
     StateDomain("slope_state", ("FLAT", "MODERATE", "STEEP", "RISK", "UNKNOWN")),
@@ -194,6 +208,8 @@ ROAD_DOMAINS = (
     StateDomain("surface_state", ("PAVED", "UNPAVED", "UNKNOWN")),
 )
 
+ROAD_STATES = (*ROAD_DOMAINS, *map(AnyValue, ("walk_access", "braille_block_state", "audio_signal_state", "stairs_state", "width_state", "signal_state", "segment_type")))
+
 
 def findings(segments: DataFrame, loads: DataFrame, domains: Sequence = ROAD_DOMAINS) -> DataFrame:
     """finding_kind (VALUE or LOAD), column_name, record_id."""
