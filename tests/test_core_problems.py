@@ -68,6 +68,17 @@ def test_quality_findings(spark):
     assert prof[2, "width_meter"].n_blank == 1 and prof[2, "width_meter"].n_violations == 2
 
 
+def test_rare_masks_and_divergence_are_queries(spark, tmp_path):
+    rows = [(i, 1 if i < 300 else 2, "FLAT", "1.5" if i % 150 else "12.25", "2.5", "PAVED" if i < 300 else "X1") for i in range(500)] + [(900, None, "FLAT", "1.5", "", None)]
+    spark.createDataFrame(rows, "edge_id long, load_id long, slope_state string, width_meter string, avg_slope_percent string, surface_state string").write.parquet(str(tmp_path / "road_segments.parquet"))
+    spark.createDataFrame([(1, None), (2, 1)], "load_id long, prior_load_id long").write.parquet(str(tmp_path / "road_loads.parquet"))
+    queries = __import__("__spark_entry__").queries()
+    rare = queries["p2_rare_masks"](spark, str(tmp_path)).collect()
+    assert {(r.edge_id, r.load_id, r.column_name, r.mask) for r in rare} == {(0, 1, "width_meter", "99.99"), (150, 1, "width_meter", "99.99")}  # 2 of 300; in load 2 it is 2 of 200
+    apart = {r.column_name: r.mask_distance for r in queries["p2_divergence"](spark, str(tmp_path)).collect()}
+    assert set(apart) == {"slope_state", "width_meter", "avg_slope_percent", "surface_state"} and apart["surface_state"] == 1.0 and apart["slope_state"] == 0.0
+
+
 def test_rejected_lines(spark):
     good = '1,"a ""b"" c",CAT,"x,y",POINT(126.1 34.2),77'
     lines = [good, good + "\r", '2,a"b,c,d,POINT(126 34),', '3,"open,c,d,POINT(126 34),', '4,"a"b,c,d,POINT(126 34),', "5,a,b", "", None, "x,a,b,c,POINT(126 34),", "7,a,b,c,POINT(34 126),", good, '8,a,b,"two\nlines",point( 1.265e2  +34.0 ),', "0,a,b,c,POINT(126 34),", "9,a,b,c,d,e,f"]

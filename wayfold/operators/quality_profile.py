@@ -6,8 +6,8 @@ all later steps work on distinct values rather than rows; a load or value that h
 all rows is one counter. From these counts come
 
 * the profile: rows, blanks, distinct values, range, masks, dominant masks of each column and load;
-* violations: cells whose mask is rare (outside the masks that a domain value can have, or with a
-  share below min_mask_share) and cells whose value an exact domain check refuses;
+* rare masks: cells whose mask has a share below min_mask_share in its load and column;
+* violations: cells whose value an exact domain check refuses, masks only naming the reason;
 * divergence: mask distribution, blank share, value shares and medians of a load against its prior.
 
 Defined results: null and empty string are blank; other white space is a value. An empty table
@@ -120,6 +120,17 @@ def violations(df: DataFrame, domains: Sequence, key: str) -> DataFrame:
     return judged.where(~F.col("in_mask") | ~F.col("in_domain")).select(key, "column_name", "value", "mask", F.when(~F.col("in_mask"), "MASK").otherwise("VALUE").alias("reason"))
 
 
+def rare_masks(df: DataFrame, domains: Sequence, key: str, load: str, min_mask_share: float = 0.01) -> DataFrame:
+    """key, load_id, column_name, value, mask, mask_share of the cells that profile() counts as rare_mask_cells."""
+    masks = value_counts(df, domains, load).where(~F.col("blank")).groupBy("load_id", "column_name", "mask").agg(F.sum("n").alias("m"))
+    share = F.col("m") / F.sum("m").over(W.partitionBy("load_id", "column_name"))
+    rare = masks.withColumn("mask_share", share).where(F.col("mask_share") < min_mask_share)
+    rare = materialize(rare.select(F.col("load_id").alias("l_"), F.col("column_name").alias("c_"), F.col("mask").alias("m_"), "mask_share"))
+    each = cells(df, [d.column for d in domains], key, load).where(F.col("value").isNotNull() & (F.col("value") != "")).withColumn("mask", value_mask(F.col("value")))
+    hit = F.col(load).eqNullSafe(F.col("l_")) & (F.col("column_name") == F.col("c_")) & (F.col("mask") == F.col("m_"))
+    return each.join(rare, hit).select(key, F.col(load).alias("load_id"), "column_name", "value", "mask", "mask_share")
+
+
 def _median_and_top(counts: DataFrame) -> DataFrame:
     """Exact median (mean of the middle two, doubled to stay whole) and the count of the most frequent number, from value counts."""
     by_number = counts.withColumn("v", F.col("value").try_cast("decimal(12,2)")).groupBy("load_id", "column_name", "v").agg(F.sum("n").alias("n"))

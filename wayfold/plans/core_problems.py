@@ -20,6 +20,16 @@ def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_profile.profile(table(spark, sf_dir, "road_segments"), quality_profile.ROAD_DOMAINS, "load_id")
 
 
+def p2_rare_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell whose mask is rare in its load and column, with the mask's share."""
+    return quality_profile.rare_masks(table(spark, sf_dir, "road_segments"), quality_profile.ROAD_DOMAINS, "edge_id", "load_id")
+
+
+def p2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every load against its prior load, by column: mask and value distances, blank shares, medians, flags."""
+    return quality_profile.divergence(table(spark, sf_dir, "road_segments"), table(spark, sf_dir, "road_loads"), quality_profile.ROAD_DOMAINS, "load_id")
+
+
 def located_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """place_id, lon, lat of places with a valid point; repeated rows once."""
     p = table(spark, sf_dir, "places").where("place_id is not null").select("place_id", text.point_lon_lat(F.col("point")).alias("p"))
@@ -49,7 +59,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.unionByName(removed).unionByName(lines).distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_profile": p2_profile, "p4_found": p4_found, "p6_found": p6_found}
+QUERIES = {"p2_found": p2_found, "p2_profile": p2_profile, "p2_rare_masks": p2_rare_masks, "p2_divergence": p2_divergence, "p4_found": p4_found, "p6_found": p6_found}
 
 _NUM = r"[+-]?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?"
 _DOM = {
