@@ -89,6 +89,25 @@ def test_rejected_lines(spark):
     assert reject_csv.split_lines(df.limit(0), reject_csv.RAW_FORMATS).count() == 0
 
 
+def test_loaded_rows_are_all_that_are_not_set_apart(spark, tmp_path):
+    fac = "facility_priority_manual_removed_applied"
+    lines = [(1, "places", '7,"a, b",C,addr,POINT(126.5 34.5),9'), (2, "places", "x,a,C,addr,POINT(126 34),9"), (3, fac, "k,n,c,pn,pa,gu,ad, 34.5 ,126.5,9,2024-01-02T03:04:05\r"), (4, fac, "k,n,c,pn,pa,gu,ad,0,126.5,9,"), (5, fac, "k,n,c,pn,pa,gu,ad,34.5,126.5,9,soon")]
+    tables = {
+        "raw_csv_lines": (lines, "line_id long, target_table string, line_text string"),
+        "places": ([(1, "n", "C", "a", "POINT(126 34)", "5"), (2, "n", "C", "a", "nowhere", None)], "place_id long, name string, category string, address string, point string, provider_place_id string"),
+        fac: ([(1, "k", "n", "c", "pn", "pa", "gu", "a", "34.5", "126.5", None), (2, "k", "n", "c", "pn", "pa", "gu", "a", "x", "126.5", None)], "removed_id long, source_key string, name string, db_category string, public_facility_name string, public_facility_address string, district_gu string, address string, lat string, lng string, removed_at timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    queries = __import__("__spark_entry__").queries()
+    got = {(r.record_source, r.record_id): r for r in queries["p6_loaded"](spark, str(tmp_path)).collect()}
+    bad = {(r.record_source, r.record_id) for r in queries["p6_found"](spark, str(tmp_path)).collect()}
+    assert set(got) == {("raw_csv_lines", 1), ("raw_csv_lines", 3), ("raw_csv_lines", 5), ("places", 1), (fac, 1)} and not bad & set(got) and len(bad) == 4
+    a, b, c = (got["raw_csv_lines", i] for i in (1, 3, 5))
+    assert (a.place_id, a.name, a.lon, a.lat) == (7, "a, b", 126.5, 34.5) and (b.lon, b.lat, b.removed_at.year) == (126.5, 34.5, 2024)
+    assert c.removed_at is None and c.removed_at_text == "soon"
+
+
 def test_point_text(spark):
     good = ["POINT(126 34)", "srid=4326;point( 126.5   34.5 )", "  POINT (+1.265e2 34.5)  "]
     bad = ["POINT(34 126)", "POINT(126, 34)", "POINT EMPTY", "", None, "SRID=5179;POINT(126 34)", "POINT(126 34 1)", "POINT(126 34))", "POINT(inf 34)"]

@@ -59,7 +59,40 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.unionByName(removed).unionByName(lines).distinct()
 
 
-QUERIES = {"p2_found": p2_found, "p2_profile": p2_profile, "p2_rare_masks": p2_rare_masks, "p2_divergence": p2_divergence, "p4_found": p4_found, "p6_found": p6_found}
+def p6_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the three sources that p6_found does not set apart, typed; columns that a target lacks are null.
+
+    Only raw_csv_lines go through DuckDB's reader; places and removed facilities are tables already.
+    place_id is decimal, as a line's id may be of any length; removed_at is null where its text is no
+    time, and removed_at_text keeps the text.
+    """
+    def lines(target: str) -> DataFrame:
+        ok = read.where((F.col("target_table") == target) & F.col("reason").isNull())
+        at = {c: F.col("fields")[i] for i, c in enumerate(RAW_FORMATS[target].header)}
+        return ok.select(F.lit("raw_csv_lines").alias("record_source"), F.col("line_id").alias("record_id"), "target_table", *[v.alias(c) for c, v in at.items()])
+
+    def point(df: DataFrame) -> DataFrame:
+        return df.withColumn("p_", text.point_lon_lat(F.col("point"))).withColumn("lon", F.col("p_.lon")).withColumn("lat", F.col("p_.lat")).drop("p_", "point")
+
+    def degrees(df: DataFrame) -> DataFrame:
+        return df.withColumn("lon", text.valid_number(F.col("lng"))).withColumn("lat", text.valid_number(F.col("lat"))).drop("lng").withColumn("removed_at", F.col("removed_at_text").try_cast("timestamp"))
+
+    facilities = "facility_priority_manual_removed_applied"
+    read = materialize(split_lines(table(spark, sf_dir, "raw_csv_lines").where("line_id is not null"), RAW_FORMATS))
+    names = {"placeId": "place_id", "providerPlaceId": "provider_place_id", "sourceKey": "source_key", "dbCategory": "db_category", "publicFacilityName": "public_facility_name", "publicFacilityAddress": "public_facility_address", "districtGu": "district_gu", "removedAt": "removed_at_text"}
+    place_lines = point(lines("places").withColumnsRenamed(names)).withColumn("place_id", F.trim("place_id").try_cast("decimal(38,0)"))
+    facility_lines = degrees(lines(facilities).withColumnsRenamed(names))
+    p = table(spark, sf_dir, "places").where(F.col("place_id").isNotNull() & text.point_lon_lat(F.col("point")).isNotNull())
+    places = point(p.select(F.lit("places").alias("record_source"), F.col("place_id").alias("record_id"), F.lit("places").alias("target_table"), F.col("place_id").cast("decimal(38,0)").alias("place_id"), "name", "category", "address", "point", "provider_place_id"))
+    r = table(spark, sf_dir, facilities).where(F.col("removed_id").isNotNull() & text.valid_lat_lng(F.col("lat"), F.col("lng")))
+    removed = degrees(r.select(F.lit(facilities).alias("record_source"), F.col("removed_id").alias("record_id"), F.lit(facilities).alias("target_table"), "source_key", "name", "db_category", "public_facility_name", "public_facility_address", "district_gu", "address", "lat", "lng", F.col("removed_at").cast("string").alias("removed_at_text")))
+    out = place_lines
+    for df in (facility_lines, places, removed):
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out.distinct()
+
+
+QUERIES = {"p2_found": p2_found, "p2_profile": p2_profile, "p2_rare_masks": p2_rare_masks, "p2_divergence": p2_divergence, "p4_found": p4_found, "p6_found": p6_found, "p6_loaded": p6_loaded}
 
 _NUM = r"[+-]?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?"
 _DOM = {
