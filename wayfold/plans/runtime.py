@@ -32,19 +32,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-_written: list[tuple[SparkSession, str]] = []
+_written: dict[str, SparkSession] = {}
+
+
+def _delete(path: str) -> None:
+    spark = _written.pop(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def _clean() -> None:
     """Remove the tables of a session that is still there when Python ends."""
-    for spark, path in _written:
+    for path in list(_written):
         try:
-            hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+            _delete(path)
         except Exception:  # the session ended first; the folder is the cluster's to clear
             return
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables that materialize wrote and that no later step reads: the state of a round once the next is written."""
+    for df in tables:
+        path = getattr(df, "_wayfold_path", None)
+        if path in _written:
+            _delete(path)
+
+
 atexit.register(_clean)
 
 
@@ -59,8 +72,10 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    _written[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._wayfold_path = path
+    return out
 
 
 def salts_for(rows: int, per_task: int = 200_000) -> int:
