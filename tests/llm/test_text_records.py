@@ -1,5 +1,10 @@
 """Garbled text, addresses, entities and abuse on small fixtures."""
 
+import itertools
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -70,13 +75,33 @@ def test_edit_distance():
     assert [address.edit_distance(a, b) for a, b in (("", ""), ("ab", "ba"), ("abc", "abd"), ("abc", "xyz"), ("a", "abcdef"))] == [0, 1, 1, 3, 4]
 
 
-def test_propagation_prefers_one_partner(spark):
-    pairs = spark.createDataFrame([(1, 10, 4.0), (2, 10, 2.0), (2, 11, 1.5), (3, 12, -3.0)], "left_id long, right_id long, log_odds double")
-    once = {(r.left_id, r.right_id): r.probability for r in entities.propagate(pairs, False, True).collect()}
-    exact = np.exp(4) / (1 + np.exp(4) + np.exp(2))
-    assert abs(once[1, 10] - exact) < 1e-3 and once[2, 10] < 0.2 and abs(once[2, 11] - 1 / (1 + np.exp(-1.5))) < 1e-3
-    both = {(r.left_id, r.right_id): r.probability for r in entities.propagate(pairs, True, True).collect()}
-    assert both[1, 10] > 0.9 and both[2, 11] > both[2, 10]
+def exact_marginals(pairs, more):
+    """By summing over all sets of pairs: a right record in one pair at most, a left one weighs more ** (n - 1)."""
+    total, by = 0.0, {p[:2]: 0.0 for p in pairs}
+    for chosen in itertools.product((0, 1), repeat=len(pairs)):
+        mine = [p for p, c in zip(pairs, chosen) if c]
+        if max(Counter(p[1] for p in mine).values(), default=0) > 1:
+            continue
+        w = float(np.exp(sum(p[2] for p in mine))) * float(np.prod([more ** (n - 1) for n in Counter(p[0] for p in mine).values()]))
+        total += w
+        for p in mine:
+            by[p[:2]] += w
+    return {k: v / total for k, v in by.items()}
+
+
+def test_propagation_on_trees_is_exact_and_settles_on_loops(spark):
+    schema = "left_id long, right_id long, log_odds double"
+    tree = [(1, 10, 2.0), (2, 10, 1.0), (2, 11, 0.5), (2, 12, 0.3), (3, 12, -1.0)]
+    told, settled = entities.propagate(spark.createDataFrame(tree, schema), left_more=0.4, tolerance=1e-6)
+    want = exact_marginals(tree, 0.4)
+    assert settled.rounds > 2 and settled.largest_change <= 1e-6
+    assert all(abs(r.probability - want[r.left_id, r.right_id]) < 1e-4 for r in told.collect())
+    loop = [(1, 10, 4.0), (2, 10, 2.0), (2, 11, 1.5), (1, 11, 1.0), (3, 12, -3.0)]
+    told, _ = entities.propagate(spark.createDataFrame(loop, schema), left_more=0.4)
+    got = {(r.left_id, r.right_id): r.probability for r in told.collect()}
+    assert got[1, 10] > 0.8 and got[2, 11] > got[2, 10] and got[2, 11] > got[1, 11]
+    with pytest.raises(RuntimeError, match="still move"):
+        entities.propagate(spark.createDataFrame(loop, schema), rounds=2, tolerance=0.0)
 
 
 def test_names():
@@ -90,16 +115,41 @@ def test_matching(spark):
     left = [(i, [f"가나{chr(0xAC00 + 37 * i)}{chr(0xB098 + 41 * i)}식당"], None, [f"길:{i}"], "길", "구", 10.0 * i, "R") for i in range(60)]
     right = [(100 + i, [f"가나{chr(0xAC00 + 37 * i)}{chr(0xB098 + 41 * i)}식당"], None, [f"길:{i}"], "길", "구", 10.0 * i + 0.3, "R") for i in range(0, 60, 2)]
     right += [(300, ["전혀다른병원"], None, ["길:3"], "길", "구", 400.0, "H"), (301, [], None, [], None, None, None, None)]
-    got = entities.decide(entities.match(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)))
+    left, right = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = entities.decide(entities.match(left, right)[0])
     assert {(r.left_id, r.right_id) for r in got.collect()} == {(i, 100 + i) for i in range(0, 60, 2)}
+    assert entities.decide(entities.match(left.limit(0), right)[0]).count() == 0
 
 
-def test_names_of_hot_pieces_are_compared(spark):
+def test_candidates_equal_brute_force(spark):
+    """Every two alike names of which one has no building, and every two records of a building, but for far rivals of one class (unlike names in a building being one)."""
+    rnd = random.Random(8)
     schema = "record_id long, names array<string>, branch string, buildings array<string>, road string, district string, metres double, category string"
-    left = [(i, ["공중화장실"], None, [f"길:{i}"] if i % 9 else [], "길" if i % 9 else None, "구", 5.0 * i, "R") for i in range(260)]
-    right = [(1000 + i, ["공중화장실"], None, [f"로:{i}"] if i % 7 else [], "로" if i % 7 else None, "구", None if i % 2 else 9.0 * i, "R") for i in range(40)]
-    got = [tuple(r) for r in entities.name_blocks(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), hot=50).collect()]
-    assert len(got) == len(set(got)) and set(got) == {(x[0], y[0]) for x in left for y in right if not x[3] or not y[3]}
+    stems = ["".join(rnd.choice("가나다라마바사아자차카타파하") for _ in range(4)) for _ in range(60)]
+    name = lambda i: stems[i % 60] + ("화장실" if i % 3 else "")
+    metres = lambda: None if rnd.random() < 0.2 else round(rnd.random() * 90, 1)
+    left = [(i, [name(i)] if i % 4 else ["공중화장실"], None, [f"길:{i % 50}"] if i % 5 else [], None, "구", metres(), "R") for i in range(240)]
+    right = [(1000 + i, [name(i)] if i % 6 else ["공중화장실"], None, [f"길:{i % 50}"] if i % 3 else [], None, "구", metres(), "R") for i in range(120)]
+    df = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = {tuple(r) for r in entities.candidate_pairs(*df).collect()}
+    n = len({x[1][0] for x in left + right})
+    pieces = lambda s: {s[i : i + 2] for i in range(len(s) - 1)}
+    names = {x[1][0] for x in left + right}
+    df_ = Counter(p for x in names for p in pieces(x))
+    weight = lambda ps: sum(math.log1p(n / df_[p]) for p in ps)
+    alike = lambda a, b: weight(pieces(a) & pieces(b)) >= 0.5 * max(weight(pieces(a)), weight(pieces(b))) - 1e-9
+    near = lambda x, y: x[6] is not None and y[6] is not None and abs(x[6] - y[6]) <= 12
+    for y in right:
+        for x in left:
+            one_house, open_ = bool(set(x[3]) & set(y[3])), not x[3] or not y[3]
+            if not one_house and not (open_ and alike(x[1][0], y[1][0])):
+                assert (x[0], y[0]) not in got
+                continue
+            rivals = [z for z in left if (z[1] == x[1] or not alike(x[1][0], y[1][0])) and (set(z[3]) & set(y[3]) if one_house else not y[3] or not z[3])]
+            if len(rivals) == 1 or near(x, y):
+                assert (x[0], y[0]) in got
+            elif (x[0], y[0]) not in got:  # far, or one of several without distance
+                assert len(rivals) > 1 and (x[6] is None or y[6] is None or not near(x, y))
 
 
 def test_disguise_is_undone():

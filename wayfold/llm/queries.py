@@ -32,7 +32,7 @@ def _facility_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
 
 
 def _facility_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.match(*_facility_sides(spark, sf_dir))
+    return entities.match(*_facility_sides(spark, sf_dir))[0]
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
