@@ -155,6 +155,12 @@ def test_candidates_equal_brute_force(spark):
 def test_disguise_is_undone():
     assert abuse.normalize("너 같은 쓰 레 기, 멍*청이야!! 씨발발발발") == ["너", "같은", "쓰레기", "멍청이야", "씨발"]
     assert abuse.normalize("You dumb@55, b@5t@rd!") == ["you", "dumbass", "bastard"]
+    assert abuse.normalize("You are trash!") == ["you", "are", "trash"] and abuse.normalize("Go 2 room101!!") == ["go", "0", "room", "0"]
+    assert abuse.normalize("g0 t0 h3ll, k155 it") == ["go", "to", "hell", "kiss", "it"]
+    assert abuse.split_sentences("<b class='x'>안녕</b> <씨발 꺼져> a<br/>c") == [" 안녕  <씨발 꺼져> a c"]
+    assert len(abuse.word_buckets("motherfuckering!")) == len(abuse.word_buckets("a" * abuse.WHOLE_LATIN)) == abuse.PIECES
+    enc = abuse.Encoder()
+    assert (enc(enc.windows(["motherfuckers"])) > 0).sum() == 1 and set(abuse.word_buckets("motherfuckers")) <= set(enc.table[1].tolist())
     long = "가나다라마바사아자차" * 30
     assert set("".join(abuse.normalize(long))) == set(long)
 

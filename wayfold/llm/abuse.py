@@ -23,6 +23,7 @@ columns are not read.
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 import zlib
@@ -37,14 +38,21 @@ from pyspark.sql import functions as F
 from wayfold.plans.runtime import materialize
 
 MAX_LABELLED = 6000
-BUCKETS, DIM, FILTERS, WIDTHS, WORDS, PIECES = 1 << 15, 24, 32, (1, 2, 3), 28, 12
-
+#: letters of a word that is taken whole: Latin, and of other scripts
+WHOLE_LATIN, WHOLE = 16, 8
+#: a whole word between marks, its pairs and its triples of letters
+PIECES = 1 + (WHOLE_LATIN + 1) + WHOLE_LATIN
+BUCKETS, DIM, FILTERS, WIDTHS, WORDS = 1 << 15, 24, 32, (1, 2, 3), 28
+
+#: fixed values: names of markup elements
+ELEMENTS = "a abbr article b big blockquote body br center code dd del div dl dt em font footer h1 h2 h3 h4 h5 h6 head header hr html i img ins label li link main mark meta nav ol option p pre q s script section select small span strike strong style sub sup table tbody td tfoot th thead title tr u ul".split(" ")
 INVISIBLE = re.compile("[­​-‏⁠﻿]")
-MARKUP = re.compile(r"<[^>]{1,80}>")
+MARKUP = re.compile(rf"""</?(?:{"|".join(ELEMENTS)})(?:\s+[a-z-]+(?:\s*=\s*(?:"[^"<>]*"|'[^'<>]*'|[^\s<>"']+))?)*\s*/?>""", re.I)
 SPREAD = re.compile(r"(?<![가-힣a-z])(?:[가-힣a-z](?:[ .\-_*·~]{1,3}|$)){2,}[가-힣a-z](?![가-힣a-z])")
 INSIDE = re.compile(r"(?<=[가-힣a-z])[.*_\-~^·'`|+#/\\!?]+(?=[가-힣a-z])")
 STRETCHED = re.compile(r"(.)\1{2,}")
-LEET = re.compile(r"(?=[a-z0-9@$!]*[a-z])(?=[a-z0-9@$!]*[0-9@$!])[a-z0-9@$!]{3,}")
+LEET = re.compile(r"(?<![a-z0-9@$])(?=[013457@$!]*[a-z])[a-z013457@$!]*[a-z013457@$](?![a-z0-9@$])")
+MARKED = re.compile(r"[a-z][013457]*[@$]|[@$][013457]*[a-z]|[a-z][013457!@$]+[a-z]")
 LEET_LETTERS = str.maketrans("013457@$!", "oieastasi")
 NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 SENTENCE = re.compile(r"(?<=[.!?。…])\s+|[\r\n]+|(?<=[.!?])(?=[\"'」』)\]])")
@@ -55,10 +63,17 @@ def split_sentences(text: str) -> list[str]:
     return [s for s in SENTENCE.split(MARKUP.sub(" ", text)) if s and not s.isspace()]
 
 
+def _letters_for_signs(s: str) -> str:
+    """A sentence with a sign beside letters or a digit between letters has all such words in letters; else room101 and 3rd stay."""
+    if any(MARKED.search(m[0]) for m in LEET.finditer(s)):
+        return LEET.sub(lambda m: m[0].translate(LEET_LETTERS), s)
+    return s
+
+
 def normalize(sentence: str) -> list[str]:
     """Words of a sentence with disguise undone."""
     s = INVISIBLE.sub("", unicodedata.normalize("NFKC", sentence)).lower()
-    s = LEET.sub(lambda m: m[0].translate(LEET_LETTERS), s)
+    s = _letters_for_signs(s)
     s = NUMBER.sub("0", s)
     s = STRETCHED.sub(r"\1", s)
     s = INSIDE.sub("", s)
@@ -68,10 +83,10 @@ def normalize(sentence: str) -> list[str]:
 
 def _chunks(word: str) -> list[str]:
     """Writing without blanks is cut into overlapping stretches of letters, so that all of it is seen."""
-    size = 4 if word > "z" else 8
-    if len(word) <= 2 * size:
+    whole = WHOLE if word > "z" else WHOLE_LATIN
+    if len(word) <= whole:
         return [word]
-    return [word[i : i + size] for i in range(0, len(word) - size // 2, size // 2)]
+    return [word[i : i + whole // 2] for i in range(0, len(word) - whole // 4, whole // 4)]
 
 
 def _bucket(piece: str) -> int:
@@ -79,28 +94,32 @@ def _bucket(piece: str) -> int:
 
 
 def word_buckets(word: str) -> list[int]:
-    """The word and its letter pieces; 0 is no piece."""
+    """The word and all its letter pieces."""
     w = f"<{word}>"
     grams = [w[i : i + n] for n in (2, 3) for i in range(len(w) - n + 1)]
-    return [_bucket(w), *map(_bucket, grams)][:PIECES]
+    return [_bucket(w), *map(_bucket, grams)]
 
 
 class Encoder:
-    """Sentences to arrays of buckets, with known words remembered."""
+    """Sentences to arrays of word numbers, and the buckets of each word; number 0 is no word."""
 
     def __init__(self):
-        self.known: dict[str, np.ndarray] = {}
-
-    def word(self, w: str) -> np.ndarray:
-        out = self.known.get(w)
-        if out is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            out = np.zeros(PIECES, dtype=np.int32)
+        self.numbers: dict[str, int] = {}
+        self.rows = np.zeros((1024, PIECES), np.int32)
+
+    def word(self, w: str) -> int:
+        k = self.numbers.get(w)
+        if k is None:
+            k = self.numbers[w] = len(self.numbers) + 1
+            if k >= len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
             b = word_buckets(w)
-            out[: len(b)] = b
-            self.known[w] = out
-        return out
+            self.rows[k, : len(b)] = b
+        return k
+
+    @property
+    def table(self) -> np.ndarray:
+        return self.rows[: len(self.numbers) + 1]
 
     def windows(self, words: list[str]) -> list[list[str]]:
         """A long sentence is cut into overlapping windows, so that none of it is dropped."""
@@ -109,10 +128,9 @@ class Encoder:
         return [words[i : i + WORDS] for i in range(0, len(words) - 3, WORDS - 4)]
 
     def __call__(self, windows: list[list[str]]) -> np.ndarray:
-        out = np.zeros((len(windows), WORDS, PIECES), dtype=np.int32)
+        out = np.zeros((len(windows), WORDS), dtype=np.int32)
         for i, ws in enumerate(windows):
-            for j, w in enumerate(ws):
-                out[i, j] = self.word(w)
+            out[i, : len(ws)] = [self.word(w) for w in ws]
         return out
 
 
@@ -126,13 +144,12 @@ class Net:
         self.o = (r.standard_normal(FILTERS * len(WIDTHS)) * 0.1).astype(np.float32)
         self.c = np.float32(-2.0)
 
-    def _embed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        n = np.maximum((x > 0).sum(2, keepdims=True), 1).astype(np.float32)
-        return self.e[x].sum(2) / np.sqrt(n), n
+    def word_vectors(self, table: np.ndarray, batch: int = 4096) -> np.ndarray:
+        """A row a word: the sum of its buckets' vectors over the root of their number."""
+        parts = [self.e[t].sum(1) / np.sqrt(np.maximum((t > 0).sum(1, keepdims=True), 1)) for t in (table[i : i + batch] for i in range(0, len(table), batch))]
+        return np.concatenate(parts).astype(np.float32) if parts else np.zeros((0, DIM), np.float32)
 
-    def forward(self, x: np.ndarray):
-        h, n = self._embed(x)
-        real = (x[:, :, 0] > 0)
+    def forward(self, h: np.ndarray, real: np.ndarray):
         pooled, where, wins = [], [], []
         for k, width in enumerate(WIDTHS):
             win = np.concatenate([h[:, i : WORDS - width + 1 + i] for i in range(width)], axis=2)
@@ -143,15 +160,15 @@ class Net:
             pooled.append(np.maximum(top, 0))
             where.append(at)
             wins.append(win)
-        p = np.concatenate(pooled, 1)
-        return p, where, wins, n
+        return np.concatenate(pooled, 1), where, wins
 
-    def scores(self, x: np.ndarray, batch: int = 512) -> np.ndarray:
-        out = [self.forward(x[i : i + batch])[0] @ self.o + self.c for i in range(0, len(x), batch)]
+    def scores(self, x: np.ndarray, vectors: np.ndarray, batch: int = 512) -> np.ndarray:
+        """x: word numbers; vectors: word_vectors of all of them."""
+        out = [self.forward(vectors[b], b > 0)[0] @ self.o + self.c for b in (x[i : i + batch] for i in range(0, len(x), batch))]
         z = np.concatenate(out) if out else np.zeros(0, np.float32)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int, seed: int = 3, rate: float = 0.004, keep: float = 0.7, batch: int = 128) -> None:
+    def fit(self, x: np.ndarray, table: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int, seed: int = 3, rate: float = 0.004, keep: float = 0.7, batch: int = 128) -> None:
         """Adam on weighted log-loss with dropout on the pooled filters; embeddings get sparse updates."""
         r = np.random.default_rng(seed)
         params = [*self.w, *self.b, self.o]
@@ -163,10 +180,12 @@ class Net:
             for s in range(0, len(x), batch):
                 i = order[s : s + batch]
                 xb, t = x[i], t + 1
-                xb = np.where(r.random(xb.shape[:2])[:, :, None] < 0.12, 0, xb)  # words dropped, so that none decides alone
-                empty = ~(xb[:, :, 0] > 0).any(1)
+                xb = np.where(r.random(xb.shape) < 0.12, 0, xb)  # words dropped, so that none decides alone
+                empty = ~(xb > 0).any(1)
                 xb[empty] = x[i][empty]
-                p, where, wins, n = self.forward(xb)
+                words, at = np.unique(xb, return_inverse=True)
+                at = at.reshape(xb.shape)
+                p, where, wins = self.forward(self.word_vectors(table[words])[at], xb > 0)
                 mask = (r.random(p.shape) < keep) / keep
                 q = p * mask
                 z = np.clip(q @ self.o + self.c, -30, 30)
@@ -189,15 +208,17 @@ class Net:
                     v[j] = 0.999 * v[j] + 0.001 * gj * gj
                     pj -= rate * (m[j] / (1 - 0.9**t)) / (np.sqrt(v[j] / (1 - 0.999**t)) + 1e-8)
                 self.c -= np.float32(rate * 2 * g.sum())
-                hit = np.flatnonzero(np.abs(gh).sum(2).ravel())
+                gv = np.zeros((len(words), DIM), np.float32)
+                np.add.at(gv, at.ravel(), gh.reshape(-1, DIM))
+                hit = np.flatnonzero(np.abs(gv).sum(1) * (words > 0))
                 if len(hit):
-                    gt = gh.reshape(-1, DIM)[hit] / np.sqrt(n.reshape(-1, 1)[hit])
-                    ids = xb.reshape(-1, PIECES)[hit]
+                    ids = table[words[hit]]
+                    n = (ids > 0).sum(1)
                     flat, rep = ids.ravel(), np.repeat(np.arange(len(hit)), PIECES)
                     used = flat > 0
                     uniq, back = np.unique(flat[used], return_inverse=True)
                     ge = np.zeros((len(uniq), DIM), np.float32)
-                    np.add.at(ge, back, gt[rep[used]])
+                    np.add.at(ge, back, (gv[hit] / np.sqrt(n)[:, None])[rep[used]])
                     acc[uniq] += (ge * ge).mean(1)
                     self.e[uniq] -= 0.05 * ge / np.sqrt(acc[uniq])[:, None]
 
@@ -255,7 +276,8 @@ def fit(docs: list[list[tuple[str, ...]]], labels: np.ndarray, enc: Encoder, epo
     w = w * np.where(y == 1, min(12.0, max(1.0, neg / pos / 4)), 1.0).astype(np.float32)
     net = Net(seed)
     if y.any():
-        net.fit(enc([list(s) for s in sentences]), y, w, epochs, seed=seed)
+        x = enc([list(s) for s in sentences])
+        net.fit(x, enc.table, y, w, epochs, seed=seed)
     return net
 
 
@@ -285,7 +307,11 @@ def best_threshold(score: np.ndarray, y: np.ndarray, default: float, slack: floa
 
 class Model:
     def __init__(self, net: Net | None, thresholds: dict[str, float]):
-        self.net, self.thresholds, self.enc, self.cache = net, thresholds, Encoder(), {}
+        self.net, self.thresholds = net, thresholds
+        self._forget()
+
+    def _forget(self) -> None:
+        self.enc, self.vectors, self.cache = Encoder(), np.zeros((0, DIM), np.float32), {}
 
     def __getstate__(self):
         return {"net": self.net, "thresholds": self.thresholds}
@@ -298,13 +324,16 @@ class Model:
         if self.net is None:
             return out
         docs = _instances([t or "" for t in texts], self.enc)
+        if len(self.cache) > 100_000 or len(self.enc.numbers) > 200_000:
+            self._forget()
         new = list({s for d in docs for s in d} - self.cache.keys())
-        if len(self.cache) + len(new) > 100_000:
-            self.cache.clear()
-            new = list({s for d in docs for s in d})
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
-            self.cache.update(zip(part, self.net.scores(self.enc([list(s) for s in part])).tolist()))
+            x = self.enc([list(s) for s in part])
+            fresh = self.enc.table[len(self.vectors) :]
+            if len(fresh):
+                self.vectors = np.concatenate([self.vectors, self.net.word_vectors(fresh)])
+            self.cache.update(zip(part, self.net.scores(x, self.vectors).tolist()))
         for i, d in enumerate(docs):
             if d:
                 out[i] = max(self.cache[s] for s in d)
@@ -314,39 +343,69 @@ class Model:
         return self.thresholds.get(lang, self.thresholds.get("", 0.5))
 
 
-def train(rows: list[tuple[int, str | None, str | None, float]]) -> Model:
-    """rows: id, text, language label, mean label."""
-    rows = [r for r in rows if r[1] and not r[1].isspace() and r[3] != 0.5]
-    labels = np.array([1 if r[3] > 0.5 else 0 for r in rows])
-    if not len(rows) or labels.min() == labels.max():
-        return Model(None, {"": 1.1})
+def usable(rows: list[tuple]) -> list[tuple]:
+    """Rows (id, text, language label, mean label) with text and a majority of annotators, by id."""
+    return sorted((r for r in rows if r[1] and not r[1].isspace() and r[3] != 0.5), key=lambda r: r[0])
+
+
+def fold_of(row: tuple) -> int:
+    return zlib.crc32(str(row[0]).encode()) % 2
+
+
+def fit_part(rows: list[tuple], unseen: int | None) -> tuple[Net | None, dict[int, float]]:
+    """A net from the rows outside the fold unseen (None: from all), and its scores of that fold's documents."""
+    labels = np.array([1 if r[3] > 0.5 else 0 for r in rows], int)
     enc = Encoder()
     docs = _instances([r[1] for r in rows], enc)
-    part = np.array([zlib.crc32(str(r[0]).encode()) % 2 for r in rows])
-    unseen = np.zeros(len(rows))
-    for side in (0, 1):
-        at = np.flatnonzero(part != side)
-        if labels[at].min() == labels[at].max():
-            continue
-        net = fit([docs[i] for i in at], labels[at], enc)
-        own = np.flatnonzero(part == side)
-        for i in own:
-            unseen[i] = net.scores(enc([list(s) for s in docs[i]])).max() if docs[i] else 0.0
+    at = [i for i, r in enumerate(rows) if unseen is None or fold_of(r) != unseen]
+    if not at or labels[at].min() == labels[at].max():
+        return None, {}
+    net = fit([docs[i] for i in at], labels[at], enc)
+    rest = [i for i, r in enumerate(rows) if unseen is not None and fold_of(r) == unseen]
+    x = [enc([list(s) for s in docs[i]]) for i in rest]
+    vectors = net.word_vectors(enc.table)
+    return net, {rows[i][0]: float(net.scores(v, vectors).max()) if len(v) else 0.0 for i, v in zip(rest, x)}
+
+
+def calibrated(rows: list[tuple], net: Net | None, unseen: dict[int, float]) -> Model:
+    """The net with a threshold for each language, from scores of documents that the scoring net had not seen."""
+    if net is None:
+        return Model(None, {"": 1.1})
+    labels = np.array([1 if r[3] > 0.5 else 0 for r in rows])
+    score = np.array([unseen.get(r[0], 0.0) for r in rows])
     langs = np.array([language(r[2], r[1]) for r in rows])
-    thresholds = {"": best_threshold(unseen, labels, 0.5)}
+    thresholds = {"": best_threshold(score, labels, 0.5)}
     for lang in set(langs.tolist()):
-        thresholds[lang] = best_threshold(unseen[langs == lang], labels[langs == lang], thresholds[""])
-    model = Model(fit(docs, labels, enc), thresholds)
-    model.unseen, model.labels, model.langs = unseen, labels, langs
-    return model
+        thresholds[lang] = best_threshold(score[langs == lang], labels[langs == lang], thresholds[""])
+    return Model(net, thresholds)
+
+
+def train(rows: list[tuple[int, str | None, str | None, float]]) -> Model:
+    """rows: id, text, language label, mean label."""
+    rows = usable(rows)
+    seen = fit_part(rows, 0)[1] | fit_part(rows, 1)[1]
+    return calibrated(rows, fit_part(rows, None)[0], seen)
 
 
 def trained(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
-    """A model from at most max_labelled labelled documents."""
+    """A model from at most max_labelled labelled documents. Its three nets are three tasks."""
     per = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.avg(F.col("toxic").cast("double")).alias("label"))
     sample = materialize(per.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
-    rows = documents.select("doc_id", "text", "lang").join(sample, "doc_id").dropDuplicates(["doc_id"]).collect()  # max_labelled rows
-    return train([tuple(r) for r in sorted(rows, key=lambda r: r[0])])
+    rows = materialize(documents.select("doc_id", "text", "lang").join(sample, "doc_id").dropDuplicates(["doc_id"]))  # max_labelled rows
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = usable([(r.doc_id, r.text, r.lang, r.label) for r in pdf.itertuples()])
+        part = int(pdf.part.iloc[0])
+        net, unseen = fit_part(own, None if part == 2 else part)
+        out = [(k, v, None) for k, v in unseen.items()]
+        if part == 2:
+            out.append((None, None, pickle.dumps(net)))
+        return pd.DataFrame(out, columns=["doc_id", "score", "net"]).astype({"doc_id": "Int64", "score": float, "net": object})
+
+    each = rows.withColumn("part", F.explode(F.array(*map(F.lit, (0, 1, 2))))).repartitionByRange(3, "part")
+    done = each.groupBy("part").applyInPandas(work, "doc_id bigint, score double, net binary").collect()  # a score a document of the sample, and one net
+    net = next((pickle.loads(r.net) for r in done if r.net is not None), None)
+    return calibrated(usable([(r.doc_id, r.text, r.lang, r.label) for r in rows.collect()]), net, {r.doc_id: r.score for r in done if r.net is None})
 
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:
