@@ -64,9 +64,12 @@ def split_sentences(text: str) -> list[str]:
 
 
 def _letters_for_signs(s: str) -> str:
-    """A sentence with a sign beside letters or a digit between letters has all such words in letters; else room101 and 3rd stay."""
-    if any(MARKED.search(m[0]) for m in LEET.finditer(s)):
-        return LEET.sub(lambda m: m[0].translate(LEET_LETTERS), s)
+    """A sentence with a sign beside letters or a digit between letters has all such words in letters; else room101 and 3rd stay.
+
+    Words longer than any that is taken whole are writing without blanks: their digits are numbers.
+    """
+    if any(len(m[0]) <= WHOLE_LATIN and MARKED.search(m[0]) for m in LEET.finditer(s)):
+        return LEET.sub(lambda m: m[0].translate(LEET_LETTERS) if len(m[0]) <= WHOLE_LATIN else m[0], s)
     return s
 
 
@@ -266,7 +269,7 @@ def fit(docs: list[list[tuple[str, ...]]], labels: np.ndarray, enc: Encoder, epo
     w = [float(weight.get(s, 1)) for s in plain]
     sentences = list(plain)
     for i, s in enumerate(plain):  # some once more without blanks
-        if zlib.crc32(" ".join(s).encode()) % 6 == 0 and len(s) > 1:
+        if zlib.crc32(" ".join(s).encode()) % 3 == 0 and len(s) > 1:
             glued = enc.windows(_chunks("".join(s)))
             sentences += [tuple(g) for g in glued]
             y += [y[i]] * len(glued)

@@ -117,17 +117,17 @@ def consolidate(pairs: DataFrame, left: str, right: str, vertex: str = "vertex_i
         edges, gone = stripped if stripped else _contract(edges)
         log.append(gone)
     # restore: a vertex without parent and label is a root of its own
-    known: DataFrame | None = None
+    levels: list[DataFrame] = []  # each round's rows are written once
     for gone in reversed(log):
         hung = gone.where("parent is not null").select("v", "parent")
         mine = gone.where("parent is null").select("v", F.col("label").alias("root"))
-        if known is None:
-            handed = hung.select("v", F.col("parent").alias("root"))
-        else:
-            k = known.select(F.col("v").alias("parent"), "root")
+        if levels:
+            k = reduce(DataFrame.unionByName, levels).select(F.col("v").alias("parent"), "root")
             handed = hung.join(k, "parent", "left").select("v", F.coalesce("root", "parent").alias("root"))
-        level = mine.unionByName(handed)
-        known = materialize(level if known is None else known.unionByName(level))
+        else:
+            handed = hung.select("v", F.col("parent").alias("root"))
+        levels.append(materialize(mine.unionByName(handed)))
+    known = reduce(DataFrame.unionByName, levels) if levels else None
     if known is None:
         return vertices.select(F.col("v").alias(vertex), F.col("v").alias(group))
     rooted = vertices.join(known, "v", "left").select("v", F.coalesce("root", "v").alias("root"))
