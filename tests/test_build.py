@@ -1,5 +1,7 @@
 """Graph building on small fixtures."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from wayfold.functions import geo
@@ -19,11 +21,46 @@ def test_chains(spark):
     assert {r.edge_id: r.chain for r in build.chains(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6}
 
 
+def test_crossings_of_long_legs_equal_brute_force(spark):
+    rnd = random.Random(6)
+    at = lambda: (rnd.random() * 3000, rnd.random() * 3000)
+    rows = [(i, [at(), at(), at()] if i % 3 else [(v := at()), (v[0] + 9, v[1] + 5)]) for i in range(60)]
+    df = spark.createDataFrame(rows, LINES)
+
+    def meet(a, b, c, d):
+        den = (b[0] - a[0]) * (d[1] - c[1]) - (b[1] - a[1]) * (d[0] - c[0])
+        if not den:
+            return False
+        t = ((c[0] - a[0]) * (d[1] - c[1]) - (c[1] - a[1]) * (d[0] - c[0])) / den
+        u = ((c[0] - a[0]) * (b[1] - a[1]) - (c[1] - a[1]) * (b[0] - a[0])) / den
+        return 0 <= t <= 1 and 0 <= u <= 1
+
+    want = {(i, j) for i, p in rows for j, q in rows if i < j for a, b in zip(p, p[1:]) for c, d in zip(q, q[1:]) if meet(a, b, c, d)}
+    assert len(want) > 100 and {(r.edge_id_a, r.edge_id_b) for r in build.crossings(df).collect()} == want
+
+
+def test_near_crosses_and_overlaps(spark):
+    df = spark.createDataFrame([(1, [(0.0, 0.0), (100.0, 0.0)]), (2, [(50.0, 2.0), (50.0, 40.0)]), (3, [(20.0, 1.0), (60.0, 1.2)]), (4, [(300.0, 2.0), (400.0, 2.0)])], LINES)
+    assert {(r.edge_id_a, r.edge_id_b): (round(r.distance_m, 3), round(r.turn, 1)) for r in build.near_crosses(df).collect()} == {(1, 2): (2.0, 90.0), (2, 3): (0.85, 89.7)}
+    got = {(r.edge_id_a, r.edge_id_b): (round(r.length, 2), round(r.x, 1)) for r in build.near_overlaps(df).collect()}
+    assert got == {(1, 3): (40.0, 40.0)}
+
+
 def test_self_scan(spark):
-    nodes = spark.createDataFrame([(i, 100.0 * i, 0.0) for i in range(1, 8)], "vertex_id long, x double, y double")
-    seg = spark.createDataFrame([(1, 1, 2, 100.0), (2, 2, 3, 100.0), (3, 2, 4, 10.0), (4, 4, 5, 12.0), (5, 3, 3, 5.0), (6, 6, 7, 4.0)], "edge_id long, from_node_id long, to_node_id long, length double")
-    left, removed = build.self_scan(nodes, seg)
-    assert {r.edge_id for r in left.collect()} == {1, 2, 6} and removed == [2, 1, 0]
+    kind = lambda i, *ps: (i, "SIDE_LEFT", [(float(x), float(y)) for x, y in ps])
+    rows = [
+        kind(1, (0, 0), (100, 0)), kind(2, (100, 0), (200, 0)), kind(3, (100, 0), (100, 12)),  # a dangling tail of 12 m
+        kind(4, (200, 0), (200.2, 5)), kind(5, (200.2, 5), (300, 9)), kind(6, (200, 0), (300, 40)),  # 4: short, both ends shared
+        kind(7, (900, 900), (905, 900)),  # stands alone
+        (8, "GAP_BRIDGE", [(0.0, 0.0), (0.0, 13.0)]), kind(9, (0, 13), (0, 90)),  # a short bridge with both ends shared
+        kind(10, (500, 0), (540, 0)), kind(11, (500, 0), (500, 70)), kind(12, (500, 0), (430, 0)), kind(13, (500, 0), (500, -70)),  # four ends at one place, 10 is below 42 m
+        (14, "OTHER", [(0.0, 0.0), (0.0, -5.0)]),
+    ]
+    df = spark.createDataFrame(rows, "edge_id long, segment_type string, points array<struct<x:double,y:double>>")
+    assert {r.edge_id: r.reason for r in build.anomalies(df).collect()} == {3: "DANGLING_TAIL", 4: "MICRO_LOOP", 8: "BRIDGE_ARTIFACT", 10: "DENSE_TAIL"}
+    left, removed, settled = build.self_scan(df)
+    assert removed[0] == 4 and removed[-1] == 0 and settled and {7, 14} <= {r.edge_id for r in left.collect()}
+    assert build.anomalies(df.withColumn("made_by_repair", F.lit(True))).count() == 0
 
 
 def test_edits(spark):
@@ -51,7 +88,7 @@ def test_learned_lengths(spark):
     e = spark.createDataFrame([("delete_segment", float(v)) for v in (5, 10, 20, 30)] + [("add_segment", float(v)) for v in (4, 8, 16)], "action string, length double")
     r = build.learned_lengths(e).first()
     assert (r.delete_max, r.add_min, r.add_max) == (20.0, 4.0, 20.0)
-    assert build.learned_lengths(e.where(F.lit(False))).first().delete_max == 25.0
+    assert build.learned_lengths(e.where(F.lit(False))).first().delete_max == 35.0
 
 
 def test_side_lines_and_zones(spark):

@@ -3,13 +3,14 @@
 import heapq
 import random
 import re
+import statistics
 import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from wayfold.functions import arrow, geo, states, text
-from wayfold.operators import fuse, graph, nearest, repair, rules
+from wayfold.operators import fuse, graph, nearest, repair, routing, rules
 from wayfold.sources import files
 from wayfold.streaming import flow
 
@@ -93,8 +94,16 @@ def test_components_and_paths(spark):
             cost[v] = d
             for w, c in adj[v]:
                 heapq.heappush(heap, (d + c, w))
-    got = graph.shortest_paths(df, spark.createDataFrame([(1, source)], "source_id long, vertex_id long"), "c").collect()
-    assert {r.vertex_id: r.cost for r in got} == cost
+    for size in (7, 10_000):  # many small blocks, one block
+        got = routing.shortest_paths(df, spark.createDataFrame([(1, source)], "source_id long, vertex_id long"), "c", edge="edge_id", block_size=size)
+        assert {r.vertex_id: r.cost for r in got.collect()} == cost
+    rows = routing.path_rows(got, spark.createDataFrame([(1, v) for v in cost], "source_id long, target_id long")).collect()
+    price = {i: c for i, (_, _, c) in enumerate(e)}
+    for target in cost:
+        mine = sorted((r.seq, r.vertex_id, r.edge_id) for r in rows if r.target_id == target)
+        assert mine[0][1:] == (source, None) and mine[-1][1] == target and [m[0] for m in mine] == list(range(len(mine)))
+        assert sum(price[m[2]] for m in mine[1:]) == cost[target]
+        assert all({e[m[2]][0], e[m[2]][1]} == {k[1], m[1]} for k, m in zip(mine, mine[1:]))
     assert graph.components(df.limit(0), "from_node_id", "to_node_id").count() == 0
 
 
@@ -126,10 +135,33 @@ def test_fusing(spark):
     v = spark.createDataFrame([(1, "A", 3), (1, "B", 1), (1, "B", 4), (1, "A", 9), (1, "UNKNOWN", 0), (2, None, 1)], "k int, s string, o int")
     assert [(r.k, r.s, r.votes) for r in fuse.majority(v, ["k"], "s", "o").collect()] == [(1, "B", 2)]
     assert {r.new_id: r.o for r in fuse.renumber(v.select("o").distinct(), "new_id", "o").collect()} == {1: 0, 2: 1, 3: 3, 4: 4, 5: 9}
+    big = spark.range(2_000_000).select(F.xxhash64("id").alias("k"), F.repeat(F.lit("x"), 40).alias("payload"), F.rand(3).alias("noise"))
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    n = fuse.renumber(big, "new_id", "k").agg(F.count_distinct("new_id").alias("d"), F.min("new_id").alias("lo"), F.max("new_id").alias("hi"), F.corr(F.col("new_id"), F.col("k")).alias("c")).first()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert (n.d, n.lo, n.hi) == (2_000_000, 1, 2_000_000) and n.c > 0.99
     up = fuse.upsert(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), ["k"])
     assert {tuple(r) for r in up.collect()} == {(1, "a"), (2, "c"), (3, "d")}
     asof = fuse.as_of(spark.createDataFrame([(1, 5, "x"), (1, 1, "y")], "k int, t int, n string"), spark.createDataFrame([(1, 2, "r"), (1, 5, "s")], "k int, at int, m string"), ["k"], "t", "at")
     assert {(r.n, r.m) for r in asof.collect()} == {("x", "s"), ("y", None)}
+    rnd = random.Random(9)
+    lefts = [(rnd.randrange(3), rnd.randrange(500), i) for i in range(400)]
+    rights = [(rnd.randrange(4), t, t * 10 + k) for k, t in enumerate(rnd.sample(range(500), 120))]
+    sides = spark.createDataFrame(lefts, "k int, t int, n int"), spark.createDataFrame(rights, "k int, at int, m int")
+    for forward in (False, True):
+        got = {r.n: r.m for r in fuse.as_of(*sides, ["k"], "t", "at", forward=forward, chunk_rows=50).collect()}
+        after = lambda k, t: min(((at, m) for q, at, m in rights if q == k and at >= t), default=(0, None))[1]
+        before = lambda k, t: max(((at, m) for q, at, m in rights if q == k and at <= t), default=(0, None))[1]
+        pick = after if forward else before
+        assert got == {i: pick(k, t) for k, t, i in lefts}
+    edges = [(i, rnd.randrange(8), rnd.randrange(8), None if rnd.random() < 0.4 else float(rnd.randrange(6))) for i in range(60)] + [(100, None, 3, None), (101, 90, 91, None), (102, 5, 5, 4.0), (103, 5, 5, None)]
+    filled = {r.e: r.filled for r in fuse.neighbour_median(spark.createDataFrame(edges, "e int, a int, b int, v double"), "e", ["a", "b"], "v").collect()}
+    want = {}
+    for i, a, b, own in edges:
+        mine = [w for j, c, d, w in edges if w is not None and {a, b} & {c, d} - {None}]
+        if own is None and mine:
+            want[i] = round(statistics.median(mine), 4)
+    assert filled == want
     diff = fuse.positional_diff(spark.createDataFrame([(1, "a"), (2, "b")], "i int, v string"), spark.createDataFrame([(1, "a"), (2, "c"), (3, "d")], "i int, v string"), "i")
     assert {r.i for r in diff.collect()} == {2, 3}
     scoped = fuse.scope_replace(v.select("k"), spark.createDataFrame([(1,), (3,)], "k int"), F.col("k") == 1)
@@ -169,6 +201,12 @@ def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes('﻿"이름", 값\n" 가 ",1\n나,\n'.encode("cp949", "ignore"))
     df = files.read_csv(spark, str(tmp_path / "a.csv"), required=["이름", "값"])
     assert [tuple(r) for r in df.collect()] == [("가", "1"), ("나", None)]
+    (tmp_path / "many").mkdir()
+    (tmp_path / "many/a.csv").write_bytes("\ufeff이름,값\n가,1\n".encode())
+    (tmp_path / "many/b.csv").write_bytes("이름,값\n".encode("cp949") + "x,2\n".encode() * 200_000 + "나,3\n".encode("cp949"))  # not UTF-8 by its last line only
+    many = files.read_csv(spark, str(tmp_path / "many"))
+    assert many.count() == 200_002 and {tuple(r) for r in many.distinct().collect()} == {("가", "1"), ("x", "2"), ("나", "3")}
+    assert {(r.encoding, r.n_lines) for r in files.folder_manifest(spark, str(tmp_path / "many")).collect()} == {("UTF-8", 2), ("x-windows-949", 200_002)}
     with pytest.raises(ValueError, match="lacks"):
         files.read_csv(spark, str(tmp_path / "a.csv"), required=["없음"])
     (tmp_path / "w.js").write_text('window.DATA = [{"a": 1, "b": "x"}, {"a": 2, "b": null}];')
@@ -190,11 +228,14 @@ def test_shapes(spark, tmp_path):
 
 def test_osm_export(spark):
     nodes = spark.createDataFrame([(1, 126.0, 34.0), (2, 126.1, 34.0)], "vertex_id long, lon double, lat double")
-    seg = spark.createDataFrame([(10, [(126.0, 34.0), (126.05, 34.05), (126.05, 34.05), (126.1, 34.0)], None, 'a"<b')], "edge_id long, points array<struct<x:double,y:double>>, walk string, note string")
+    seg = spark.createDataFrame([(10, 1, 2, [(126.0, 34.0), (126.05, 34.05), (126.05, 34.05), (126.09999, 34.0)], None, 'a"<b')], "edge_id long, from_node_id long, to_node_id long, points array<struct<x:double,y:double>>, walk string, note string")
     osm = files.osm_nodes(nodes, seg)
-    way = files.osm_ways(seg, osm, {"walk": "walk", "note": "note"}).first()
-    assert osm.count() == 3 and way.refs[0] == 1 and way.refs[-1] == 2 and len(way.refs) == 3 and way.tags["walk"] == "UNKNOWN"
+    way = files.osm_ways(seg, osm, {"walk": "walk", "note": "note"}, prefix="x:").first()
+    # the drawn end is off its node, and yet the way ends there
+    assert osm.count() == 3 and way.refs == [1, -1, 2] and way.tags == {"highway": "footway", "foot": "yes", "oneway": "no", "source": "graph", "x:walk": "UNKNOWN", "x:note": 'a"<b'}
     assert any("a&quot;&lt;b" in r.value for r in files.osm_lines(osm, files.osm_ways(seg, osm, {"note": "note"})).collect())
+    with pytest.raises(Exception, match="does not exist"):
+        files.osm_ways(seg.withColumn("to_node_id", F.lit(7).cast("long")), osm, {}).collect()
 
 
 def test_raster(spark):

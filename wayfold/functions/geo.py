@@ -193,13 +193,15 @@ def morton(x: Column, y: Column) -> Column:
 
 def measured(points: Column) -> Column:
     """Vertices with their distance along the line: array<struct(x, y, m)>."""
-    first = F.struct(points[0].x.alias("x"), points[0].y.alias("y"), F.lit(0.0).alias("m"))
-
-    def step(acc, p):
-        last = F.element_at(acc, -1)
-        return F.concat(acc, F.array(F.struct(p.x.alias("x"), p.y.alias("y"), (last.m + F.hypot(p.x - last.x, p.y - last.y)).alias("m"))))
-
-    return F.when(F.size(points) >= 1, F.aggregate(F.slice(points, F.lit(2), F.greatest(F.size(points) - 1, F.lit(0))), F.array(first), step))
+    n = F.size(points)
+    steps = F.concat(F.array(F.lit(0.0)), F.coalesce(F.transform(legs(points), lambda g: F.hypot(g.b.x - g.a.x, g.b.y - g.a.y)), F.array().cast("array<double>")))
+    # running sums by doubling: each pass adds what lies 2**k places before, so a line costs n log n
+    sums = F.aggregate(
+        F.transform(F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(2)))).cast("int")), lambda k: F.pow(F.lit(2.0), k).cast("int")),
+        steps,
+        lambda acc, back: F.transform(acc, lambda v, i: v + F.when(i >= back, F.get(acc, i - back)).otherwise(F.lit(0.0))),
+    )
+    return F.when(n >= 1, F.zip_with(points, sums, lambda p, m: F.struct(p.x.alias("x"), p.y.alias("y"), m.alias("m"))))
 
 
 def interpolate(line: Column, m: Column) -> Column:
@@ -222,7 +224,12 @@ def substring(line: Column, start: Column, end: Column) -> Column:
 
 def without_repeats(points: Column) -> Column:
     """Consecutive equal vertices once."""
-    return F.aggregate(points, F.slice(points, F.lit(1), F.lit(1)), lambda acc, p: F.when((F.element_at(acc, -1).x == p.x) & (F.element_at(acc, -1).y == p.y), acc).otherwise(F.concat(acc, F.array(p))))
+    return F.filter(points, lambda p, i: (i == 0) | ~p.eqNullSafe(F.get(points, i - 1)))
+
+
+def axis_angle(ux: Column, uy: Column, vx: Column, vy: Column) -> Column:
+    """Degrees between two undirected lines, 0 to 90; null if one has no length."""
+    return F.degrees(F.acos(F.least(F.lit(1.0), F.abs(ux * vx + uy * vy) / F.nullif(F.hypot(ux, uy) * F.hypot(vx, vy), F.lit(0.0)))))
 
 
 def leg_crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
@@ -231,3 +238,131 @@ def leg_crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
     t = ((c.x - a.x) * (d.y - c.y) - (c.y - a.y) * (d.x - c.x)) / F.nullif(den, F.lit(0.0))
     u = ((c.x - a.x) * (b.y - a.y) - (c.y - a.y) * (b.x - a.x)) / F.nullif(den, F.lit(0.0))
     return F.when(t.between(0.0, 1.0) & u.between(0.0, 1.0), F.struct((a.x + t * (b.x - a.x)).alias("x"), (a.y + t * (b.y - a.y)).alias("y")))
+
+
+def leg_distance(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """Least distance of leg a-b from leg c-d; 0 if they cross."""
+    far = lambda p, q, r: point_leg(p.x, p.y, q.x, q.y, r.x, r.y).d
+    return F.when(leg_crossing(a, b, c, d).isNotNull(), F.lit(0.0)).otherwise(F.least(far(a, c, d), far(b, c, d), far(c, a, b), far(d, a, b)))
+
+
+def leg_overlap(a: Column, b: Column, c: Column, d: Column, tolerance: float = 0.01) -> Column:
+    """Length that leg c-d shares with leg a-b where both lie on one line, within a tolerance."""
+    n = F.hypot(b.x - a.x, b.y - a.y)
+    off = lambda p: F.abs((p.x - a.x) * (b.y - a.y) - (p.y - a.y) * (b.x - a.x)) / n
+    along = lambda p: ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / n
+    shared = F.least(n, F.greatest(along(c), along(d))) - F.greatest(F.lit(0.0), F.least(along(c), along(d)))
+    return F.when((n > 0) & (off(c) <= tolerance) & (off(d) <= tolerance) & (shared > 0), shared).otherwise(F.lit(0.0))
+
+
+def length_inside(points: Column, parts: Column) -> Column:
+    """Length of a polyline inside a multipolygon: legs are cut where they cross a ring, and each piece counts by its middle."""
+    rings = F.flatten(parts)
+    sides = F.flatten(F.transform(rings, lambda r: legs(F.concat(r, F.slice(r, F.lit(1), F.lit(1))))))
+
+    def share(g: Column, c: Column, d: Column) -> Column:
+        """Where along the leg g the side c-d crosses it; null if nowhere."""
+        den = (g.b.x - g.a.x) * (d.y - c.y) - (g.b.y - g.a.y) * (d.x - c.x)
+        t = ((c.x - g.a.x) * (d.y - c.y) - (c.y - g.a.y) * (d.x - c.x)) / F.nullif(den, F.lit(0.0))
+        u = ((c.x - g.a.x) * (g.b.y - g.a.y) - (c.y - g.a.y) * (g.b.x - g.a.x)) / F.nullif(den, F.lit(0.0))
+        return F.when(t.between(0.0, 1.0) & u.between(0.0, 1.0), t)
+
+    def of_leg(g: Column) -> Column:
+        cuts = F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.array_compact(F.transform(sides, lambda s: share(g, s.a, s.b)))))
+
+        def pieces(ts: Column) -> Column:
+            pair = F.zip_with(F.slice(ts, F.lit(1), F.size(ts) - 1), F.slice(ts, F.lit(2), F.size(ts) - 1), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+            mid = lambda k, c: g.a[c] + (k.p + k.q) / 2 * (g.b[c] - g.a[c])
+            return F.aggregate(pair, F.lit(0.0), lambda acc, k: acc + F.when((k.q > k.p) & in_multipolygon(mid(k, "x"), mid(k, "y"), parts), k.q - k.p).otherwise(F.lit(0.0)))
+
+        return let(cuts, pieces) * F.hypot(g.b.x - g.a.x, g.b.y - g.a.y)
+
+    return F.coalesce(F.aggregate(F.transform(legs(points), of_leg), F.lit(0.0), lambda acc, v: acc + v), F.lit(0.0))
+
+
+def outward_tangent(points: Column, at_start: Column) -> Column:
+    """Unit vector struct(x, y) that leaves a line over its first or last vertex; null if the leg there has no length."""
+    n = F.size(points)
+    p, q = F.when(at_start, F.get(points, F.lit(0))).otherwise(F.element_at(points, -1)), F.when(at_start, F.get(points, F.lit(1))).otherwise(F.get(points, n - 2))
+    d = F.hypot(p.x - q.x, p.y - q.y)
+    return F.when(d > 0, F.struct(((p.x - q.x) / d).alias("x"), ((p.y - q.y) / d).alias("y")))
+
+
+def detour_ratio(points: Column) -> Column:
+    """Length of a line over the distance of its ends; null for a closed one."""
+    return line_length(points) / F.nullif(F.hypot(F.element_at(points, -1).x - points[0].x, F.element_at(points, -1).y - points[0].y), F.lit(0.0))
+
+
+def max_turn(points: Column) -> Column:
+    """Greatest turn in degrees at an inner vertex; 0 if there is none."""
+    n = F.size(points)
+    turns = F.when(n >= 3, F.zip_with(legs(F.slice(points, F.lit(1), n - 1)), legs(F.slice(points, F.lit(2), n - 1)), lambda g, h: turn_angle(g.a.x, g.a.y, g.b.x, g.b.y, h.b.x, h.b.y)))
+    return F.coalesce(F.array_max(F.filter(turns, lambda t: ~F.isnan(t))), F.lit(0.0))
+
+
+def bisector(low: Column, high: Column) -> Column:
+    """Middle bearing of the sector that goes from low up to high, through 360 if high is the lower one."""
+    return F.pmod(low + F.pmod(high - low, F.lit(360.0)) / 2, F.lit(360.0))
+
+
+def in_sector(bearing: Column, low: Column, high: Column) -> Column:
+    """Whether a bearing lies in the sector from low up to high; equal limits mean the whole circle."""
+    width = F.pmod(high - low, F.lit(360.0))
+    return F.when(width == 0, F.lit(True)).otherwise(F.pmod(bearing - low, F.lit(360.0)) <= width)
+
+
+def boxes_meet(a: Column, b: Column, gap: float = 0.0) -> Column:
+    """Whether two boxes (x0, y0, x1, y1) come within gap of each other."""
+    return (a.x0 <= b.x1 + gap) & (b.x0 <= a.x1 + gap) & (a.y0 <= b.y1 + gap) & (b.y0 <= a.y1 + gap)
+
+
+def valid_line(points: Column) -> Column:
+    """Two or more distinct finite vertices; never null."""
+    finite = F.forall(points, lambda p: p.x.isNotNull() & p.y.isNotNull() & ~F.isnan(p.x) & ~F.isnan(p.y) & (F.abs(p.x) < float("inf")) & (F.abs(p.y) < float("inf")))
+    return F.coalesce(finite & (F.size(F.array_distinct(points)) >= 2), F.lit(False))
+
+
+def closed_ring(ring: Column) -> Column:
+    """The ring with its first vertex repeated at the end, if it is not."""
+    open_ = ~F.element_at(ring, 1).eqNullSafe(F.element_at(ring, -1))
+    return F.when(open_, F.concat(ring, F.slice(ring, F.lit(1), F.lit(1)))).otherwise(ring)
+
+
+def valid_ring(ring: Column) -> Column:
+    """At least three distinct finite vertices, closed, and an area."""
+    return F.coalesce(valid_line(ring) & (F.size(F.array_distinct(ring)) >= 3) & F.element_at(ring, 1).eqNullSafe(F.element_at(ring, -1)) & (F.abs(ring_area(ring)) > 0), F.lit(False))
+
+
+def capped(points: Column, most: int) -> Column:
+    """A line resampled to at most so many vertices at even positions, both ends kept."""
+    n = F.size(points)
+    at = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.get(points, F.round(i * (n - 1) / (most - 1)).cast("int")))
+    return F.when(n > most, at).otherwise(points)
+
+
+def outside_discs(line: Column, discs: Column) -> Column:
+    """Measures [s, e] of the stretches of a measured line that lie outside all discs array<struct(x, y, r)>."""
+    def cuts(g: Column) -> Column:
+        dx, dy, n = g.b.x - g.a.x, g.b.y - g.a.y, F.hypot(g.b.x - g.a.x, g.b.y - g.a.y)
+
+        def of(d: Column) -> Column:
+            """Where the leg enters and leaves a disc: the roots of a quadratic equation."""
+            fx, fy = g.a.x - d.x, g.a.y - d.y
+            qa, qb, qc = dx * dx + dy * dy, 2 * (fx * dx + fy * dy), fx * fx + fy * fy - d.r * d.r
+            root = F.sqrt(F.greatest(qb * qb - 4 * qa * qc, F.lit(0.0)))
+            both = F.array((-qb - root) / F.nullif(2 * qa, F.lit(0.0)), (-qb + root) / F.nullif(2 * qa, F.lit(0.0)))
+            return F.filter(both, lambda t: t.isNotNull() & (t > 0) & (t < 1))
+
+        return F.transform(F.flatten(F.transform(discs, of)), lambda t: g.a.m + t * n)
+
+    ms = F.array_distinct(F.array_sort(F.concat(F.transform(line, lambda p: p.m), F.flatten(F.transform(legs(line), cuts)))))
+
+    def kept(m: Column) -> Column:
+        pair = F.zip_with(F.slice(m, F.lit(1), F.size(m) - 1), F.slice(m, F.lit(2), F.size(m) - 1), lambda s, e: F.struct(s.alias("s"), e.alias("e")))
+        out = F.filter(pair, lambda k: let(interpolate(line, (k.s + k.e) / 2), lambda p: ~F.exists(discs, lambda d: F.hypot(p.x - d.x, p.y - d.y) < d.r)))
+        # neighbouring stretches are put together
+        first = F.filter(out, lambda k: ~F.exists(out, lambda o: o.e == k.s))
+        last = F.filter(out, lambda k: ~F.exists(out, lambda o: o.s == k.e))
+        return F.zip_with(first, last, lambda f, z: F.struct(f.s.alias("s"), z.e.alias("e")))
+
+    return F.when(F.size(line) >= 2, let(ms, kept))

@@ -92,6 +92,33 @@ def parse_multipolygon(c: Column) -> Column:
     return F.transform(F.split(body, r"\)\),\(\("), lambda part: F.transform(F.split(part, r"\),\("), lambda ring: F.transform(F.split(ring, ","), vertex)))
 
 
+def closed_multipolygon(parts: Column) -> Column:
+    """Parts with every ring closed; rings of fewer than three distinct vertices and parts without an outer ring go."""
+    from wayfold.functions.geo import closed_ring
+
+    whole = F.transform(parts, lambda part: F.transform(part, closed_ring))
+    solid = lambda r: F.size(F.array_distinct(r)) >= 3
+    kept = F.filter(whole, lambda part: F.coalesce(solid(F.get(part, F.lit(0))), F.lit(False)))
+    return F.transform(kept, lambda part: F.filter(part, lambda r, i: (i == 0) | solid(r)))
+
+
+def wkt_multipolygon(parts: Column, digits: int = 3) -> Column:
+    """MULTIPOLYGON text with closed rings."""
+    ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.format_string(f"%.{digits}f %.{digits}f", p.x, p.y)), ","), F.lit(")"))
+    part = lambda p: F.concat(F.lit("("), F.array_join(F.transform(p, ring), ","), F.lit(")"))
+    return F.concat(F.lit("MULTIPOLYGON("), F.array_join(F.transform(closed_multipolygon(parts), part), ","), F.lit(")"))
+
+
+def parse_multilinestring(c: Column) -> Column:
+    """array of lines, each array<struct(x, y)>, of LINESTRING or MULTILINESTRING text; lines of fewer than two proper vertices go."""
+    s = F.regexp_replace(F.regexp_replace(strip_srid(c), r"\s+", " "), r" ?([(),]) ?", "$1")
+    multi = F.regexp_extract(s, r"(?i)^MULTILINESTRING ?\(\((.*)\)\)$", 1)
+    single = F.regexp_extract(s, r"(?i)^LINESTRING ?\(([^()]*)\)$", 1)
+    body = F.nullif(F.when(multi != "", multi).otherwise(single), F.lit(""))
+    lines = F.transform(F.split(body, r"\),\("), lambda line: parse_linestring(F.concat(F.lit("LINESTRING("), line, F.lit(")"))))
+    return F.filter(lines, lambda x: x.isNotNull())
+
+
 def wkt_point(lon: Column, lat: Column, digits: int = 8) -> Column:
     return F.format_string(f"POINT(%.{digits}f %.{digits}f)", lon, lat)
 
@@ -145,20 +172,20 @@ def normalize_plain(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), r"\([^)]*\)", ""), r"[^0-9a-z가-힣]", "")
 
 
-#: fixed values: the address elements whose tokens are compared
-ADDRESS_TOKENS = (
-    r"([가-힣A-Za-z0-9]+로\s*[0-9]+번?길\s*[0-9]+(?:-[0-9]+)?)",
-    r"([가-힣A-Za-z0-9]+로\s*[0-9]+(?:-[0-9]+)?)",
-    r"([가-힣A-Za-z0-9]+길\s*[0-9]+(?:-[0-9]+)?)",
-    r"([가-힣]+동\s*[0-9]+(?:-[0-9]+)?)",
-    r"([가-힣]+리\s*[0-9]+(?:-[0-9]+)?)",
-)
+#: a named road, path, ward or village, a side street's number if there is one, the number and sub-number on it
+PLACE_ON_ROAD = r"([가-힣]+[0-9]*(?:로|길|동|리))(?:\s*([0-9]+)\s*번?\s*길)?\s*([0-9]+)(?:\s*-\s*([0-9]+))?(?![0-9])"
+
+
+def address_places(c: Column) -> Column:
+    """array<struct(on, side, number, sub)> of every place that a text names by a number on a road or in a village; side and sub are empty if not given."""
+    found = [F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(PLACE_ON_ROAD), F.lit(i)) for i in (1, 2, 3, 4)]
+    return F.arrays_zip(found[0].alias("on"), found[1].alias("side"), found[2].alias("number"), found[3].alias("sub"))
 
 
 def address_tokens(c: Column) -> Column:
-    """Distinct road and lot tokens without blanks."""
-    found = F.concat(*[F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(p), F.lit(1)) for p in ADDRESS_TOKENS])
-    return F.array_distinct(F.transform(found, lambda t: F.regexp_replace(t, r"\s+", "")))
+    """Distinct places of a text in one spelling each."""
+    spelled = lambda p: F.concat(p["on"], F.when(p["side"] != "", F.concat(p["side"], F.lit("번길"))).otherwise(""), p["number"], F.when(p["sub"] != "", F.concat(F.lit("-"), p["sub"])).otherwise(""))
+    return F.array_distinct(F.transform(address_places(c), spelled))
 
 
 def address_prefix(c: Column, words: int = 2) -> Column:

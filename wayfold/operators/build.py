@@ -19,22 +19,47 @@ def corner_cuts(segments: DataFrame, degrees: float) -> DataFrame:
     return line.select("edge_id", F.explode(three).alias("t")).where(F.col("t.turn") >= degrees).select("edge_id", "t.m")
 
 
-def crossings(lines: DataFrame, key: str = "edge_id") -> DataFrame:
-    """key_a < key_b, x, y of points where legs of two polylines (planar points) cross, ends that touch included."""
-    leg = lines.select(key, F.posexplode(geo.legs(F.col("points"))).alias("leg", "g")).select(key, "leg", "g.a", "g.b")
-    lo, hi = (lambda c: F.least(F.col(f"a.{c}"), F.col(f"b.{c}"))), (lambda c: F.greatest(F.col(f"a.{c}"), F.col(f"b.{c}")))
-    # one level for all legs: two legs that cross share a cell of the level of the longer; long legs are cut beforehand by the caller
-    level = spatial.MIN_LEVEL
-    side = float(1 << level)
-    cell = lambda v: F.floor(spatial.grid(v) / side).cast("bigint")
-    cells = F.flatten(F.transform(F.sequence(cell(lo("x")), cell(hi("x"))), lambda i: F.transform(F.sequence(cell(lo("y")), cell(hi("y"))), lambda j: geo.morton(i, j))))
-    celled = leg.withColumn("cell", F.explode(cells))
+def met_legs(lines: DataFrame, key: str, margin: float = 0.001) -> DataFrame:
+    """key_a < key_b, leg_a, leg_b, a1, b1, a2, b2 of legs of two polylines that share a square."""
+    celled = spatial.leg_cells(lines, key, margin)
     a = celled.select(F.col(key).alias(f"{key}_a"), F.col("leg").alias("leg_a"), F.col("a").alias("a1"), F.col("b").alias("b1"), "cell")
     b = celled.select(F.col(key).alias(f"{key}_b"), F.col("leg").alias("leg_b"), F.col("a").alias("a2"), F.col("b").alias("b2"), "cell")
-    met = a.join(b, "cell").where(F.col(f"{key}_a") < F.col(f"{key}_b")).withColumn("p", geo.leg_crossing(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2"))).where("p is not null")
+    return a.join(b, "cell").where(F.col(f"{key}_a") < F.col(f"{key}_b")).drop("cell")
+
+
+def crossings(lines: DataFrame, key: str = "edge_id") -> DataFrame:
+    """key_a < key_b, x, y of points where legs of two polylines (planar points) cross, ends that touch included."""
+    met = met_legs(lines, key).withColumn("p", geo.leg_crossing(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2"))).where("p is not null")
     return met.select(f"{key}_a", f"{key}_b", "p.x", "p.y").distinct()
 
 
+def near_crosses(lines: DataFrame, key: str = "edge_id", metres: float = 2.5, degrees: float = 25.0) -> DataFrame:
+    """key_a < key_b, distance_m, turn of legs that come within metres of each other without crossing, at an angle of at least so many degrees; the nearest of each two lines."""
+    a, b, c, d = (F.col(x) for x in ("a1", "b1", "a2", "b2"))
+    far = lambda p, q, r: geo.point_leg(p.x, p.y, q.x, q.y, r.x, r.y).d
+    met = met_legs(lines, key, metres).withColumn("distance_m", F.least(far(a, c, d), far(b, c, d), far(c, a, b), far(d, a, b))).where(F.col("distance_m") <= metres)
+    met = met.where(geo.leg_crossing(a, b, c, d).isNull()).withColumn("turn", geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y)).where(F.col("turn") >= degrees)
+    return met.groupBy(f"{key}_a", f"{key}_b").agg(F.min(F.struct("distance_m", "turn")).alias("m")).select(f"{key}_a", f"{key}_b", "m.*")
+
+
+def near_overlaps(lines: DataFrame, key: str = "edge_id", metres: float = 1.25, degrees: float = 20.0, least_m: float = 2.0) -> DataFrame:
+    """key_a < key_b, length, x, y: stretches of at least least_m along which two legs run side by side; x, y is the stretch's middle.
+
+    Legs count if their directions differ by at most so many degrees and the ends of the common
+    stretch, on the first leg, are within metres of the second. The longest stretch of each two lines.
+    """
+    a, b, c, d = (F.col(x) for x in ("a1", "b1", "a2", "b2"))
+    along = lambda p: ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / F.nullif(F.hypot(b.x - a.x, b.y - a.y), F.lit(0.0))
+    met = met_legs(lines, key, metres).where(geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y) <= degrees)
+    met = met.withColumn("n", F.hypot(b.x - a.x, b.y - a.y)).withColumn("s", F.greatest(F.lit(0.0), F.least(along(c), along(d)))).withColumn("e", F.least(F.col("n"), F.greatest(along(c), along(d))))
+    met = met.withColumn("length", F.col("e") - F.col("s")).where(F.col("length") >= least_m)
+    at = lambda m: F.struct((a.x + m / F.col("n") * (b.x - a.x)).alias("x"), (a.y + m / F.col("n") * (b.y - a.y)).alias("y"))
+    met = met.withColumn("ps", at(F.col("s"))).withColumn("pe", at(F.col("e"))).withColumn("pm", at((F.col("s") + F.col("e")) / 2))
+    gap = lambda p: geo.point_leg(F.col(p).x, F.col(p).y, c.x, c.y, d.x, d.y).d
+    met = met.where((gap("ps") <= metres) & (gap("pe") <= metres))
+    return met.groupBy(f"{key}_a", f"{key}_b").agg(F.max(F.struct("length", "pm.x", "pm.y")).alias("m")).select(f"{key}_a", f"{key}_b", "m.*")
+
+
 def chains(segments: DataFrame) -> DataFrame:
     """edge_id, chain: maximal paths through nodes of degree two; a chain is named by its least edge."""
     d = graph.degrees(segments).where("degree = 2").select("vertex_id")
@@ -45,10 +70,12 @@ def chains(segments: DataFrame) -> DataFrame:
 
 
 def dense_ends(ends: DataFrame, metres: float = 13.0, least: int = 4) -> DataFrame:
-    """vertex_id, n of ends with at least so many ends, itself counted, within metres."""
-    pairs = repair.near_pairs(ends, "vertex_id", metres)
-    both = pairs.select(F.col("vertex_id_a").alias("vertex_id")).unionByName(pairs.select(F.col("vertex_id_b").alias("vertex_id")))
-    return both.groupBy("vertex_id").agg((F.count("*") + 1).alias("n")).where(F.col("n") >= least)
+    """kx, ky of places (end_id, kx, ky, x, y: one row a segment end) with at least so many ends, itself counted, within metres."""
+    placed = ends.groupBy("kx", "ky", "x", "y").agg(F.count("*").alias("n"), F.min("end_id").alias("place"))
+    pairs = repair.near_pairs(placed, "place", metres)
+    each = pairs.select(F.col("place_a").alias("place"), F.col("place_b").alias("other")).unionByName(pairs.select(F.col("place_b").alias("place"), F.col("place_a").alias("other")))
+    about = each.join(placed.select(F.col("place").alias("other"), F.col("n").alias("more")), "other").groupBy("place").agg(F.sum("more").alias("more"))
+    return placed.join(about, "place", "left").where(F.col("n") + F.coalesce("more", F.lit(0)) >= least).select("kx", "ky").distinct()
 
 
 def side_lines(segments: DataFrame, least_m: float = 1.0) -> DataFrame:
@@ -65,37 +92,55 @@ def zone_stats(cells: DataFrame, regions: DataFrame, key: str, parts: str = "par
     return inside.join(cells.select("cell", "z"), "cell").groupBy(key).agg(F.count("z").alias("n"), F.avg("z").alias("mean"), F.min("z").alias("least"), F.max("z").alias("greatest"))
 
 
-#: fixed values: lengths in metres below which an anomaly is removed, in order of precedence
-MICRO_LOOP_M, TAIL_M, DENSE_TAIL_M = 8.0, 18.0, 42.0
+#: fixed values: lengths in metres below which an anomaly is removed, in order of precedence; the grid of ends in metres; dense: ends within a radius
+MICRO_LOOP_M, BRIDGE_M, DENSE_TAIL_M, TAIL_M, END_GRID_M, DENSE_ENDS, DENSE_RADIUS_M = 8.0, 14.0, 42.0, 18.0, 0.75, 4, 13.0
+#: fixed values: kinds of segments
+SIDE_KINDS = ("SIDE_LEFT", "SIDE_RIGHT")
+BRIDGE_KINDS = ("SAME_SIDE_CORNER_BRIDGE", "CROSS_SIDE_CORNER_BRIDGE", "GAP_BRIDGE")
+
+
+def segment_ends(segments: DataFrame) -> DataFrame:
+    """end_id, edge_id, end (0, 1), x, y, kx, ky: both ends of every line (planar points) and the grid square they snap to."""
+    at = F.array(F.struct(F.lit(0).alias("end"), F.get("points", F.lit(0)).alias("p")), F.struct(F.lit(1).alias("end"), F.element_at("points", -1).alias("p")))
+    e = segments.select("edge_id", F.explode(at).alias("e")).select((F.col("edge_id") * 2 + F.col("e.end")).alias("end_id"), "edge_id", "e.end", "e.p.x", "e.p.y")
+    key = lambda c: F.bround(F.col(c) / END_GRID_M, 0).cast("bigint")
+    return e.withColumn("kx", key("x")).withColumn("ky", key("y"))
 
 
-def anomalies(nodes: DataFrame, segments: DataFrame) -> DataFrame:
-    """edge_id, reason of edges to remove: micro loops, tails in dense clusters of ends, dangling tails; the first that applies.
+def anomalies(segments: DataFrame, sides: tuple[str, ...] = SIDE_KINDS, bridges: tuple[str, ...] = BRIDGE_KINDS) -> DataFrame:
+    """edge_id, reason of edges (edge_id, segment_type, points, optionally made_by_repair) to remove; the first reason that applies.
 
-    A tail has exactly one end of degree one; an edge that stands alone is none.
+    MICRO_LOOP: short, both ends shared; BRIDGE_ARTIFACT: a short bridge with both ends shared;
+    DENSE_TAIL: a side with an end among many ends, shared by at least DENSE_ENDS, the other end in at
+    most two segments; DANGLING_TAIL: a side with just one free end. Ends are shared if they snap to one
+    square. Other kinds of segments and those a repair made are left alone.
     """
-    d = materialize(graph.degrees(segments))
-    f, t = d.select(F.col("vertex_id").alias("from_node_id"), F.col("degree").alias("df")), d.select(F.col("vertex_id").alias("to_node_id"), F.col("degree").alias("dt"))
-    s = segments.join(f, "from_node_id").join(t, "to_node_id")
-    ends = nodes.select("vertex_id", "x", "y").join(d.where("degree = 1").select("vertex_id"), "vertex_id")
-    dense = dense_ends(ends).select("vertex_id", F.lit(True).alias("dense"))
-    tip = F.when((F.col("df") == 1) & (F.col("dt") > 1), F.col("from_node_id")).when((F.col("dt") == 1) & (F.col("df") > 1), F.col("to_node_id"))
-    s = s.withColumn("tip", tip).join(dense.withColumnRenamed("vertex_id", "tip"), "tip", "left")
-    reason = F.when((F.col("from_node_id") == F.col("to_node_id")) & (F.col("length") <= MICRO_LOOP_M), "MICRO_LOOP")
-    reason = reason.when(F.col("tip").isNotNull() & F.col("dense") & (F.col("length") <= DENSE_TAIL_M), "DENSE_TAIL").when(F.col("tip").isNotNull() & (F.col("length") <= TAIL_M), "DANGLING_TAIL")
+    ends = materialize(segment_ends(segments))
+    degree = ends.groupBy("kx", "ky").agg(F.count("*").alias("degree"))
+    dense = dense_ends(ends, DENSE_RADIUS_M, DENSE_ENDS).withColumn("dense", F.lit(True))
+    e = ends.join(degree, ["kx", "ky"]).join(dense, ["kx", "ky"], "left").withColumn("dense", F.coalesce("dense", F.lit(False)))
+    pick = lambda end, c: F.max(F.when(F.col("end") == end, F.col(c)))
+    both = e.groupBy("edge_id").agg(pick(0, "degree").alias("d0"), pick(1, "degree").alias("d1"), pick(0, "dense").alias("x0"), pick(1, "dense").alias("x1"))
+    s = segments.select("edge_id", "segment_type", geo.line_length(F.col("points")).alias("length"), (F.col("made_by_repair") if "made_by_repair" in segments.columns else F.lit(False)).alias("made")).join(both, "edge_id")
+    s = s.where(F.col("segment_type").isin(*sides, *bridges) & ~F.coalesce("made", F.lit(False)))
+    side, shared = F.col("segment_type").isin(*sides), (F.col("d0") >= 2) & (F.col("d1") >= 2)
+    crowd = (F.col("x0") & (F.col("d0") >= DENSE_ENDS) & (F.col("d1") <= 2)) | (F.col("x1") & (F.col("d1") >= DENSE_ENDS) & (F.col("d0") <= 2))
+    free = ((F.col("d0") <= 1) & (F.col("d1") > 1)) | ((F.col("d1") <= 1) & (F.col("d0") > 1))
+    reason = F.when(shared & (F.col("length") <= MICRO_LOOP_M), "MICRO_LOOP").when(~side & shared & (F.col("length") <= BRIDGE_M), "BRIDGE_ARTIFACT")
+    reason = reason.when(side & crowd & (F.col("length") <= DENSE_TAIL_M), "DENSE_TAIL").when(side & free & (F.col("length") <= TAIL_M), "DANGLING_TAIL")
     return s.withColumn("reason", reason).where("reason is not null").select("edge_id", "reason")
 
 
-def self_scan(nodes: DataFrame, segments: DataFrame, rounds: int = 8) -> tuple[DataFrame, list[int]]:
-    """Remove anomalies until none is left or the rounds are used; segments and the number removed each round."""
+def self_scan(segments: DataFrame, rounds: int = 8, sides: tuple[str, ...] = SIDE_KINDS, bridges: tuple[str, ...] = BRIDGE_KINDS) -> tuple[DataFrame, list[int], bool]:
+    """Remove anomalies until none is left or the rounds are used: segments, the number removed each round, and whether none is left."""
     removed = []
     for _ in range(rounds):
-        bad = materialize(anomalies(nodes, segments))
+        bad = materialize(anomalies(segments, sides, bridges))
         removed.append(bad.count())
         if not removed[-1]:
-            break
+            return segments, removed, True
         segments = materialize(segments.join(bad.select("edge_id"), "edge_id", "left_anti"))
-    return segments, removed
+    return segments, removed, anomalies(segments, sides, bridges).isEmpty()
 
 
 def apply_edits(nodes: DataFrame, segments: DataFrame, edits: DataFrame, snap_m: float = 1.0) -> tuple[DataFrame, DataFrame]:
@@ -151,4 +196,4 @@ def percentile_at(values: Column, ratio: float, low: float, high: float, default
 def learned_lengths(edits: DataFrame) -> DataFrame:
     """delete_max, add_min, add_max from lengths of manual edits (action, length). The edits are a person's, so their lists are short."""
     lists = edits.agg(F.collect_list(F.when(F.col("action") == "delete_segment", F.col("length"))).alias("d"), F.collect_list(F.when(F.col("action") == "add_segment", F.col("length"))).alias("a"))
-    return lists.select(percentile_at(F.col("d"), 0.75, 8.0, 80.0, 25.0).alias("delete_max"), percentile_at(F.col("a"), 0.10, 2.0, 15.0, 4.0).alias("add_min"), percentile_at(F.transform("a", lambda v: v * 1.25), 0.75, 12.0, 85.0, 35.0).alias("add_max"))
+    return lists.select(percentile_at(F.col("d"), 0.75, 8.0, 80.0, 35.0).alias("delete_max"), percentile_at(F.col("a"), 0.10, 2.0, 15.0, 4.0).alias("add_min"), percentile_at(F.transform("a", lambda v: v * 1.25), 0.75, 12.0, 85.0, 35.0).alias("add_max"))

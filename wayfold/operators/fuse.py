@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfold.functions.text import is_unknown
+from wayfold.plans.runtime import materialize
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column | str) -> DataFrame:
@@ -78,14 +79,15 @@ def scope_replace(base: DataFrame, replacement: DataFrame, inside: Column) -> Da
 def renumber(df: DataFrame, new_id: str, *order: str) -> DataFrame:
     """Dense numbers from 1 in the given total order, without one global window.
 
-    Rows are range-partitioned, ranked within their partition, and shifted by the counts of the
-    partitions before; the counts are one row a partition.
+    Rows are range-partitioned and written with the number of their partition, ranked within it, and
+    shifted by the counts of the partitions before; the counts are one row a partition. They are
+    written because a range exchange that is planned twice may draw other bounds the second time.
     """
-    parts = df.repartitionByRange(*order).withColumn("part_", F.spark_partition_id())
-    parts = parts.withColumn("in_part_", F.row_number().over(W.partitionBy("part_").orderBy(*order)))
+    parts = materialize(df.repartitionByRange(*order).withColumn("part_", F.spark_partition_id()))
     sizes = parts.groupBy("part_").agg(F.count("*").alias("size_"))
     offsets = sizes.withColumn("from_", F.sum("size_").over(W.orderBy("part_").rowsBetween(W.unboundedPreceding, -1))).select("part_", F.coalesce("from_", F.lit(0)).alias("from_"))
-    return parts.join(F.broadcast(offsets), "part_").withColumn(new_id, F.col("from_") + F.col("in_part_")).drop("part_", "in_part_", "from_")
+    ranked = parts.withColumn("in_part_", F.row_number().over(W.partitionBy("part_").orderBy(*order)))
+    return ranked.join(F.broadcast(offsets), "part_").withColumn(new_id, F.col("from_") + F.col("in_part_")).drop("part_", "in_part_", "from_")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -102,26 +104,51 @@ def positional_diff(a: DataFrame, b: DataFrame, order: str) -> DataFrame:
 def neighbour_median(edges: DataFrame, edge: str, ends: Sequence[str], value: str, digits: int = 4) -> DataFrame:
     """edge, filled: for edges without value the median of the measured edges that share an end, each counted once.
 
-    A node with many edges is not paired with itself: measured values are first put together by
-    node, and only edges without value meet them; a hot node is a skewed join partition, which AQE
-    splits.
+    Measured values are put together by node first, as counts of distinct values. An edge without
+    value takes the counts of both its ends, less those of measured edges that have the same two
+    ends, which both ends counted. So a hot node costs its distinct values, not its edges, for each
+    edge that lacks a value.
     """
-    by_node = edges.select(F.explode(F.array_distinct(F.array(*ends))).alias("node_"), edge, value)
-    blank = by_node.where(F.col(value).isNull()).select("node_", F.col(edge).alias("edge_"))
-    known = by_node.where(F.col(value).isNotNull()).select("node_", F.col(edge).alias("other_"), F.col(value).alias("v_"))
-    pairs = blank.join(known, "node_").select("edge_", "other_", "v_").distinct()
-    return pairs.groupBy(F.col("edge_").alias(edge)).agg(F.round(F.median("v_"), digits).alias("filled"))
-
-
-def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, forward: bool = False) -> DataFrame:
-    """Each left row with the latest right row not after it (or the earliest not before it), by one union and one window.
-
-    Column names of both sides must differ but for the keys.
+    a, b = ends
+    ok = edges.select(F.col(edge).alias("edge_"), F.least(a, b).alias("p_"), F.greatest(a, b).alias("q_"), F.col(value).alias("v_"), F.array_distinct(F.array(a, b)).alias("nodes_"))
+    ok = ok.withColumn("both_", F.col("p_").isNotNull() & (F.size(F.filter("nodes_", lambda n: n.isNotNull())) == 2))
+    known, blank = ok.where(F.col("v_").isNotNull()), ok.where(F.col("v_").isNull())
+    at_node = known.select(F.explode("nodes_").alias("n_"), "v_").groupBy("n_", "v_").agg(F.count("*").alias("k_"))
+    twice = known.where("both_").groupBy("p_", "q_", "v_").agg(F.count("*").alias("k_"))
+    near = blank.select("edge_", F.explode("nodes_").alias("n_")).join(at_node, "n_").select("edge_", "v_", "k_")
+    less = blank.where("both_").select("edge_", "p_", "q_").join(twice, ["p_", "q_"]).select("edge_", "v_", (-F.col("k_")).alias("k_"))
+    counts = near.unionByName(less).groupBy("edge_", "v_").agg(F.sum("k_").alias("k_")).where("k_ > 0")
+    return counts.groupBy(F.col("edge_").alias(edge)).agg(F.round(F.expr("percentile(v_, 0.5D, k_)"), digits).alias("filled"))
+
+
+def as_of(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, forward: bool = False, chunk_rows: int = 1_000_000) -> DataFrame:
+    """Each left row with the latest right row not after it (or the earliest not before it).
+
+    Both sides are one sequence ordered by key, time and side, cut into ranges of rows that are
+    written with their number; each range is filled within itself, and what its start lacks comes from the
+    last right row of the ranges before, one row a range. So a key with a third of all rows is
+    spread over as many tasks as its rows need. Column names of both sides must differ but for the keys.
     """
     rest = [c for c in right.columns if c not in keys]
     lc = [c for c in left.columns if c not in keys]
-    a = left.select(*keys, F.col(left_time).alias("t_"), F.lit(1 if not forward else 0).alias("side_"), F.struct(*lc).alias("l_"), F.lit(None).cast(right.select(F.struct(*rest).alias("r")).schema["r"].dataType).alias("r_"))
-    b = right.select(*keys, F.col(right_time).alias("t_"), F.lit(0 if not forward else 1).alias("side_"), F.lit(None).cast(left.select(F.struct(*lc).alias("l")).schema["l"].dataType).alias("l_"), F.struct(*rest).alias("r_"))
-    w = W.partitionBy(*keys).orderBy("t_", "side_")
-    picked = F.last("r_", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)) if not forward else F.first("r_", ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing))
-    return a.unionByName(b).withColumn("p_", picked).where("l_ is not null").select(*keys, "l_.*", "p_.*")
+    r_type, l_type = right.select(F.struct(*rest).alias("r")).schema["r"].dataType, left.select(F.struct(*lc).alias("l")).schema["l"].dataType
+    first_side = 1 if not forward else 0
+    a = left.select(*keys, F.col(left_time).alias("t_"), F.lit(first_side).alias("side_"), F.struct(*lc).alias("l_"), F.lit(None).cast(r_type).alias("r_"))
+    b = right.select(*keys, F.col(right_time).alias("t_"), F.lit(1 - first_side).alias("side_"), F.lit(None).cast(l_type).alias("l_"), F.struct(*rest).alias("r_"))
+    both = a.unionByName(b)
+    shuffles = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(shuffles, -(-both.count() // chunk_rows))
+    # the hash breaks ties of one key and time, so that many equal rows can be cut apart, too
+    rows = materialize(both.withColumn("tie_", F.xxhash64("l_", "r_")).repartitionByRange(n, *keys, "t_", "side_", "tie_").withColumn("part_", F.spark_partition_id()))
+    w = W.partitionBy("part_", *keys).orderBy("t_", "side_", "tie_")
+    if not forward:
+        own, edge, before = F.last("r_", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)), F.max, W.unboundedPreceding
+    else:
+        own, edge, before = F.first("r_", ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)), F.min, W.unboundedFollowing
+    # the last (first) right row of each key and range, carried to the ranges after (before): at most a row a key and range
+    carried = rows.where("r_ is not null").groupBy(*keys, "part_").agg(edge(F.struct("t_", "side_", "tie_", "r_")).r_.alias("end_"))
+    spots = rows.select(*keys, "part_").distinct().join(carried, [*keys, "part_"], "left")
+    across = W.partitionBy(*keys).orderBy("part_")
+    got = F.last("end_", ignorenulls=True).over(across.rowsBetween(before, -1)) if not forward else F.first("end_", ignorenulls=True).over(across.rowsBetween(1, before))
+    spots = spots.withColumn("from_", got).select(*keys, "part_", "from_")
+    return rows.withColumn("own_", own).where("l_ is not null").join(spots, [*keys, "part_"]).withColumn("p_", F.coalesce("own_", "from_")).select(*keys, "l_.*", "p_.*")

@@ -94,7 +94,10 @@ def checks(nodes: DataFrame, segments: DataFrame, enums: dict[str, Sequence[str]
 
 
 def resolve_redirects(redirects: DataFrame, source: str, target: str) -> DataFrame:
-    """source, final: where a chain of redirects ends. A chain that runs into a cycle ends at the least id of the cycle."""
+    """source, final: where a chain of redirects ends. A chain that runs into a cycle ends at the least id of the cycle.
+
+    A source has one target; of several the least counts. To merge all nodes that pairs link, use components.
+    """
     r = materialize(redirects.where(F.col(source) != F.col(target)).groupBy(F.col(source).alias("s")).agg(F.min(target).alias("t")))
     state = materialize(r.select("s", "t", F.col("t").alias("low")))
     before = None
@@ -122,26 +125,6 @@ def split_points(segment_length: Column, cuts: Column, min_gap: float = 0.05) ->
     return F.concat(kept, F.array(segment_length))
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame, cost: str, a: str = "from_node_id", b: str = "to_node_id", max_rounds: int = 10_000) -> DataFrame:
-    """vertex_id, source_id, cost: least cost from every source over undirected edges.
-
-    Frontier relaxation: only vertices whose cost fell in the round before are expanded, so each
-    round shuffles the frontier and its edges, not the graph. Ends when no cost falls. sources:
-    source_id, vertex_id.
-    """
-    arcs = edges.select(F.col(a).alias("u"), F.col(b).alias("w"), F.col(cost).alias("c")).unionByName(edges.select(F.col(b).alias("u"), F.col(a).alias("w"), F.col(cost).alias("c")))
-    arcs = materialize(arcs.where("u <> w and c is not null and c >= 0").groupBy("u", "w").agg(F.min("c").alias("c")))
-    known = materialize(sources.select("source_id", "vertex_id", F.lit(0.0).alias("cost")).distinct())
-    frontier = known
-    for _ in range(max_rounds):
-        offers = frontier.join(arcs, F.col("vertex_id") == F.col("u")).groupBy("source_id", F.col("w").alias("vertex_id")).agg(F.min(F.col("cost") + F.col("c")).alias("offer"))
-        merged = materialize(known.join(offers, ["source_id", "vertex_id"], "full").select("source_id", "vertex_id", F.least("cost", "offer").alias("cost"), (F.col("offer").isNotNull() & (F.col("cost").isNull() | (F.col("offer") < F.col("cost") - 1e-9))).alias("fell")))
-        known, frontier = merged.select("source_id", "vertex_id", "cost"), merged.where("fell").select("source_id", "vertex_id", "cost")
-        if frontier.isEmpty():
-            break
-    return known
-
-
 def runs(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
     """Run-length groups of equal consecutive values: keys, run_, value, first and last position, n."""
     w = W.partitionBy(*keys).orderBy(order)

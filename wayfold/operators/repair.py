@@ -52,8 +52,8 @@ def bridges(nodes: DataFrame, segments: DataFrame, label: DataFrame, metres: flo
 
 
 def apply_merges(segments: DataFrame, merges: DataFrame, kind: str = "segment_type") -> DataFrame:
-    """Segments with merged nodes (from_id to to_id, chains followed); self loops go, of equal node pairs and kinds the lowest edge stays."""
-    final = materialize(graph.resolve_redirects(merges, "from_id", "to_id"))
+    """Segments with merged nodes: all that merges (from_id, to_id) link become the lowest id; self loops go, of equal node pairs and kinds the lowest edge stays."""
+    final = materialize(graph.components(merges, "from_id", "to_id").select(F.col("vertex_id").alias("from_id"), F.col("component").alias("final")))
     out = segments
     for end in ("from_node_id", "to_node_id"):
         f = final.select(F.col("from_id").alias(end), F.col("final").alias("final_"))
@@ -76,10 +76,13 @@ def split_segments(segments: DataFrame, cuts: DataFrame, cluster_m: float = 1.0,
     return pieces.select("edge_id", "part_no", geo.substring(F.col("line"), F.col("c.s"), F.col("c.e")).alias("points"), (F.col("c.e") - F.col("c.s")).alias("length"))
 
 
-def repair(nodes: DataFrame, segments: DataFrame, rounds: int = 8) -> tuple[DataFrame, list[int]]:
-    """Merge near ends of different components until no merge is left; segments and the number of merges of each round."""
+def repair(nodes: DataFrame, segments: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Merge near ends of different components until no merge is left; segments and the number of merges of each round.
+
+    Every round with a merge leaves fewer components, so it ends.
+    """
     done = []
-    for _ in range(rounds):
+    while True:
         label = materialize(graph.components(segments, "from_node_id", "to_node_id"))
         found = connection_candidates(endpoints(nodes, segments, label)).where("kind = 'NODE_MERGE'")
         merges = materialize(found.select(F.col("vertex_id_b").alias("from_id"), F.col("vertex_id_a").alias("to_id")))
@@ -88,5 +91,3 @@ def repair(nodes: DataFrame, segments: DataFrame, rounds: int = 8) -> tuple[Data
             break
         segments = materialize(apply_merges(segments, merges))
     return segments, done
-
-

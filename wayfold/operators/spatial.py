@@ -62,6 +62,28 @@ def used_levels(regions: DataFrame) -> list[int]:
     return sorted(r[0] for r in regions.select("level_").distinct().collect())
 
 
+def leg_cells(lines: DataFrame, key: str, margin: float = 0.001) -> DataFrame:
+    """key, leg, a, b, cell: the legs of polylines (planar points) with each aligned square of level MIN_LEVEL that they pass, grown by a margin.
+
+    A leg is cut into pieces no longer than its side, each of which meets few squares, so a long leg costs
+    squares in proportion to its length, not to its bounding box. A line of one vertex is a leg without length.
+    """
+    own = F.coalesce(geo.legs(F.col("points")), F.when(F.size("points") == 1, F.transform("points", lambda p: F.struct(p.alias("a"), p.alias("b")))))
+    leg = lines.select(key, F.posexplode(own).alias("leg", "g")).select(key, "leg", "g.a", "g.b")
+    side = float(1 << MIN_LEVEL)
+    n = F.greatest(F.ceil(F.hypot(F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y")) / side), F.lit(1)).cast("int")
+    cell = lambda v: F.floor(grid(v) / side).cast("bigint")
+
+    def squares(i):
+        p, q = i / F.col("n_"), (i + 1) / F.col("n_")
+        at = lambda c, t: F.col(f"a.{c}") + t * (F.col(f"b.{c}") - F.col(f"a.{c}"))
+        span = lambda c: F.sequence(cell(F.least(at(c, p), at(c, q)) - margin), cell(F.greatest(at(c, p), at(c, q)) + margin))
+        return F.flatten(F.transform(span("x"), lambda x: F.transform(span("y"), lambda y: geo.morton(x, y))))
+
+    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("n_") - 1), squares)))
+    return leg.withColumn("n_", n).withColumn("cell", F.explode(cells)).drop("n_")
+
+
 def within_distance(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     """Pairs within a great-circle distance.
 
@@ -100,3 +122,22 @@ def in_regions(points: DataFrame, regions: DataFrame, parts: str = "parts") -> D
     hits = at_levels(pts, "x_", "y_", levels).join(covered, ["level_", "prefix_"])
     inside = F.col("x_").between(F.col("box_.x0"), F.col("box_.x1")) & F.col("y_").between(F.col("box_.y0"), F.col("box_.y1"))
     return hits.where(inside).where(geo.in_multipolygon(F.col("x_"), F.col("y_"), F.col(parts))).drop("level_", "prefix_", "box_", "x_", "y_", parts)
+
+
+def lines_in_regions(lines: DataFrame, regions: DataFrame, line: str, region: str, parts: str = "parts") -> DataFrame:
+    """line, region, overlap_m, length_m: how much of each polyline (planar points) lies in each region (EPSG:5179 metres) it enters.
+
+    A region is covered by a few aligned squares of its level, a line by the small squares it passes;
+    a square of a lower level is a prefix of its code at a higher one, so this too is an equi-join.
+    """
+    outer = F.flatten(F.transform(F.col(parts), lambda part: F.get(part, F.lit(0))))
+    boxed = materialize(regions.select(region, parts, geo.bbox(outer).alias("box_"))).where("box_.x0 is not null and box_.y0 is not null")
+    extent = F.greatest(F.col("box_.x1") - F.col("box_.x0"), F.col("box_.y1") - F.col("box_.y0"))
+    levels = used_levels(boxed.select(level_of(extent).alias("level_"))) or [MIN_LEVEL]
+    covered = cover(boxed, F.col("box_.x0"), F.col("box_.y0"), F.col("box_.x1"), F.col("box_.y1")).select(region, "level_", "prefix_")
+    passed = leg_cells(lines, line).select(line, "cell").distinct()
+    at = F.explode(F.array(*[F.struct(F.lit(v).alias("level_"), F.shiftright("cell", 2 * (v - MIN_LEVEL)).alias("prefix_")) for v in levels])).alias("at_")
+    met = passed.select(line, at).select(line, "at_.*").distinct().join(covered, ["level_", "prefix_"]).select(line, region).distinct()
+    both = met.join(lines.select(line, "points"), line).join(boxed.select(region, parts), region)
+    inside = both.select(line, region, geo.length_inside(F.col("points"), F.col(parts)).alias("overlap_m"), geo.line_length(F.col("points")).alias("length_m"))
+    return inside.where("overlap_m > 0")

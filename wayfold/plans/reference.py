@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.functions import geo, states, text
-from wayfold.operators import build, fuse, graph, nearest, quality_profile, repair, rules
+from wayfold.operators import build, fuse, graph, nearest, quality_profile, repair, routing, rules
 from wayfold.plans.core_problems import located_places
 from wayfold.plans.runtime import materialize, table
 from wayfold.sources import files
@@ -96,15 +96,18 @@ def flag_lists(spark, sf_dir):
     return r.select("removed_id", F.size(f).alias("n_flags"), text.list_add(F.col("review_flags"), "generic_name").alias("with_generic"), text.list_drop(F.col("review_flags"), "accessible_toilet").alias("without_toilet")).distinct()
 
 
-_TM = f"""(select *, {geo.FE}+{geo.K0 * geo._rect!r}*(eta+{'+'.join(f'{a!r}*cos({2 * j}*xi)*sinh({2 * j}*eta)' for j, a in enumerate(geo._alpha, 1))}) x,
- {geo.FN}+{geo.K0 * geo._rect!r}*(xi+{'+'.join(f'{a!r}*sin({2 * j}*xi)*cosh({2 * j}*eta)' for j, a in enumerate(geo._alpha, 1))})-{geo._M0!r} y
- from (select *, atan2(t, cos(lam)) xi, asinh(sin(lam)/sqrt(t*t+cos(lam)*cos(lam))) eta from (select *, sinh(atanh(sin(radians(lat)))-{geo._e!r}*atanh({geo._e!r}*sin(radians(lat)))) t, radians(lon-127.5) lam from {{src}})))"""
+# the projection again, by another series than the engine's: Helmert's meridian arc and Snyder's powers of the longitude
+_ARC = "6378137.0/(1+n)*((1+n*n/4+pow(n,4)/64)*{p} - 1.5*(n-pow(n,3)/8)*sin(2*{p}) + 15.0/16*(n*n-pow(n,4)/4)*sin(4*{p}) - 35.0/48*pow(n,3)*sin(6*{p}) + 315.0/512*pow(n,4)*sin(8*{p}))"
+_TM = f"""(select *, 1000000 + 0.9996*v*(a + (1-t+c)*pow(a,3)/6 + (5-18*t+t*t+72*c-58*e1)*pow(a,5)/120) x,
+ 2000000 + 0.9996*({_ARC.format(p="phi")} - {_ARC.format(p="radians(38)")} + v*tan(phi)*(a*a/2 + (5-t+9*c+4*c*c)*pow(a,4)/24 + (61-58*t+t*t+600*c-330*e1)*pow(a,6)/720)) y
+ from (select *, 6378137.0/sqrt(1-e2*pow(sin(phi),2)) v, pow(tan(phi),2) t, e1*pow(cos(phi),2) c, (radians(lon)-radians(127.5))*cos(phi) a
+ from (select *, radians(lat) phi, e2/(1-e2) e1 from (select *, f*(2-f) e2, f/(2-f) n from (select *, 1/298.257222101 f from {{src}})))))"""
 
 
-@query(f"select place_id, round(x, 2) as x, round(y, 2) as y from {_TM.format(src=_POINTS('places', 'place_id'))}")
+@query(f"select place_id, round(x, 3) as x, round(y, 3) as y from {_TM.format(src=_POINTS('places', 'place_id'))}")
 def projected_places(spark, sf_dir):
     p = located_places(spark, sf_dir).withColumn("m", geo.to_metres(F.col("lon"), F.col("lat")))
-    return p.select("place_id", F.round("m.x", 2).alias("x"), F.round("m.y", 2).alias("y"))
+    return p.select("place_id", F.round("m.x", 3).alias("x"), F.round("m.y", 3).alias("y"))
 
 
 @query()
@@ -277,10 +280,11 @@ def as_of_purchase(spark, sf_dir):
     return fuse.as_of(e.where("event_type = 'click'").select("user_id", "event_id", "ts"), buys, ["user_id"], "ts", "bought_at").select("event_id", "last_value")
 
 
-@query("select category, name, address, n from (select category, name, address, count(distinct place_id) n from places where name is not null and address is not null group by 1, 2, 3) where n > 1")
+@query("select category, name, n from (select category, name, count(distinct place_id) n from places where name is not null group by 1, 2) where n > 1")
 def repeated_places(spark, sf_dir):
-    p = table(spark, sf_dir, "places").where("name is not null and address is not null")
-    return p.groupBy("category", "name", "address").agg(F.count_distinct("place_id").alias("n")).where("n > 1")
+    """Names that several places of a category have."""
+    p = table(spark, sf_dir, "places").where("name is not null")
+    return p.groupBy("category", "name").agg(F.count_distinct("place_id").alias("n")).where("n > 1")
 
 
 @query("select o_orderpriority, o_orderstatus, n, grouping_level from (select o_orderpriority, o_orderstatus, count(*) n, grouping(o_orderpriority) * 2 + grouping(o_orderstatus) as grouping_level from orders group by cube (o_orderpriority, o_orderstatus))")
@@ -347,7 +351,7 @@ _COST = """with recursive e as (select u, w, min(c) c from (select from_node_id
 def shortest_paths(spark, sf_dir):
     s = table(spark, sf_dir, "road_segments").select("from_node_id", "to_node_id", F.col("length_meter").cast("double").alias("metres"))
     source = table(spark, sf_dir, "road_nodes").agg(F.min("vertex_id").alias("vertex_id")).select(F.lit(1).alias("source_id"), "vertex_id")
-    return graph.shortest_paths(s, source, "metres").select("vertex_id", F.round("cost", 2).alias("metres"))
+    return routing.shortest_paths(s, source, "metres").select("vertex_id", F.round("cost", 2).alias("metres"))
 
 
 _SAFE = """case when stairs_state = 'YES' then 0.0 else 1.0 end * case when slope >= 8.33 then 0.1 else 1.0 end * case when slope >= 5.56 then 0.5 else 1.0 end * case when width < 1.2 and width > 0 then 0.4 else 1.0 end * case when surface_state = 'UNPAVED' then 0.6 else 1.0 end"""
@@ -404,13 +408,13 @@ _ENDS = (
 
 @query(
     _ENDS
-    + """, p as (select a.vertex_id a, b.vertex_id b, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) d, least(a.g,b.g) g0, greatest(a.g,b.g) g1 from ends a join ends b on a.vertex_id < b.vertex_id and a.g <> b.g and abs(a.x-b.x) <= 60 and abs(a.y-b.y) <= 60)
- select a as vertex_id_a, b as vertex_id_b, round(d, 3) as distance_m, case when d <= 0.75 then 'NODE_MERGE' else 'ENDPOINT_TO_ENDPOINT' end as kind from (select *, row_number() over (partition by g0, g1 order by d, a, b) k from p where d <= 60) where k <= 2"""
+    + """, p as (select a.vertex_id a, b.vertex_id b, sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2)) d, least(a.g,b.g) g0, greatest(a.g,b.g) g1 from ends a join ends b on a.vertex_id < b.vertex_id and a.g <> b.g and abs(a.x-b.x) <= 600 and abs(a.y-b.y) <= 600)
+ select a as vertex_id_a, b as vertex_id_b, round(d, 3) as distance_m, case when d <= 0.75 then 'NODE_MERGE' else 'ENDPOINT_TO_ENDPOINT' end as kind from (select *, row_number() over (partition by g0, g1 order by d, a, b) k from p where d <= 600) where k <= 2"""
 )
 def connectivity_candidates(spark, sf_dir):
     s = materialize(segments(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id"))
     ends = materialize(repair.endpoints(metric_nodes(spark, sf_dir), s, graph.components(s, "from_node_id", "to_node_id")))
-    return repair.connection_candidates(ends, connect_m=60.0).withColumn("distance_m", F.round("distance_m", 3))
+    return repair.connection_candidates(ends, connect_m=600.0).withColumn("distance_m", F.round("distance_m", 3))
 
 
 @query(
@@ -452,15 +456,22 @@ def osm_elements(spark, sf_dir):
     """Lines of the OSM XML export."""
     s = segments(spark, sf_dir).withColumn("points", text.parse_linestring(F.col("geom"))).where("points is not null")
     nodes = materialize(files.osm_nodes(metric_nodes(spark, sf_dir), s))
+    have = nodes.where("osm_id >= 0").select("osm_id").distinct()
+    for end in ("from_node_id", "to_node_id"):  # edges whose node has no usable point are left to graph_validation
+        s = s.join(have.withColumnRenamed("osm_id", end), end, "left_semi")
     ways = files.osm_ways(s, nodes, {"walk_access": "walk_access", "surface": "surface_state", "signal": "signal_state", "stairs": "stairs_state"})
     return files.osm_lines(nodes, ways)
 
 
-def _planar(spark, sf_dir):
-    s = segments(spark, sf_dir).withColumn("points", F.transform(text.parse_linestring(F.col("geom")), lambda p: nearest.local_xy(p.x, p.y, 34.68)))
+def metric_lines(spark, sf_dir):
+    """Segments with points in EPSG:5179 metres."""
+    s = segments(spark, sf_dir).withColumn("points", F.transform(text.parse_linestring(F.col("geom")), lambda p: geo.to_metres(p.x, p.y)))
     return s.where("points is not null")
 
 
+_planar = metric_lines
+
+
 @query()
 def edge_chains(spark, sf_dir):
     """Edges, length and number of edges of maximal paths through nodes of degree two."""
@@ -487,8 +498,9 @@ def line_crossings(spark, sf_dir):
 
 @query()
 def self_scanned_graph(spark, sf_dir):
-    s = materialize(segments(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id", "length").where("from_node_id is not null and to_node_id is not null"))
-    return build.self_scan(metric_nodes(spark, sf_dir), s)[0]
+    """Segments after removal of micro loops and dangling and dense tails; the table's two kinds of segments count as sides."""
+    s = materialize(metric_lines(spark, sf_dir).select("edge_id", "from_node_id", "to_node_id", "segment_type", "points"))
+    return build.self_scan(s, sides=("SIDE_LINE", "SIDE_WALK"))[0].select("edge_id", "from_node_id", "to_node_id", "segment_type")
 
 
 # ---- streams

@@ -10,37 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.functions import text
+from wayfold.operators import fuse
 
-#: fixed values: encodings in the order they are tried, with the names Java knows them by
-ENCODINGS = (("utf-8-sig", "UTF-8"), ("cp949", "x-windows-949"), ("euc-kr", "EUC-KR"))
+def file_encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Encoding to the files of a path that it reads: UTF-8 where every line is valid UTF-8, else the Korean code page.
 
-
-def sniff_encoding(spark: SparkSession, path: str, sample_bytes: int = 1 << 20) -> str:
-    """First encoding that decodes the start of the first file; the sample is bounded, the read is not.
-
-    A sample that ends within a character is allowed to do so.
+    Every file is judged by itself and to its end, by all executors; the driver gets a row a file.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = [s.getPath() for s in fs.globStatus(hadoop)]
-    if not files:
-        raise FileNotFoundError(path)
-    first = files[0]
-    if fs.getFileStatus(first).isDirectory():
-        first = next(s.getPath() for s in fs.listStatus(first) if not s.getPath().getName().startswith(("_", ".")))
-    stream = fs.open(first)
-    try:
-        data = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, min(sample_bytes, fs.getFileStatus(first).getLen())))
-    finally:
-        stream.close()
-    for python, java in ENCODINGS:
-        for cut in range(4):
-            try:
-                data[: len(data) - cut].decode(python)
-                return java
-            except UnicodeDecodeError:
-                continue
-    raise ValueError(f"no known encoding reads {path}")
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"))
+    per = lines.groupBy("file").agg(F.bool_and("ok").alias("ok")).collect()
+    out: dict[str, list[str]] = {}
+    for r in sorted(per, key=lambda r: r.file):
+        out.setdefault("UTF-8" if r.ok else "x-windows-949", []).append(r.file)
+    return out
 
 
 def clean_header(name: str) -> str:
@@ -48,16 +30,25 @@ def clean_header(name: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, required: Sequence[str] = (), encoding: str | None = None, multi_line: bool = False) -> DataFrame:
-    """All columns as trimmed text, with clean header names; a missing required column is an error."""
-    encoding = encoding or sniff_encoding(spark, path)
-    if encoding not in ("UTF-8", "ISO-8859-1", "US-ASCII"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # the reader else knows a few Western and Unicode charsets only
-    df = spark.read.option("header", True).option("encoding", encoding).option("escape", '"').option("multiLine", multi_line).csv(path)
-    df = df.toDF(*[clean_header(c) for c in df.columns])
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"{path} lacks {missing}")
-    return df.select(*[F.trim(F.col(f"`{c}`")).alias(c) for c in df.columns])
+    """All columns as trimmed text, with clean header names; a missing required column is an error.
+
+    Without encoding every file is read in its own. Columns that only some files have are null in the others.
+    """
+    by_encoding = {encoding: [path]} if encoding else file_encodings(spark, path)
+    if not by_encoding:
+        raise FileNotFoundError(f"no lines in {path}")
+    out: DataFrame | None = None
+    for name, files in by_encoding.items():
+        if name not in ("UTF-8", "ISO-8859-1", "US-ASCII"):
+            spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # the reader else knows a few Western and Unicode charsets only
+        df = spark.read.option("header", True).option("encoding", name).option("escape", '"').option("multiLine", multi_line).csv(files)
+        df = df.toDF(*[clean_header(c) for c in df.columns])
+        missing = [c for c in required if c not in df.columns]
+        if missing:
+            raise ValueError(f"{path} lacks {missing}")
+        df = df.select(*[F.trim(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str], single: bool = False) -> None:
@@ -85,6 +76,13 @@ def manifest(df: DataFrame, group: Sequence[str], kind: str) -> DataFrame:
     return df.groupBy(*group).agg(F.count("*").alias("n"), F.array_join(F.sort_array(F.collect_set(kind)), ",").alias("kinds"))
 
 
+def folder_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """file, encoding, n_lines, header of every text file of a path."""
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value", F.is_valid_utf8("value").alias("ok"), F.monotonically_increasing_id().alias("at"))
+    first = F.min_by("value", F.when(F.col("block") == 0, F.col("at")))
+    return lines.groupBy("file").agg(F.when(F.bool_and("ok"), "UTF-8").otherwise("x-windows-949").alias("encoding"), F.count("*").alias("n_lines"), first.alias("header"))
+
+
 def with_path_part(df: DataFrame, name: str, pattern: str, group: int = 1) -> DataFrame:
     """A column taken from the path of the file that a row was read from."""
     return df.withColumn(name, F.regexp_extract(F.col("_metadata.file_path"), pattern, group))
@@ -166,26 +164,43 @@ def escaped(c: Column) -> Column:
 
 
 def osm_nodes(nodes: DataFrame, segments: DataFrame) -> DataFrame:
-    """osm_id, lon, lat of graph nodes and of shape points; points with one coordinate key share a node.
+    """osm_id, lon, lat, key of graph nodes and of inner points of lines; points with one coordinate key share a node.
 
-    nodes: vertex_id, lon, lat; segments: edge_id, points. Graph nodes keep their ids, shape points
-    get negative ones from a hash of their key, so that no global numbering is needed.
+    nodes: vertex_id, lon, lat; segments: edge_id, points. Graph nodes keep their ids, inner points
+    get negative ones, numbered by key.
     """
     keyed = nodes.select(F.col("vertex_id").alias("osm_id"), "lon", "lat", text.coordinate_key(F.col("lon"), F.col("lat")).alias("key"))
-    shape = segments.select(F.explode("points").alias("p")).select(F.col("p.x").alias("lon"), F.col("p.y").alias("lat"), text.coordinate_key(F.col("p.x"), F.col("p.y")).alias("key"))
+    inner = F.slice("points", F.lit(2), F.greatest(F.size("points") - 2, F.lit(0)))
+    shape = segments.select(F.explode(inner).alias("p")).select(F.col("p.x").alias("lon"), F.col("p.y").alias("lat"), text.coordinate_key(F.col("p.x"), F.col("p.y")).alias("key"))
     extra = shape.groupBy("key").agg(F.min("lon").alias("lon"), F.min("lat").alias("lat")).join(keyed.select("key").distinct(), "key", "left_anti")
-    return keyed.unionByName(extra.select((-F.abs(F.xxhash64("key")) - 1).alias("osm_id"), "lon", "lat", "key"))
+    numbered = fuse.renumber(extra, "n_", "key")
+    return keyed.unionByName(numbered.select((-F.col("n_")).alias("osm_id"), "lon", "lat", "key"))
+
+
+#: fixed values: tags of every way
+WAY_TAGS = {"highway": "footway", "foot": "yes", "oneway": "no"}
 
 
-def osm_ways(segments: DataFrame, osm: DataFrame, tags: Mapping[str, str]) -> DataFrame:
-    """edge_id, refs (node ids in order, repeats dropped), tags with UNKNOWN for blanks. tags: tag to column."""
+def osm_ways(segments: DataFrame, osm: DataFrame, tags: Mapping[str, str], source: str = "graph", prefix: str = "") -> DataFrame:
+    """edge_id, refs, tags: a way runs from its from_node_id over the nodes of its inner points to its to_node_id, repeats dropped.
+
+    The ends are the graph's own nodes, wherever the drawn line ends, so that ways stay connected; an
+    end that is no node is an error. tags: tag to column, written with the prefix, UNKNOWN for blanks.
+    """
     ids = osm.groupBy("key").agg(F.min_by("osm_id", F.struct((F.col("osm_id") < 0), "osm_id")).alias("osm_id"))
-    at = segments.select("edge_id", F.posexplode("points").alias("pos", "p")).select("edge_id", "pos", text.coordinate_key(F.col("p.x"), F.col("p.y")).alias("key")).join(ids, "key")
-    refs = at.groupBy("edge_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "osm_id"))), lambda s: s.osm_id).alias("all"))
-    first = F.slice("all", 1, 1)
-    refs = refs.select("edge_id", F.aggregate("all", first, lambda acc, v: F.when(F.element_at(acc, -1) == v, acc).otherwise(F.concat(acc, F.array(v)))).alias("refs"))
-    filled = F.create_map(*[x for tag, c in tags.items() for x in (F.lit(tag), F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")), F.lit("UNKNOWN")))])
-    return segments.select("edge_id", filled.alias("tags")).join(refs, "edge_id")
+    inner = F.slice("points", F.lit(2), F.greatest(F.size("points") - 2, F.lit(0)))
+    at = segments.select("edge_id", F.posexplode(inner).alias("pos", "p")).select("edge_id", "pos", text.coordinate_key(F.col("p.x"), F.col("p.y")).alias("key")).join(ids, "key")
+    middle = at.groupBy("edge_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "osm_id"))), lambda s: s.osm_id).alias("middle"))  # points of one line
+    own = osm.where("osm_id >= 0").select("osm_id").distinct()
+    j = segments.join(middle, "edge_id", "left")
+    for end in ("from", "to"):
+        j = j.join(own.select(F.col("osm_id").alias(f"{end}_node_id"), F.lit(True).alias(f"{end}_ok")), f"{end}_node_id", "left")
+    sure = F.when(F.col("from_ok") & F.col("to_ok"), F.col("edge_id")).otherwise(F.raise_error(F.format_string("edge %d ends at a node that does not exist", "edge_id")).cast("bigint"))
+    all_ = F.concat(F.array("from_node_id"), F.coalesce("middle", F.array().cast("array<bigint>")), F.array("to_node_id"))
+    refs = F.filter(all_, lambda v, i: (i == 0) | (v != F.get(all_, i - 1)))
+    fixed = [F.lit(x) for kv in (WAY_TAGS | {"source": source}).items() for x in kv]
+    filled = [x for tag, c in tags.items() for x in (F.lit(prefix + tag), F.coalesce(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")), F.lit("UNKNOWN")))]
+    return j.select(sure.alias("edge_id"), refs.alias("refs"), F.create_map(*fixed, *filled).alias("tags"))
 
 
 def osm_lines(nodes: DataFrame, ways: DataFrame) -> DataFrame:
