@@ -71,6 +71,27 @@ def test_same_building_with_misspelt_roads(spark):
     assert address.same_building(rec.limit(0)).count() == 0
 
 
+def test_misspelling_of_large_support_and_long_chains_of_spellings(spark):
+    """A misspelling with more than a third of the right one's support is linked; roads that are only alike in name are not."""
+    rows = [(i, f"갤힘 주덜구 날갱헐로 {i % 10 + 1}") for i in range(60)] + [(100 + i, f"갤힘 주덜구 날갱힐로 {i % 10 + 1}") for i in range(24)]
+    rows += [(200 + i, f"갤힘 거촌구 볼챙로 {i % 10 + 1}") for i in range(50)] + [(300 + i, f"갤힘 히탤군 뭄날텀로 {i % 10 + 1}") for i in range(40)] + [(400 + i, f"갤힘 길눈구 샌잼군로 {i % 10 + 1}") for i in range(40)]
+    stems = ["가람솔", "나들벌", "두레터", "마루봉", "버들숲", "소리샘", "아침뜰", "조약돌", "초롱골", "큰바위", "푸른솔", "하늘재"]
+    rows += [(500 + 10 * i + j, f"갤힘 구투군 {x}로 {j + 1}") for i, x in enumerate(stems) for j in range(8)]
+    rec = address.parsed(spark.createDataFrame(rows, "id long, address string"), "id", "address")
+    fixed = {r.road: r.canonical for r in address.canonical_roads(rec).collect()}
+    assert fixed.get(address.romanize("날갱힐")) == address.romanize("날갱헐") and address.romanize("볼챙") not in fixed
+
+
+def test_district_and_postcode_keep_buildings_of_one_road_name_apart(spark):
+    """The records' own comparison decides: 중앙로 of two districts with their own postcodes is two roads."""
+    rows = [(i, f"우)1{i % 20:04d} 갤힘 주덜구 중앙로 {i % 20 + 1}") for i in range(200)] + [(1000 + i, f"우)2{i % 20:04d} 갤힘 거촌구 중앙로 {i % 20 + 1}") for i in range(200)]
+    rows += [(2000 + i, f"중앙로 {i % 20 + 1}") for i in range(20)]
+    rec = address.parsed(spark.createDataFrame(rows, "id long, address string"), "id", "address")
+    got = {(r.record_id_a, r.record_id_b): r.probability for r in address.building_pairs(rec).collect()}
+    assert all(p < 0.5 for (a, b), p in got.items() if a < 1000 <= b < 2000) and all(p > 0.5 for (a, b), p in got.items() if b < 1000 or 1000 <= a and b < 2000)
+    assert {tuple(r) for r in address.same_building(rec).collect()} == {k for k, p in got.items() if p >= 0.5}
+
+
 def test_edit_distance():
     assert [address.edit_distance(a, b) for a, b in (("", ""), ("ab", "ba"), ("abc", "abd"), ("abc", "xyz"), ("a", "abcdef"))] == [0, 1, 1, 3, 4]
 

@@ -12,6 +12,8 @@ be undone; such values are reported without restored text.
 Only values with a character outside printable ASCII and Hangul syllables, or with "??", leave the
 JVM, in Arrow batches; no shuffle.
 
+A value that was cut within its last character is restored without that character.
+
 Defined results: null, empty and blank values are no case; decomposed Hangul, foreign letters,
 Chinese characters, kana and symbols that were meant are no case; a repeated row gives a repeated
 finding, and callers drop duplicates by key; very long values are handled whole; columns other
@@ -184,10 +186,7 @@ def repair(value: str | None) -> tuple[bool, str | None]:
     if value.isascii():
         return "??" in v, None
     text, layers = v, 0
-    while layers < 6:
-        t = _once(text)
-        if t is None:
-            break
+    while (t := _once(text)) is not None:  # the cost falls each time, so it ends
         text, layers = t, layers + 1
     lost = LOST.search(v) is not None
     if not layers:

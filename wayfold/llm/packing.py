@@ -19,6 +19,8 @@ null size counts as 0; repeated ids are separate items; an empty table gives an
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -83,7 +85,7 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[floa
     return float(best[capacity]), pattern
 
 
-def few_size_patterns(sizes: np.ndarray, need: np.ndarray, capacity: int, rounds: int = 300) -> list[tuple[np.ndarray, int]]:
+def few_size_patterns(sizes: np.ndarray, need: np.ndarray, capacity: int, rounds: int = 2000) -> list[tuple[np.ndarray, int]]:
     """Patterns and how often each is used, covering need: column generation, then rounding down and greedy repair."""
     k = len(sizes)
     basis = np.zeros((k, k))
@@ -102,6 +104,8 @@ def few_size_patterns(sizes: np.ndarray, need: np.ndarray, capacity: int, rounds
         if not np.isfinite(ratio[out]):
             break
         basis[:, out] = pattern
+    else:
+        warnings.warn(f"patterns still improve after {rounds} rounds; more containers than needed may be used", stacklevel=2)
     x = np.linalg.lstsq(basis, need.astype(float), rcond=None)[0]
     left, plan = need.copy(), []
     for j in range(k):
