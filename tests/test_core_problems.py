@@ -64,6 +64,12 @@ def test_quality_findings(spark):
     assert {g for g in got if g[0] == "VALUE"} == values
     assert {("LOAD", "slope_state", 2), ("LOAD", "surface_state", 2), ("LOAD", "width_meter", 2), ("LOAD", "avg_slope_percent", 2)} <= got
     assert qp.findings(seg.limit(0), loads).count() == 0
+    counts = qp.value_counts(seg, qp.ROAD_DOMAINS, "load_id")
+    bad = {(r.column_name, r.value): (r["mask"], r.reason) for r in qp.bad_values(counts, qp.ROAD_DOMAINS).collect()}
+    assert bad == {("slope_state", "flat"): ("aaaa", "MASK"), ("slope_state", " "): (" ", "MASK"), ("surface_state", "paved"): ("aaaaa", "MASK"), ("width_meter", "31"): ("99", "VALUE"), ("avg_slope_percent", "-1"): ("-9", "MASK"), ("avg_slope_percent", "5.555"): ("9.999", "MASK")}
+    # masks decide: with a domain check that lets everything pass, values of alien masks are still found
+    lax = [type("Lax", (), {"column": d.column, "number": d.number, "mask_allows": staticmethod(d.mask_allows), "allows": staticmethod(lambda v: v.isNotNull())}) for d in qp.ROAD_DOMAINS]
+    assert {(r.column_name, r.value) for r in qp.bad_values(counts, lax).collect()} == {k for k, v in bad.items() if v[1] == "MASK"}
     prof = {(r.load_id, r.column_name): r for r in qp.profile(seg, qp.ROAD_DOMAINS, "load_id").collect()}
     assert prof[2, "width_meter"].n_blank == 1 and prof[2, "width_meter"].n_violations == 2
 

@@ -7,8 +7,12 @@ all rows is one counter. From these counts come
 
 * the profile: rows, blanks, distinct values, range, masks, dominant masks of each column and load;
 * rare masks: cells whose mask has a share below min_mask_share in its load and column;
-* violations: cells whose value an exact domain check refuses, masks only naming the reason;
+* violations: masks that no value of the domain has condemn all their values, unseen; the values of
+  the other masks are checked exactly. Both are judged once a distinct value, and the cells with a
+  bad value are joined back;
 * divergence: mask distribution, blank share, value shares and medians of a load against its prior.
+  If the masks of a load's domain values already lie as far from its prior's as values may, the load
+  differs, as values lie at least as far apart as their masks; else the values' shares decide.
 
 Defined results: null and empty string are blank; other white space is a value. An empty table
 gives empty results. A load without rows, or without domain values, has no share and is not
@@ -17,6 +21,7 @@ compared. Repeated rows count as often as they occur; a violating edge is report
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -65,9 +70,9 @@ def plain_mask(v: str) -> str:
 
 
 def value_mask(v: Column) -> Column:
-    for pattern, mark in (("[A-Z]", "A"), ("[a-z]", "a"), ("[0-9]", "9"), ("[가-힣]", "K")):
-        v = F.regexp_replace(v, pattern, mark)
-    return v
+    upper, lower, digits = string.ascii_uppercase, string.ascii_lowercase, string.digits
+    v = F.translate(v, upper + lower + digits, "A" * len(upper) + "a" * len(lower) + "9" * len(digits))
+    return F.when(v.rlike("[가-힣]"), F.regexp_replace(v, "[가-힣]", "K")).otherwise(v)
 
 
 def cells(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
@@ -114,10 +119,30 @@ def profile(df: DataFrame, domains: Sequence, load: str, min_mask_share: float =
     return flat.join(mined, ["load_id", "column_name"], "left")
 
 
-def violations(df: DataFrame, domains: Sequence, key: str) -> DataFrame:
-    """key, column_name, value, mask, reason (MASK: no domain value looks like it; VALUE: only its value is wrong)."""
-    judged = _judged(cells(df, [d.column for d in domains], key).where(F.col("value").isNotNull() & (F.col("value") != "")), domains)
-    return judged.where(~F.col("in_mask") | ~F.col("in_domain")).select(key, "column_name", "value", "mask", F.when(~F.col("in_mask"), "MASK").otherwise("VALUE").alias("reason"))
+def bad_values(counts: DataFrame, domains: Sequence) -> DataFrame:
+    """column_name, value, mask, reason of distinct values: MASK if no domain value looks like it, VALUE if one does and the value is refused.
+
+    counts: as value_counts gives it; its judgements are not read: masks are judged first, and only
+    the values of masks that pass are checked.
+    """
+    distinct = counts.where(~F.col("blank")).select("column_name", "value", "mask").distinct()
+    masks = distinct.select("column_name", "mask").distinct()
+    fits = F.lit(False)
+    for d in domains:
+        fits = F.when(F.col("column_name") == d.column, F.coalesce(d.mask_allows(F.col("mask")), F.lit(False))).otherwise(fits)
+    alien = masks.where(~fits)
+    by_mask = distinct.join(alien, ["column_name", "mask"]).select("column_name", "value", "mask", F.lit("MASK").alias("reason"))
+    allowed = F.lit(False)
+    for d in domains:
+        allowed = F.when(F.col("column_name") == d.column, F.coalesce(d.allows(F.col("value")), F.lit(False))).otherwise(allowed)
+    rest = distinct.join(alien, ["column_name", "mask"], "left_anti")
+    return by_mask.unionByName(rest.where(~allowed).select("column_name", "value", "mask", F.lit("VALUE").alias("reason")))
+
+
+def violations(df: DataFrame, domains: Sequence, key: str, counts: DataFrame) -> DataFrame:
+    """key, column_name, value, mask, reason of every cell with a bad value; counts: value_counts of the same rows."""
+    bad = materialize(bad_values(counts, domains))
+    return cells(df, [d.column for d in domains], key).join(bad, ["column_name", "value"]).select(key, "column_name", "value", "mask", "reason")
 
 
 def rare_masks(df: DataFrame, domains: Sequence, key: str, load: str, min_mask_share: float = 0.01) -> DataFrame:
@@ -141,14 +166,13 @@ def _median_and_top(counts: DataFrame) -> DataFrame:
     return ranked.groupBy("load_id", "column_name").agg((at(low) + at(high)).alias("median2"), F.max("n").alias("top_n"), F.max("total").alias("num_n"))
 
 
-def divergence(df: DataFrame, loads: DataFrame, domains: Sequence, load: str) -> DataFrame:
+def divergence(df: DataFrame, loads: DataFrame, domains: Sequence, load: str, counts: DataFrame | None = None) -> DataFrame:
     """One row a load with a prior load and column: blank shares, mask and value distances, medians, shares of the top number.
 
     Shares are kept as pairs of whole numbers, and the flags compare products of whole numbers, so
-    no rounding decides a case on a limit. The value distance is computed on masks that keep domain
-    values apart: a value of a state domain is its own mask.
+    no rounding decides a case on a limit.
     """
-    counts = materialize(value_counts(df, domains, load))  # one row a load, column and distinct value: the table is read once
+    counts = materialize(value_counts(df, domains, load)) if counts is None else counts  # one row a load, column and distinct value
     states = [d.column for d in domains if not d.number]
     is_state = F.col("column_name").isin(*states) if states else F.lit(False)
     flat = counts.groupBy("load_id", "column_name").agg(F.sum("n").alias("rows_n"), F.sum(F.when(F.col("blank"), F.col("n")).otherwise(0)).alias("blank_n"), F.sum(F.when(F.col("in_domain"), F.col("n")).otherwise(0)).alias("dom_n"))
@@ -172,11 +196,14 @@ def divergence(df: DataFrame, loads: DataFrame, domains: Sequence, load: str) ->
 
     values = distance(counts.where(F.col("in_domain") & is_state).select("load_id", "column_name", F.col("value").alias("item"), "n"), "value")
     masks = distance(counts.where(~F.col("blank")).groupBy("load_id", "column_name", F.col("mask").alias("item")).agg(F.sum("n").alias("n")), "mask")
-    both = both.join(values, ["load_id", "column_name"], "left").join(masks, ["load_id", "column_name"], "left")
+    shapes = distance(counts.where(F.col("in_domain") & is_state).groupBy("load_id", "column_name", F.col("mask").alias("item")).agg(F.sum("n").alias("n")), "shape")
+    for far in (values, masks, shapes):
+        both = both.join(far, ["load_id", "column_name"], "left")
     d = lambda c: F.col(c).cast("decimal(18,0)")
     apart = lambda x, xt, y, yt: F.abs(d(x) * d(yt) - d(y) * d(xt))
     blank_flag = (F.col("rows_n") > 0) & (F.col("p_rows_n") > 0) & (apart("blank_n", "rows_n", "p_blank_n", "p_rows_n") * 10 >= d("rows_n") * d("p_rows_n"))
-    value_flag = is_state & (F.col("value_num") * 5 >= F.col("value_den") * 2)
+    beyond = lambda name: F.col(f"{name}_num") * 5 >= F.col(f"{name}_den") * 2
+    value_flag = is_state & F.when(beyond("shape"), F.lit(True)).otherwise(beyond("value"))
     lo, hi = F.least("median2", "p_median2"), F.greatest("median2", "p_median2")
     median_flag = ~is_state & (hi > lo) & (hi * 2 >= lo * 3)
     top_flag = ~is_state & (apart("top_n", "num_n", "p_top_n", "p_num_n") * 5 >= d("num_n") * d("p_num_n"))
@@ -224,6 +251,7 @@ ROAD_STATES = (*ROAD_DOMAINS, *map(AnyValue, ("walk_access", "braille_block_stat
 
 def findings(segments: DataFrame, loads: DataFrame, domains: Sequence = ROAD_DOMAINS) -> DataFrame:
     """finding_kind (VALUE or LOAD), column_name, record_id."""
-    values = violations(segments, domains, "edge_id").where("edge_id is not null").select(F.lit("VALUE").alias("finding_kind"), "column_name", F.col("edge_id").alias("record_id")).distinct()
-    flagged = divergence(segments, loads, domains, "load_id").where("blank_differs or values_differ or median_differs or top_differs")
+    counts = materialize(value_counts(segments, domains, "load_id"))
+    values = violations(segments, domains, "edge_id", counts).where("edge_id is not null").select(F.lit("VALUE").alias("finding_kind"), "column_name", F.col("edge_id").alias("record_id")).distinct()
+    flagged = divergence(segments, loads, domains, "load_id", counts).where("blank_differs or values_differ or median_differs or top_differs")
     return values.unionByName(flagged.select(F.lit("LOAD").alias("finding_kind"), "column_name", F.col("load_id").alias("record_id")))
