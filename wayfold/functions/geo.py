@@ -92,7 +92,8 @@ def to_degrees(x: Column, y: Column) -> Column:
 def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius: float = RADIUS_M) -> Column:
     dp, dl = F.radians(lat2 - lat1), F.radians(lon2 - lon1)
     h = F.sin(dp / 2) * F.sin(dp / 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(dl / 2) * F.sin(dl / 2)
-    return F.lit(2 * radius) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    root = F.sqrt(h)
+    return F.lit(2 * radius) * F.asin(F.when(root > 1.0, F.lit(1.0)).otherwise(root))  # null for null, which least would pass over
 
 
 def flat_metres(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -171,9 +172,10 @@ def bbox(points: Column) -> Column:
 
 
 def turn_angle(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
-    """Degrees of turning at b on the way from a to c: 0 is straight on."""
+    """Degrees of turning at b on the way from a to c: 0 is straight on; null if a leg has no length."""
     ux, uy, vx, vy = bx - ax, by - ay, cx - bx, cy - by
-    return F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (ux * vx + uy * vy) / (F.hypot(ux, uy) * F.hypot(vx, vy))))))
+    cosine = (ux * vx + uy * vy) / F.nullif(F.hypot(ux, uy) * F.hypot(vx, vy), F.lit(0.0))
+    return F.when(cosine.isNotNull(), F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))))
 
 
 def heading(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
@@ -229,7 +231,7 @@ def without_repeats(points: Column) -> Column:
 
 def axis_angle(ux: Column, uy: Column, vx: Column, vy: Column) -> Column:
     """Degrees between two undirected lines, 0 to 90; null if one has no length."""
-    return F.degrees(F.acos(F.least(F.lit(1.0), F.abs(ux * vx + uy * vy) / F.nullif(F.hypot(ux, uy) * F.hypot(vx, vy), F.lit(0.0)))))
+    return let(F.abs(ux * vx + uy * vy) / F.nullif(F.hypot(ux, uy) * F.hypot(vx, vy), F.lit(0.0)), lambda c: F.degrees(F.acos(F.when(c > 1.0, F.lit(1.0)).otherwise(c))))
 
 
 def leg_crossing(a: Column, b: Column, c: Column, d: Column) -> Column:
@@ -248,7 +250,7 @@ def leg_distance(a: Column, b: Column, c: Column, d: Column) -> Column:
 
 def leg_overlap(a: Column, b: Column, c: Column, d: Column, tolerance: float = 0.01) -> Column:
     """Length that leg c-d shares with leg a-b where both lie on one line, within a tolerance."""
-    n = F.hypot(b.x - a.x, b.y - a.y)
+    n = F.nullif(F.hypot(b.x - a.x, b.y - a.y), F.lit(0.0))
     off = lambda p: F.abs((p.x - a.x) * (b.y - a.y) - (p.y - a.y) * (b.x - a.x)) / n
     along = lambda p: ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / n
     shared = F.least(n, F.greatest(along(c), along(d))) - F.greatest(F.lit(0.0), F.least(along(c), along(d)))
@@ -284,8 +286,8 @@ def outward_tangent(points: Column, at_start: Column) -> Column:
     """Unit vector struct(x, y) that leaves a line over its first or last vertex; null if the leg there has no length."""
     n = F.size(points)
     p, q = F.when(at_start, F.get(points, F.lit(0))).otherwise(F.element_at(points, -1)), F.when(at_start, F.get(points, F.lit(1))).otherwise(F.get(points, n - 2))
-    d = F.hypot(p.x - q.x, p.y - q.y)
-    return F.when(d > 0, F.struct(((p.x - q.x) / d).alias("x"), ((p.y - q.y) / d).alias("y")))
+    d = F.nullif(F.hypot(p.x - q.x, p.y - q.y), F.lit(0.0))
+    return F.when(d.isNotNull(), F.struct(((p.x - q.x) / d).alias("x"), ((p.y - q.y) / d).alias("y")))
 
 
 def detour_ratio(points: Column) -> Column:
@@ -297,7 +299,7 @@ def max_turn(points: Column) -> Column:
     """Greatest turn in degrees at an inner vertex; 0 if there is none."""
     n = F.size(points)
     turns = F.when(n >= 3, F.zip_with(legs(F.slice(points, F.lit(1), n - 1)), legs(F.slice(points, F.lit(2), n - 1)), lambda g, h: turn_angle(g.a.x, g.a.y, g.b.x, g.b.y, h.b.x, h.b.y)))
-    return F.coalesce(F.array_max(F.filter(turns, lambda t: ~F.isnan(t))), F.lit(0.0))
+    return F.coalesce(F.array_max(turns), F.lit(0.0))
 
 
 def bisector(low: Column, high: Column) -> Column:

@@ -39,6 +39,7 @@ SEG = """seg as (select *, case when regexp_full_match(width_meter, '[0-9]+(\\.[
   from (select *, row_number() over (partition by edge_id order by load_id desc, loaded_at, geom) rn from road_segments) where rn = 1)"""
 _PT = r"regexp_full_match(point, '(?i)\s*(srid\s*=\s*4326\s*;)?\s*point\s*\(\s*[+-]?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\s+[+-]?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\s*\)\s*')"
 _LON, _LAT = r"try_cast(regexp_extract(point, '\(\s*([^\s]+)\s', 1) as double)", r"try_cast(regexp_extract(point, '\s([^\s()]+)\s*\)', 1) as double)"
+_NUMBER_PAIR = (_LON, _LAT, f"{_PT} and {_LON} between 124 and 132 and {_LAT} between 33 and 39")
 _POINTS = lambda t, k: f"(select distinct {k}, {_LON} lon, {_LAT} lat from {t} where {_PT} and {_LON} between 124 and 132 and {_LAT} between 33 and 39)"
 _HAV = "2*6371008.8*asin(least(1.0, sqrt(pow(sin(radians({b}.lat-{a}.lat)/2),2)+cos(radians({a}.lat))*cos(radians({b}.lat))*pow(sin(radians({b}.lon-{a}.lon)/2),2))))"
 HAV = _HAV.format(a="a", b="b")
@@ -182,6 +183,7 @@ def nearest_segment_of_elevators(spark, sf_dir):
 
 @query("select distinct s.edge_id, s.from_node_id from road_segments s where s.from_node_id is not null and not exists (select 1 from road_nodes n where n.vertex_id = s.from_node_id)")
 def orphan_segments(spark, sf_dir):
+    """Edges whose start the node table lacks: none in these tables; customers_without_orders is the case with rows."""
     nodes = table(spark, sf_dir, "road_nodes").select(F.col("vertex_id").alias("from_node_id")).distinct()
     return table(spark, sf_dir, "road_segments").where("from_node_id is not null").select("edge_id", "from_node_id").distinct().join(nodes, "from_node_id", "left_anti").select("edge_id", "from_node_id")
 
