@@ -199,8 +199,8 @@ def topology_review(spark, sf_dir):
 
 @query()
 def connection_candidates(spark, sf_dir):
-    """Possible connections of different components, numbered, with kind, priority and colour."""
-    return topology.connectivity(*_graph(spark, sf_dir))
+    """Possible connections of different components within 600 m, numbered, with kind, priority and colour."""
+    return topology.connectivity(*_graph(spark, sf_dir), reach_m=600.0, connect_m=400.0)
 
 
 @query()

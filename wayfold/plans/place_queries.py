@@ -8,7 +8,7 @@ from wayfold.functions import geo, text
 from wayfold.operators import fuse, places, transfer
 from wayfold.plans.core_problems import located_places
 from wayfold.plans.graph_queries import _shapes
-from wayfold.plans.reference import _NEAR, _NUMBER_PAIR, _POINTS, HAV, _lifts
+from wayfold.plans.reference import _NEAR, _NUMBER_PAIR, _POINTS, _TM, HAV, SEG, _lifts
 from wayfold.plans.runtime import materialize, table
 
 QUERIES: dict = {}
@@ -25,6 +25,34 @@ def query(sql: str | None = None):
     return add
 
 
+# p4_found again, by ray crossing over all vertices
+ORACLES["p4_found"] = rf"""
+with pl as (select distinct place_id, x, y from {_TM.format(src=_POINTS('places', 'place_id'))}),
+ sh as (select edge_id, regexp_extract(g, '(?i)^MULTIPOLYGON\(\(\((.*)\)\)\)$', 1) body from (select edge_id, regexp_replace(regexp_replace(geom, '\s+', ' ', 'g'), ' ?([(),]) ?', '\1', 'g') g from (select distinct edge_id, geom from road_segment_filter_polygons where geom is not null and edge_id is not null))),
+ pt as (select edge_id, body, generate_subscripts(p, 1) part, unnest(p) t from (select edge_id, body, string_split(body, ')),((') p from sh where body <> '')),
+ rg as (select edge_id, body, part, generate_subscripts(r, 1) ring, unnest(r) t from (select edge_id, body, part, string_split(t, '),(') r from pt)),
+ vx as (select edge_id, body, part, ring, generate_subscripts(v, 1) i, unnest(v) t from (select edge_id, body, part, ring, string_split(t, ',') v from rg)),
+ xy as (select *, string_split(t, ' ')[1]::double x, string_split(t, ' ')[2]::double y from vx),
+ s2 as (select a.edge_id, a.body, a.part, a.ring, a.x, a.y, coalesce(b.x, f.x) x2, coalesce(b.y, f.y) y2 from xy a left join xy b on b.edge_id = a.edge_id and b.body = a.body and b.part = a.part and b.ring = a.ring and b.i = a.i + 1 join xy f on f.edge_id = a.edge_id and f.body = a.body and f.part = a.part and f.ring = a.ring and f.i = 1),
+ bx as (select edge_id, body, part, min(x) x0, max(x) x1, min(y) y0, max(y) y1 from xy where ring = 1 group by 1, 2, 3),
+ cd as (select place_id, bx.edge_id, bx.body, bx.part, pl.x px, pl.y py from pl join bx on pl.x between x0 and x1 and pl.y between y0 and y1),
+ cr as (select place_id, c.edge_id, c.body, c.part, ring, count(*) filter (where (y > py) <> (y2 > py) and px < (x2 - x) * (py - y) / nullif(y2 - y, 0) + x) % 2 odd from cd c join s2 on s2.edge_id = c.edge_id and s2.body = c.body and s2.part = c.part group by 1, 2, 3, 4, 5)
+select 'ELEVATOR' as relation, place_id, elevator_id as other_id from {_NEAR} where d <= 50
+union all select distinct 'POLYGON', place_id, edge_id from (select place_id, edge_id, body, part from cr group by 1, 2, 3, 4 having bool_or(ring = 1 and odd = 1) and not bool_or(ring > 1 and odd = 1))"""
+ORACLES["polygon_measures"] = (
+    ORACLES["p4_found"].split(" bx as (")[0].rstrip().rstrip(",")
+    + """, ar as (select edge_id, body, part, sum(x * y2 - x2 * y) / 2 a, sum((x + x2 - 2 * ox) * ((x - ox) * (y2 - oy) - (x2 - ox) * (y - oy))) cx, sum((y + y2 - 2 * oy) * ((x - ox) * (y2 - oy) - (x2 - ox) * (y - oy))) cy, sum((x - ox) * (y2 - oy) - (x2 - ox) * (y - oy)) / 2 a0, any_value(ox) ox, any_value(oy) oy
+     from (select s2.*, f.x ox, f.y oy from s2 join xy f on f.edge_id = s2.edge_id and f.body = s2.body and f.part = s2.part and f.ring = 1 and f.i = 1 where s2.ring = 1) group by 1, 2, 3)
+    select edge_id, round(sum(abs(a0)), 3) as area, round(sum(abs(a0) * (cx / (6 * a0) + ox)) / sum(abs(a0)), 2) as x, round(sum(abs(a0) * (cy / (6 * a0) + oy)) / sum(abs(a0)), 2) as y from ar group by 1"""
+)
+
+# edge_chains: edges that share a node of degree two, joined until nothing changes
+ORACLES["edge_chains"] = f"""
+with recursive {SEG}, dg as (select v from (select from_node_id v from seg where from_node_id is not null union all select to_node_id from seg where to_node_id is not null) group by v having count(*) = 2),
+ en as (select edge_id, unnest([from_node_id, to_node_id]) v from seg where from_node_id <> to_node_id), lk as (select min(edge_id) a, max(edge_id) b from en join dg using (v) group by v having min(edge_id) <> max(edge_id)),
+ nb as (select a x, b y from lk union select b, a from lk), cc(v, g) using key (v) as (select distinct x, x from nb union (select nb.y, min(cc.g) from cc join nb on nb.x = cc.v join recurring.cc r on r.v = nb.y where cc.g < r.g group by nb.y))
+select coalesce(g, edge_id) as chain, count(*) as n_edges, round(sum(length), 2) as metres from seg left join cc on cc.v = seg.edge_id group by 1"""
+
 FACILITIES = "facility_priority_manual_removed_applied"
 
 
@@ -95,10 +123,10 @@ def scored_places(spark, sf_dir):
 
 @query()
 def places_of_one_spot(spark, sf_dir):
-    """Facilities and places with equal coordinates to seven digits, the most alike place of each."""
+    """Facilities and places with equal coordinates to three digits (a hundred metres), the most alike place of each."""
     f = _first_facilities(spark, sf_dir).select(F.col("source_id").alias("id"), "name", "address", "lon", "lat").where("lon is not null")
     p = _first_places(spark, sf_dir).select(F.col("place_id").alias("id"), "name", "address", "lon", "lat").where("lon is not null")
-    return places.same_spot(f, p).select("left_id", "right_id", F.round("score", 4).alias("score"))
+    return places.same_spot(f, p, digits=3).select("left_id", "right_id", F.round("score", 4).alias("score"))
 
 
 _LOAD_TABLES = ("places", "road_nodes", "road_segments", "road_loads", "subway_station_elevators_erd_ready", "documents")
@@ -177,8 +205,8 @@ def review_queue_head(spark, sf_dir):
     return transfer.ranked_head(r, 25, {"review_priority": ("F1", "F2", "F3")}, F.asc("removed_id"))
 
 
-@query("select c_custkey, c_name from customer where c_custkey not in (select o_custkey from orders where o_custkey is not null)")
-def customers_without_orders(spark, sf_dir):
+@query("select o_orderkey, o_orderstatus from orders where o_orderkey not in (select l_orderkey from lineitem where l_orderkey is not null)")
+def orders_without_lines(spark, sf_dir):
     """A left anti join with rows on both sides of it."""
-    c = table(spark, sf_dir, "customer")
-    return c.join(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct(), "c_custkey", "left_anti").select("c_custkey", "c_name")
+    o = table(spark, sf_dir, "orders")
+    return o.join(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct(), "o_orderkey", "left_anti").select("o_orderkey", "o_orderstatus")

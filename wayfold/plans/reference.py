@@ -69,11 +69,11 @@ def derived_states(spark, sf_dir):
 
 
 @query(
-    r"""select distinct place_id, regexp_replace(regexp_replace(lower(name), '\([^)]*\)', '', 'g'), '[^0-9a-z가-힣]', '', 'g') as plain_name, array_to_string(string_split_regex(trim(regexp_replace(address, '\s+', ' ', 'g')), '\s+')[1:2], ' ') as address_prefix
-    from places where address is not null and name is not null and regexp_full_match(address, '[ -~가-힣]*') and regexp_full_match(name, '[ -~가-힣]*')"""
+    r"""select distinct place_id, regexp_replace(regexp_replace(lower(name), '\([^)]*\)', '', 'g'), '[^0-9a-z가-힣]', '', 'g') as plain_name,
+    array_to_string(list_filter(string_split_regex(address, '[\s\p{Z}\x{1c}-\x{1f}\x{85}\x{0b}]+'), lambda w: w <> '')[1:2], ' ') as address_prefix from places"""
 )
 def normalized_places(spark, sf_dir):
-    """Every place, null for null. The SQL covers only places whose name and address are printable ASCII and Hangul syllables."""
+    """Every place, null for null."""
     p = table(spark, sf_dir, "places")
     return p.select("place_id", text.normalize_plain(F.col("name")).alias("plain_name"), text.address_prefix(F.col("address")).alias("address_prefix")).distinct()
 
@@ -183,7 +183,7 @@ def nearest_segment_of_elevators(spark, sf_dir):
 
 @query("select distinct s.edge_id, s.from_node_id from road_segments s where s.from_node_id is not null and not exists (select 1 from road_nodes n where n.vertex_id = s.from_node_id)")
 def orphan_segments(spark, sf_dir):
-    """Edges whose start the node table lacks: none in these tables; customers_without_orders is the case with rows."""
+    """Edges whose start the node table lacks: none in these tables; orders_without_lines is the case with rows."""
     nodes = table(spark, sf_dir, "road_nodes").select(F.col("vertex_id").alias("from_node_id")).distinct()
     return table(spark, sf_dir, "road_segments").where("from_node_id is not null").select("edge_id", "from_node_id").distinct().join(nodes, "from_node_id", "left_anti").select("edge_id", "from_node_id")
 
