@@ -150,10 +150,12 @@ def in_multipolygon(px: Column, py: Column, parts: Column) -> Column:
 
 
 def ring_area(ring: Column) -> Column:
-    """Signed shoelace area."""
+    """Signed shoelace area, from the first vertex on, so that large coordinates do not cancel."""
     n = F.size(ring)
     closed = F.concat(ring, F.slice(ring, F.lit(1), F.lit(1)))
-    return F.aggregate(F.zip_with(F.slice(closed, F.lit(1), n), F.slice(closed, F.lit(2), n), lambda a, b: a.x * b.y - b.x * a.y), F.lit(0.0), lambda acc, v: acc + v) / 2
+    o = F.get(ring, F.lit(0))
+    cross = lambda a, b: (a.x - o.x) * (b.y - o.y) - (b.x - o.x) * (a.y - o.y)
+    return F.aggregate(F.zip_with(F.slice(closed, F.lit(1), n), F.slice(closed, F.lit(2), n), cross), F.lit(0.0), lambda acc, v: acc + v) / 2
 
 
 def ring_centroid(ring: Column) -> Column:

@@ -43,7 +43,7 @@ ORACLES["polygon_measures"] = (
     ORACLES["p4_found"].split(" bx as (")[0].rstrip().rstrip(",")
     + """, ar as (select edge_id, body, part, sum(x * y2 - x2 * y) / 2 a, sum((x + x2 - 2 * ox) * ((x - ox) * (y2 - oy) - (x2 - ox) * (y - oy))) cx, sum((y + y2 - 2 * oy) * ((x - ox) * (y2 - oy) - (x2 - ox) * (y - oy))) cy, sum((x - ox) * (y2 - oy) - (x2 - ox) * (y - oy)) / 2 a0, any_value(ox) ox, any_value(oy) oy
      from (select s2.*, f.x ox, f.y oy from s2 join xy f on f.edge_id = s2.edge_id and f.body = s2.body and f.part = s2.part and f.ring = 1 and f.i = 1 where s2.ring = 1) group by 1, 2, 3)
-    select edge_id, round(sum(abs(a0)), 3) as area, round(sum(abs(a0) * (cx / (6 * a0) + ox)) / sum(abs(a0)), 2) as x, round(sum(abs(a0) * (cy / (6 * a0) + oy)) / sum(abs(a0)), 2) as y from ar group by 1"""
+    select edge_id, round(sum(abs(a0)), 3) as area, round(sum(abs(a0) * (cx / (6 * a0) + ox)) / sum(abs(a0)), 4) as x, round(sum(abs(a0) * (cy / (6 * a0) + oy)) / sum(abs(a0)), 4) as y from ar group by 1"""
 )
 
 # edge_chains: edges that share a node of degree two, joined until nothing changes

@@ -117,7 +117,7 @@ def polygon_measures(spark, sf_dir):
     s = table(spark, sf_dir, "road_segment_filter_polygons").select("edge_id", "geom").distinct()
     s = s.select("edge_id", F.explode(text.parse_multipolygon(F.col("geom"))).alias("part")).select("edge_id", F.col("part")[0].alias("ring"))
     s = s.select("edge_id", F.abs(geo.ring_area(F.col("ring"))).alias("area"), geo.ring_centroid(F.transform("ring", lambda p: F.struct((p.x - F.col("ring")[0].x).alias("x"), (p.y - F.col("ring")[0].y).alias("y")))).alias("c"), F.col("ring")[0].alias("o"))
-    return s.groupBy("edge_id").agg(F.round(F.sum("area"), 3).alias("area"), F.round(F.sum(F.col("area") * (F.col("c.x") + F.col("o.x"))) / F.sum("area"), 2).alias("x"), F.round(F.sum(F.col("area") * (F.col("c.y") + F.col("o.y"))) / F.sum("area"), 2).alias("y"))
+    return s.groupBy("edge_id").agg(F.round(F.sum("area"), 3).alias("area"), F.round(F.sum(F.col("area") * (F.col("c.x") + F.col("o.x"))) / F.sum("area"), 4).alias("x"), F.round(F.sum(F.col("area") * (F.col("c.y") + F.col("o.y"))) / F.sum("area"), 4).alias("y"))
 
 
 # ---- joins
