@@ -66,10 +66,13 @@ def valid_lat_lng(lat: Column, lng: Column) -> Column:
 def parse_linestring(c: Column) -> Column:
     """Array of struct(x, y) of a LINESTRING with two or more proper vertices, else null."""
     inner = F.regexp_extract(strip_srid(c), r"(?i)^LINESTRING\s*\((.*)\)$", 1)
-    xs = F.transform(F.split(inner, ","), lambda p: F.split(F.trim(p), r"\s+"))
-    pts = F.transform(xs, lambda p: F.struct(F.get(p, F.lit(0)).try_cast("double").alias("x"), F.get(p, F.lit(1)).try_cast("double").alias("y")))
-    good = (F.size(xs) >= 2) & F.forall(xs, lambda p: F.size(p) == 2) & F.forall(pts, lambda p: p.x.isNotNull() & p.y.isNotNull())
-    return F.when(good, pts)
+
+    def vertices(xs: Column) -> Column:
+        pts = F.transform(xs, lambda p: F.struct(F.get(p, F.lit(0)).try_cast("double").alias("x"), F.get(p, F.lit(1)).try_cast("double").alias("y")))
+        proper = (F.size(xs) >= 2) & F.forall(xs, lambda p: F.size(p) == 2)
+        return let(pts, lambda v: F.when(proper & F.forall(v, lambda p: p.x.isNotNull() & p.y.isNotNull()), v))
+
+    return let(F.transform(F.split(inner, ","), lambda p: F.split(F.trim(p), r"\s+")), vertices)
 
 
 def number_scan(c: Column) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.functions import arrow, geo
 from wayfold.operators import fuse, graph, repair, spatial
-from wayfold.plans.runtime import materialize
+from wayfold.plans.runtime import materialize, once
 
 
 def corner_cuts(segments: DataFrame, degrees: float) -> DataFrame:
@@ -19,26 +21,52 @@ def corner_cuts(segments: DataFrame, degrees: float) -> DataFrame:
     return line.select("edge_id", F.explode(three).alias("t")).where(F.col("t.turn") >= degrees).select("edge_id", "t.m")
 
 
+class Spot(NamedTuple):
+    """A point in two columns of their own, for the functions of geo."""
+
+    x: Column
+    y: Column
+
+
+def leg_ends() -> list[Spot]:
+    """The ends a1, b1 and a2, b2 of two legs, as met_legs gives them."""
+    return [Spot(F.col(f"x{k}"), F.col(f"y{k}")) for k in ("a1", "b1", "a2", "b2")]
+
+
 def met_legs(lines: DataFrame, key: str, margin: float = 0.001) -> DataFrame:
-    """key_a < key_b, leg_a, leg_b, a1, b1, a2, b2 of legs of two polylines that share a square."""
-    celled = spatial.leg_cells(lines, key, margin)
-    a = celled.select(F.col(key).alias(f"{key}_a"), F.col("leg").alias("leg_a"), F.col("a").alias("a1"), F.col("b").alias("b1"), "cell")
-    b = celled.select(F.col(key).alias(f"{key}_b"), F.col("leg").alias("leg_b"), F.col("a").alias("a2"), F.col("b").alias("b2"), "cell")
-    return a.join(b, "cell").where(F.col(f"{key}_a") < F.col(f"{key}_b")).drop("cell")
+    """key_a < key_b, the ends (leg_ends) and the square (cell) of legs of two polylines that share a square and whose boxes come within twice the margin."""
+    celled = spatial.leg_cells(materialize(lines.select(key, "points")), key, margin).select(key, "a.x", "a.y", F.col("b.x").alias("p"), F.col("b.y").alias("q"), "cell")
+    mine = lambda side, k: celled.toDF(f"{key}_{side}", f"xa{k}", f"ya{k}", f"xb{k}", f"yb{k}", "cell")
+    near = spatial.legs_near(*leg_ends(), 2 * margin)
+    return mine("a", 1).join(mine("b", 2), "cell").where(F.col(f"{key}_a") < F.col(f"{key}_b")).where(near)
 
 
 def crossings(lines: DataFrame, key: str = "edge_id") -> DataFrame:
-    """key_a < key_b, x, y of points where legs of two polylines (planar points) cross, ends that touch included."""
-    met = met_legs(lines, key).withColumn("p", geo.leg_crossing(F.col("a1"), F.col("b1"), F.col("a2"), F.col("b2"))).where("p is not null")
-    return met.select(f"{key}_a", f"{key}_b", "p.x", "p.y").distinct()
+    """key_a < key_b, x, y of points where legs of two polylines (planar points) cross, ends that touch included.
+
+    A crossing counts in the square that holds it, which both legs pass, so equal ones stand together
+    and nothing is sent about to find them. Legs that nearly are on one line may give a point beyond
+    an end; it counts where their boxes meet.
+    """
+    met = once(met_legs(lines, key), p=geo.leg_crossing(*leg_ends())).where("p is not null")
+
+    def held(c: str) -> Column:
+        v, a, b, d, e = F.col(f"p.{c}"), *[getattr(s, c) for s in leg_ends()]
+        low, high = F.greatest(F.least(a, b), F.least(d, e)), F.least(F.greatest(a, b), F.greatest(d, e))
+        return F.when(v < low - 1e-6, low).when(v > high + 1e-6, high).otherwise(v)
+
+    met = once(met, hx=held("x"), hy=held("y"))
+    met = once(met, own=geo.morton(spatial.cell_of(F.col("hx")), spatial.cell_of(F.col("hy")))).where("own = cell")
+    return met.select("cell", f"{key}_a", f"{key}_b", "p.x", "p.y").distinct().drop("cell")
 
 
 def near_crosses(lines: DataFrame, key: str = "edge_id", metres: float = 2.5, degrees: float = 25.0) -> DataFrame:
     """key_a < key_b, distance_m, turn of legs that come within metres of each other without crossing, at an angle of at least so many degrees; the nearest of each two lines."""
-    a, b, c, d = (F.col(x) for x in ("a1", "b1", "a2", "b2"))
+    a, b, c, d = leg_ends()
     far = lambda p, q, r: geo.point_leg(p.x, p.y, q.x, q.y, r.x, r.y).d
-    met = met_legs(lines, key, metres).withColumn("distance_m", F.least(far(a, c, d), far(b, c, d), far(c, a, b), far(d, a, b))).where(F.col("distance_m") <= metres)
-    met = met.where(geo.leg_crossing(a, b, c, d).isNull()).withColumn("turn", geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y)).where(F.col("turn") >= degrees)
+    met = once(met_legs(lines, key, metres), d1=far(a, c, d), d2=far(b, c, d), d3=far(c, a, b), d4=far(d, a, b)).withColumn("distance_m", F.least("d1", "d2", "d3", "d4")).where(F.col("distance_m") <= metres)
+    met = once(met, p=geo.leg_crossing(a, b, c, d)).where("p is null")
+    met = once(met, turn=geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y)).where(F.col("turn") >= degrees)
     return met.groupBy(f"{key}_a", f"{key}_b").agg(F.min(F.struct("distance_m", "turn")).alias("m")).select(f"{key}_a", f"{key}_b", "m.*")
 
 
@@ -48,15 +76,15 @@ def near_overlaps(lines: DataFrame, key: str = "edge_id", metres: float = 1.25,
     Legs count if their directions differ by at most so many degrees and the ends of the common
     stretch, on the first leg, are within metres of the second. The longest stretch of each two lines.
     """
-    a, b, c, d = (F.col(x) for x in ("a1", "b1", "a2", "b2"))
+    a, b, c, d = leg_ends()
     along = lambda p: ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / F.nullif(F.hypot(b.x - a.x, b.y - a.y), F.lit(0.0))
-    met = met_legs(lines, key, metres).where(geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y) <= degrees)
-    met = met.withColumn("n", F.hypot(b.x - a.x, b.y - a.y)).withColumn("s", F.greatest(F.lit(0.0), F.least(along(c), along(d)))).withColumn("e", F.least(F.col("n"), F.greatest(along(c), along(d))))
-    met = met.withColumn("length", F.col("e") - F.col("s")).where(F.col("length") >= least_m)
+    met = once(met_legs(lines, key, metres), angle=geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y)).where(F.col("angle") <= degrees)
+    met = once(met, n=F.hypot(b.x - a.x, b.y - a.y), u=along(c), v=along(d))
+    met = once(met, s=F.greatest(F.lit(0.0), F.least("u", "v")), e=F.least(F.col("n"), F.greatest("u", "v"))).withColumn("length", F.col("e") - F.col("s")).where(F.col("length") >= least_m)
     at = lambda m: F.struct((a.x + m / F.col("n") * (b.x - a.x)).alias("x"), (a.y + m / F.col("n") * (b.y - a.y)).alias("y"))
-    met = met.withColumn("ps", at(F.col("s"))).withColumn("pe", at(F.col("e"))).withColumn("pm", at((F.col("s") + F.col("e")) / 2))
+    met = once(met, ps=at(F.col("s")), pe=at(F.col("e")), pm=at((F.col("s") + F.col("e")) / 2))
     gap = lambda p: geo.point_leg(F.col(p).x, F.col(p).y, c.x, c.y, d.x, d.y).d
-    met = met.where((gap("ps") <= metres) & (gap("pe") <= metres))
+    met = once(met, gs=gap("ps"), ge=gap("pe")).where((F.col("gs") <= metres) & (F.col("ge") <= metres))
     return met.groupBy(f"{key}_a", f"{key}_b").agg(F.max(F.struct("length", "pm.x", "pm.y")).alias("m")).select(f"{key}_a", f"{key}_b", "m.*")
 
 

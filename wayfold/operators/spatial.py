@@ -41,9 +41,9 @@ def level_of(extent: Column) -> Column:
     return out
 
 
-def cover(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column) -> DataFrame:
-    """A row for each aligned square (level_, prefix_) that the bounding box meets."""
-    df = df.withColumn("level_", level_of(F.greatest(x1 - x0, y1 - y0)))
+def cover(df: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column, split: int = 1) -> DataFrame:
+    """A row for each aligned square (level_, prefix_) that the bounding box meets; squares at least as wide as its split-th part."""
+    df = df.withColumn("level_", level_of(F.greatest(x1 - x0, y1 - y0) / split))
     side = F.pow(F.lit(2.0), F.col("level_"))
     lo = lambda v: F.floor(grid(v) / side).cast("bigint")
     squares = F.flatten(F.transform(F.sequence(lo(x0), lo(x1)), lambda i: F.transform(F.sequence(lo(y0), lo(y1)), lambda j: geo.morton(i, j))))
@@ -62,26 +62,40 @@ def used_levels(regions: DataFrame) -> list[int]:
     return sorted(r[0] for r in regions.select("level_").distinct().collect())
 
 
+def line_legs(lines: DataFrame, key: str) -> DataFrame:
+    """key, leg, a, b: the legs of polylines (planar points), numbered from 0. A line of one vertex is a leg without length."""
+    own = F.coalesce(geo.legs(F.col("points")), F.when(F.size("points") == 1, F.transform("points", lambda p: F.struct(p.alias("a"), p.alias("b")))))
+    return lines.select(key, F.posexplode(own).alias("leg", "g")).select(key, "leg", "g.a", "g.b")
+
+
+def cell_of(v: Column) -> Column:
+    """Number of the row or column of squares of level MIN_LEVEL that holds a coordinate."""
+    return F.floor(grid(v) / float(1 << MIN_LEVEL)).cast("bigint")
+
+
 def leg_cells(lines: DataFrame, key: str, margin: float = 0.001) -> DataFrame:
     """key, leg, a, b, cell: the legs of polylines (planar points) with each aligned square of level MIN_LEVEL that they pass, grown by a margin.
 
-    A leg is cut into pieces no longer than its side, each of which meets few squares, so a long leg costs
-    squares in proportion to its length, not to its bounding box. A line of one vertex is a leg without length.
+    Each column of squares holds a stretch of the leg, whose ends say which squares of the column it
+    passes: a long leg costs squares in proportion to its length, not to its bounding box. Lines
+    should be a written table: the optimiser copies their expression for every use of points.
     """
-    own = F.coalesce(geo.legs(F.col("points")), F.when(F.size("points") == 1, F.transform("points", lambda p: F.struct(p.alias("a"), p.alias("b")))))
-    leg = lines.select(key, F.posexplode(own).alias("leg", "g")).select(key, "leg", "g.a", "g.b")
+    ax, ay, bx, by = (F.col(c) for c in ("a.x", "a.y", "b.x", "b.y"))
     side = float(1 << MIN_LEVEL)
-    n = F.greatest(F.ceil(F.hypot(F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y")) / side), F.lit(1)).cast("int")
-    cell = lambda v: F.floor(grid(v) / side).cast("bigint")
-
-    def squares(i):
-        p, q = i / F.col("n_"), (i + 1) / F.col("n_")
-        at = lambda c, t: F.col(f"a.{c}") + t * (F.col(f"b.{c}") - F.col(f"a.{c}"))
-        span = lambda c: F.sequence(cell(F.least(at(c, p), at(c, q)) - margin), cell(F.greatest(at(c, p), at(c, q)) + margin))
-        return F.flatten(F.transform(span("x"), lambda x: F.transform(span("y"), lambda y: geo.morton(x, y))))
-
-    cells = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.col("n_") - 1), squares)))
-    return leg.withColumn("n_", n).withColumn("cell", F.explode(cells)).drop("n_")
+    columns = F.sequence(cell_of(F.least(ax, bx) - margin), cell_of(F.greatest(ax, bx) + margin))
+    leg = line_legs(lines, key).withColumn("cx_", F.explode(columns))
+    # a leg nearly along the column has no stable place where it enters: it counts whole
+    x0 = (F.col("cx_") - F.lit(SHIFT >> MIN_LEVEL)) * side - margin
+    at = lambda x: F.when(F.abs(bx - ax) < 1.0, F.lit(None)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - ax) / (bx - ax))))
+    p, q = ay + F.coalesce(at(x0), F.lit(0.0)) * (by - ay), ay + F.coalesce(at(x0 + side + 2 * margin), F.lit(1.0)) * (by - ay)
+    leg = leg.withColumn("cy_", F.explode(F.sequence(cell_of(F.least(p, q) - margin), cell_of(F.greatest(p, q) + margin))))
+    return leg.select(key, "leg", "a", "b", geo.morton(F.col("cx_"), F.col("cy_")).alias("cell"))
+
+
+def legs_near(a: Column, b: Column, c: Column, d: Column, gap: float) -> Column:
+    """Whether the bounding boxes of legs a-b and c-d come within gap of each other: the cheap test before an exact one."""
+    meet = lambda a, b, c, d: (F.least(a, b) - gap <= F.greatest(c, d)) & (F.least(c, d) - gap <= F.greatest(a, b))
+    return meet(a.x, b.x, c.x, d.x) & meet(a.y, b.y, c.y, d.y)
 
 
 def within_distance(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:

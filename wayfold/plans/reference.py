@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wayfold.functions import geo, states, text
 from wayfold.operators import build, fuse, graph, nearest, quality_profile, repair, routing, rules
 from wayfold.plans.core_problems import located_places
-from wayfold.plans.runtime import materialize, table
+from wayfold.plans.runtime import materialize, once, table
 from wayfold.sources import files
 from wayfold.streaming import flow
 
@@ -467,8 +467,8 @@ def osm_elements(spark, sf_dir):
 
 def metric_lines(spark, sf_dir):
     """Segments with points in EPSG:5179 metres."""
-    s = segments(spark, sf_dir).withColumn("points", F.transform(text.parse_linestring(F.col("geom")), lambda p: geo.to_metres(p.x, p.y)))
-    return s.where("points is not null")
+    s = once(segments(spark, sf_dir), points=text.parse_linestring(F.col("geom"))).where("points is not null")
+    return s.withColumn("points", F.transform("points", lambda p: geo.to_metres(p.x, p.y)))
 
 
 _planar = metric_lines

@@ -6,7 +6,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +79,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are worked out once, where they stand.
+
+    A filter or projection over a plain column takes the column's expression with it, down to the
+    join below and once a use; loops of so much code are never compiled. It does not pass explode.
+    """
+    for name, value in columns.items():
+        df = df.withColumn(name, F.explode(F.array(value)))
+    return df
+
+
 def salts_for(rows: int, per_task: int = 200_000) -> int:
     """How many parts a key of so many rows is split into, so that no task holds more than per_task."""
     return max(1, -(-rows // per_task))
