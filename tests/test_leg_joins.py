@@ -23,3 +23,9 @@ def test_crossings_stand_in_their_square(spark):
     got = sorted((r.edge_id_a, r.edge_id_b, round(r.x, 6), round(r.y, 6)) for r in c.collect())
     assert got == [(1, 2, 64.0, 3.2), (1, 3, 0.0, 0.0), (2, 5, 64.0, 4.2), (3, 4, 0.0, 64.0), (3, 5, 0.0, 1.0)]
     assert plan(c).count("Exchange hashpartitioning") == 2  # the join's; equal points are not sent about to be found
+
+
+def test_near_crosses_join_on_boxes_only(spark):
+    n = build.near_crosses(lines(spark), metres=70.0)
+    assert {(r.edge_id_a, r.edge_id_b): round(r.distance_m) for r in n.collect()} == {(2, 4): 54}
+    assert joins(n) and not any("hypot" in x for x in joins(n))
