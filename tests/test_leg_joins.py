@@ -29,3 +29,9 @@ def test_near_crosses_join_on_boxes_only(spark):
     n = build.near_crosses(lines(spark), metres=70.0)
     assert {(r.edge_id_a, r.edge_id_b): round(r.distance_m) for r in n.collect()} == {(2, 4): 54}
     assert joins(n) and not any("hypot" in x for x in joins(n))
+
+
+def test_parallel_stretches_join_on_boxes_only(spark):
+    n = build.near_overlaps(lines(spark))
+    assert [(r.edge_id_a, r.edge_id_b, round(r.length)) for r in n.collect()] == [(1, 5, 200)]
+    assert joins(n) and not any("acos" in x or "hypot" in x for x in joins(n))
