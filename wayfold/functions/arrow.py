@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
@@ -70,3 +72,67 @@ def simplified(points: pd.Series, tolerance: pd.Series) -> pd.Series:
 @pandas_udf(LINE)
 def offset(points: pd.Series, distance: pd.Series) -> pd.Series:
     return pd.Series([None if p is None else _back(offset_line(_xy(p), d)) if len(p) > 1 else list(p) for p, d in zip(points, distance)])
+
+
+def inside_share(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, part_at: np.ndarray, ring_at: np.ndarray, vertex_at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Share of each leg a-b inside its own multipolygon: cut where it crosses a ring, each piece counts by its middle.
+
+    part_at, ring_at, vertex_at: where each leg's parts, each part's rings and each ring's vertices begin, and the end.
+    """
+    n = len(ax)
+    rings = np.arange(len(vertex_at) - 1)
+    part = np.repeat(np.arange(len(ring_at) - 1), np.diff(ring_at))
+    leg_of_ring = np.repeat(np.arange(n), np.diff(part_at))[part]
+    outer = rings == ring_at[:-1][part]
+    ring = np.repeat(rings, np.diff(vertex_at))
+    after = np.arange(1, len(x) + 1)
+    filled = np.diff(vertex_at) > 0
+    after[vertex_at[1:][filled] - 1] = vertex_at[:-1][filled]
+    cx, cy, dx, dy, leg = x, y, x[after], y[after], leg_of_ring[ring]
+    gx, gy = ax[leg], ay[leg]
+    ux, uy = bx[leg] - gx, by[leg] - gy
+    with np.errstate(divide="ignore", invalid="ignore"):
+        den = ux * (dy - cy) - uy * (dx - cx)
+        t = ((cx - gx) * (dy - cy) - (cy - gy) * (dx - cx)) / den
+        u = ((cx - gx) * uy - (cy - gy) * ux) / den
+        hit = (den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+    legs, cuts = np.concatenate([np.arange(n), np.arange(n), leg[hit]]), np.concatenate([np.zeros(n), np.ones(n), t[hit]])
+    order = np.lexsort((cuts, legs))
+    legs, cuts = legs[order], cuts[order]
+    real = (legs[1:] == legs[:-1]) & (cuts[1:] > cuts[:-1])
+    of, p, q = legs[:-1][real], cuts[:-1][real], cuts[1:][real]
+    mx, my = ax[of] + (p + q) / 2 * (bx[of] - ax[of]), ay[of] + (p + q) / 2 * (by[of] - ay[of])
+    # each piece with all sides of its leg's rings, which stand in a row
+    sides = np.bincount(leg, minlength=n)
+    begin = np.cumsum(sides) - sides
+    many = sides[of]
+    piece = np.repeat(np.arange(len(of)), many)
+    s = np.arange(len(piece)) - np.repeat(np.cumsum(many) - many, many) + begin[of][piece]
+    inside = np.zeros(len(of), bool)
+    if len(s):
+        px, py = mx[piece], my[piece]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            crossed = ((cy[s] > py) != (dy[s] > py)) & (px < (dx[s] - cx[s]) * (py - cy[s]) / (dy[s] - cy[s]) + cx[s])
+        new = np.flatnonzero(np.concatenate([[True], (piece[1:] != piece[:-1]) | (ring[s][1:] != ring[s][:-1])]))
+        odd, at_ring, at_piece = np.add.reduceat(crossed.astype(int), new) % 2, ring[s][new], piece[new]
+        held = np.where(outer[at_ring], odd, -2 * odd)  # a part holds a point in its outer ring and in none of its holes
+        first = np.flatnonzero(np.concatenate([[True], (at_piece[1:] != at_piece[:-1]) | (part[at_ring][1:] != part[at_ring][:-1])]))
+        inside[at_piece[first][np.add.reduceat(held, first) == 1]] = True
+    return np.bincount(of, weights=(q - p) * inside, minlength=n)
+
+
+def legs_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """line_, region_, overlap_m of rows line_, region_, ax, ay, bx, by, parts: the length of leg a-b inside the multipolygon, where it is more than 0."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        ax, ay, bx, by = (b.column(c).to_numpy(zero_copy_only=False) for c in ("ax", "ay", "bx", "by"))
+        starts, level = [], b.column("parts")
+        for _ in range(3):
+            at = level.offsets.to_numpy()
+            starts.append(at - at[0])
+            level = level.values.slice(at[0], at[-1] - at[0])
+        x, y = (v.to_numpy(zero_copy_only=False) for v in level.flatten())
+        length = inside_share(ax, ay, bx, by, *starts, x, y) * np.hypot(bx - ax, by - ay)
+        some = pa.array(length > 0)
+        yield pa.RecordBatch.from_arrays([b.column("line_").filter(some), b.column("region_").filter(some), pa.array(length).filter(some)], ["line_", "region_", "overlap_m"])

@@ -17,12 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.functions import geo
-from wayfold.plans.runtime import materialize
+from wayfold.functions import arrow, geo
+from wayfold.plans.runtime import materialize, once
 
 MIN_LEVEL, LEVEL_STEP, MAX_LEVEL = 6, 2, 30
 #: metres added so that grid numbers stay positive
 SHIFT = 1 << 28
+#: a region that meets lines is covered by squares as wide as this part of its box, as lines are many and their legs short
+REGION_SPLIT = 4
 
 
 def grid(v: Column) -> Column:
@@ -141,17 +143,29 @@ def in_regions(points: DataFrame, regions: DataFrame, parts: str = "parts") -> D
 def lines_in_regions(lines: DataFrame, regions: DataFrame, line: str, region: str, parts: str = "parts") -> DataFrame:
     """line, region, overlap_m, length_m: how much of each polyline (planar points) lies in each region (EPSG:5179 metres) it enters.
 
-    A region is covered by a few aligned squares of its level, a line by the small squares it passes;
+    A region is covered by a few aligned squares of its level, a leg by the small squares it passes;
     a square of a lower level is a prefix of its code at a higher one, so this too is an equi-join.
+    A leg meets a region in one square only, that where it enters the region's box; legs that miss
+    the box are left out before the exact cut.
     """
     outer = F.flatten(F.transform(F.col(parts), lambda part: F.get(part, F.lit(0))))
     boxed = materialize(regions.select(region, parts, geo.bbox(outer).alias("box_"))).where("box_.x0 is not null and box_.y0 is not null")
+    lines = materialize(lines.select(line, "points", geo.line_length(F.col("points")).alias("length_m")))
     extent = F.greatest(F.col("box_.x1") - F.col("box_.x0"), F.col("box_.y1") - F.col("box_.y0"))
-    levels = used_levels(boxed.select(level_of(extent).alias("level_"))) or [MIN_LEVEL]
-    covered = cover(boxed, F.col("box_.x0"), F.col("box_.y0"), F.col("box_.x1"), F.col("box_.y1")).select(region, "level_", "prefix_")
-    passed = leg_cells(lines, line).select(line, "cell").distinct()
+    levels = used_levels(boxed.select(level_of(extent / REGION_SPLIT).alias("level_"))) or [MIN_LEVEL]
+    box = [F.col(f"box_.{c}") for c in ("x0", "y0", "x1", "y1")]
+    covered = cover(boxed, *box, REGION_SPLIT).select(F.col(region).alias("region_"), *[c.alias(f"{n}_") for c, n in zip(box, ("x0", "y0", "x1", "y1"))], F.col(parts).alias("parts"), "level_", "prefix_")
     at = F.explode(F.array(*[F.struct(F.lit(v).alias("level_"), F.shiftright("cell", 2 * (v - MIN_LEVEL)).alias("prefix_")) for v in levels])).alias("at_")
-    met = passed.select(line, at).select(line, "at_.*").distinct().join(covered, ["level_", "prefix_"]).select(line, region).distinct()
-    both = met.join(lines.select(line, "points"), line).join(boxed.select(region, parts), region)
-    inside = both.select(line, region, geo.length_inside(F.col("points"), F.col(parts)).alias("overlap_m"), geo.line_length(F.col("points")).alias("length_m"))
-    return inside.where("overlap_m > 0")
+    passed = leg_cells(lines, line).select(F.col(line).alias("line_"), *[F.col(f"{e}.{c}").alias(f"{e}{c}") for e in "ab" for c in "xy"], "cell", at).select("*", "at_.*").drop("at_")
+    meet = lambda c: (F.least(f"a{c}", f"b{c}") <= F.col(f"{c}1_")) & (F.greatest(f"a{c}", f"b{c}") >= F.col(f"{c}0_"))
+    met = passed.join(covered, ["level_", "prefix_"]).where(meet("x") & meet("y"))
+    share = lambda c, e: (F.col(f"{c}{e}_") - F.col(f"a{c}")) / F.nullif(F.col(f"b{c}") - F.col(f"a{c}"), F.lit(0.0))
+    met = once(met, tx0=share("x", 0), tx1=share("x", 1), ty0=share("y", 0), ty1=share("y", 1))
+    # least and greatest pass over null, the share of a leg along an axis
+    first = F.greatest(F.lit(0.0), F.least("tx0", "tx1"), F.least("ty0", "ty1"))
+    met = once(met, t=first).where(F.col("t") <= F.least(F.lit(1.0), F.greatest("tx0", "tx1"), F.greatest("ty0", "ty1")) + 1e-9)
+    entry = lambda c: F.greatest(F.col(f"{c}0_"), F.least(F.col(f"{c}1_"), F.col(f"a{c}") + F.col("t") * (F.col(f"b{c}") - F.col(f"a{c}"))))
+    met = once(met, own=geo.morton(cell_of(entry("x")), cell_of(entry("y")))).where("own = cell")
+    kinds = f"line_ {lines.schema[line].dataType.simpleString()}, region_ {regions.schema[region].dataType.simpleString()}, overlap_m double"
+    inside = met.select("line_", "region_", "ax", "ay", "bx", "by", "parts").mapInArrow(arrow.legs_inside, kinds).groupBy("line_", "region_").agg(F.sum("overlap_m").alias("overlap_m"))
+    return inside.join(lines.select(F.col(line).alias("line_"), "length_m"), "line_").select(F.col("line_").alias(line), F.col("region_").alias(region), "overlap_m", "length_m")
