@@ -1,6 +1,6 @@
 """Joins of legs: what their plans may hold, and cases at the edges of squares and boxes."""
 
-from wayfold.operators import build, spatial
+from wayfold.operators import build, spatial, transfer
 
 LINES = [(1, [(0.0, 0.0), (200.0, 10.0)]), (2, [(64.0, -50.0), (64.0, 80.0)]), (3, [(0.0, 0.0), (0.0, 64.0), (0.0, 0.0)]), (4, [(-10.0, 64.0), (10.0, 64.0)]), (5, [(200.0, 11.0), (0.0, 1.0)])]
 
@@ -46,3 +46,10 @@ def test_lines_meet_regions_by_legs_that_enter_the_box(spark):
     slope = (200.0**2 + 10.0**2) ** 0.5 / 200.0
     assert got == {(1, 1): round(104 * slope, 3), (2, 1): 9.0, (5, 1): round(104 * slope, 3)}
     assert not any("distinct" in x.lower() or "keys=[edge_id" in x.lower() for x in plan(o).splitlines())
+
+
+def test_near_lines_join_on_boxes_only(spark):
+    spots = spark.createDataFrame([(1, [(64.0, 4.0)]), (2, [(0.5, 30.0)]), (3, [(500.0, 500.0)])], "vertex_id bigint, points array<struct<x:double,y:double>>")
+    n = transfer.near_lines(spots, lines(spark), "vertex_id", "edge_id", 1.0)
+    assert {(r.vertex_id, r.edge_id): round(r.distance_m, 2) for r in n.collect()} == {(1, 1): 0.8, (1, 2): 0.0, (1, 5): 0.2, (2, 3): 0.5}
+    assert joins(n) and not any("hypot" in x for x in joins(n))

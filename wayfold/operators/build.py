@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,23 +19,11 @@ def corner_cuts(segments: DataFrame, degrees: float) -> DataFrame:
     return line.select("edge_id", F.explode(three).alias("t")).where(F.col("t.turn") >= degrees).select("edge_id", "t.m")
 
 
-class Spot(NamedTuple):
-    """A point in two columns of their own, for the functions of geo."""
-
-    x: Column
-    y: Column
-
-
-def leg_ends() -> list[Spot]:
-    """The ends a1, b1 and a2, b2 of two legs, as met_legs gives them."""
-    return [Spot(F.col(f"x{k}"), F.col(f"y{k}")) for k in ("a1", "b1", "a2", "b2")]
-
-
 def met_legs(lines: DataFrame, key: str, margin: float = 0.001) -> DataFrame:
-    """key_a < key_b, the ends (leg_ends) and the square (cell) of legs of two polylines that share a square and whose boxes come within twice the margin."""
+    """key_a < key_b, the ends (spatial.leg_ends) and the square (cell) of legs of two polylines that share a square and whose boxes come within twice the margin."""
     celled = spatial.leg_cells(materialize(lines.select(key, "points")), key, margin).select(key, "a.x", "a.y", F.col("b.x").alias("p"), F.col("b.y").alias("q"), "cell")
     mine = lambda side, k: celled.toDF(f"{key}_{side}", f"xa{k}", f"ya{k}", f"xb{k}", f"yb{k}", "cell")
-    near = spatial.legs_near(*leg_ends(), 2 * margin)
+    near = spatial.legs_near(*spatial.leg_ends(), 2 * margin)
     return mine("a", 1).join(mine("b", 2), "cell").where(F.col(f"{key}_a") < F.col(f"{key}_b")).where(near)
 
 
@@ -48,10 +34,10 @@ def crossings(lines: DataFrame, key: str = "edge_id") -> DataFrame:
     and nothing is sent about to find them. Legs that nearly are on one line may give a point beyond
     an end; it counts where their boxes meet.
     """
-    met = once(met_legs(lines, key), p=geo.leg_crossing(*leg_ends())).where("p is not null")
+    met = once(met_legs(lines, key), p=geo.leg_crossing(*spatial.leg_ends())).where("p is not null")
 
     def held(c: str) -> Column:
-        v, a, b, d, e = F.col(f"p.{c}"), *[getattr(s, c) for s in leg_ends()]
+        v, a, b, d, e = F.col(f"p.{c}"), *[getattr(s, c) for s in spatial.leg_ends()]
         low, high = F.greatest(F.least(a, b), F.least(d, e)), F.least(F.greatest(a, b), F.greatest(d, e))
         return F.when(v < low - 1e-6, low).when(v > high + 1e-6, high).otherwise(v)
 
@@ -62,7 +48,7 @@ def crossings(lines: DataFrame, key: str = "edge_id") -> DataFrame:
 
 def near_crosses(lines: DataFrame, key: str = "edge_id", metres: float = 2.5, degrees: float = 25.0) -> DataFrame:
     """key_a < key_b, distance_m, turn of legs that come within metres of each other without crossing, at an angle of at least so many degrees; the nearest of each two lines."""
-    a, b, c, d = leg_ends()
+    a, b, c, d = spatial.leg_ends()
     far = lambda p, q, r: geo.point_leg(p.x, p.y, q.x, q.y, r.x, r.y).d
     met = once(met_legs(lines, key, metres), d1=far(a, c, d), d2=far(b, c, d), d3=far(c, a, b), d4=far(d, a, b)).withColumn("distance_m", F.least("d1", "d2", "d3", "d4")).where(F.col("distance_m") <= metres)
     met = once(met, p=geo.leg_crossing(a, b, c, d)).where("p is null")
@@ -76,7 +62,7 @@ def near_overlaps(lines: DataFrame, key: str = "edge_id", metres: float = 1.25,
     Legs count if their directions differ by at most so many degrees and the ends of the common
     stretch, on the first leg, are within metres of the second. The longest stretch of each two lines.
     """
-    a, b, c, d = leg_ends()
+    a, b, c, d = spatial.leg_ends()
     along = lambda p: ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / F.nullif(F.hypot(b.x - a.x, b.y - a.y), F.lit(0.0))
     met = once(met_legs(lines, key, metres), angle=geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y)).where(F.col("angle") <= degrees)
     met = once(met, n=F.hypot(b.x - a.x, b.y - a.y), u=along(c), v=along(d))

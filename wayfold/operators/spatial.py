@@ -14,6 +14,8 @@ that occur, which the data of the regions decide (metres of one city: one to thr
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,6 +96,18 @@ def leg_cells(lines: DataFrame, key: str, margin: float = 0.001) -> DataFrame:
     return leg.select(key, "leg", "a", "b", geo.morton(F.col("cx_"), F.col("cy_")).alias("cell"))
 
 
+class Spot(NamedTuple):
+    """A point in two columns of their own, for the functions of geo."""
+
+    x: Column
+    y: Column
+
+
+def leg_ends() -> list[Spot]:
+    """The ends a1, b1 and a2, b2 of two legs, in columns of their own."""
+    return [Spot(F.col(f"x{k}"), F.col(f"y{k}")) for k in ("a1", "b1", "a2", "b2")]
+
+
 def legs_near(a: Column, b: Column, c: Column, d: Column, gap: float) -> Column:
     """Whether the bounding boxes of legs a-b and c-d come within gap of each other: the cheap test before an exact one."""
     meet = lambda a, b, c, d: (F.least(a, b) - gap <= F.greatest(c, d)) & (F.least(c, d) - gap <= F.greatest(a, b))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wayfold.functions import geo
 from wayfold.functions.text import is_unknown
 from wayfold.operators import spatial
+from wayfold.plans.runtime import materialize, once
 
 
 def near_lines(sources: DataFrame, lines: DataFrame, source: str, line: str, metres: float, radius: str | None = None) -> DataFrame:
@@ -20,11 +21,14 @@ def near_lines(sources: DataFrame, lines: DataFrame, source: str, line: str, met
     one side; the overlap is the length on which both lie on one line.
     """
     limit = F.least(F.coalesce(F.col(radius), F.lit(metres)), F.lit(metres)) if radius else F.lit(metres)
-    a = spatial.leg_cells(sources, source, metres).select(F.col(source), F.col("leg").alias("leg_a"), F.col("a").alias("a1"), F.col("b").alias("b1"), "cell")
-    b = spatial.leg_cells(lines, line).select(F.col(line), F.col("leg").alias("leg_b"), F.col("a").alias("a2"), F.col("b").alias("b2"), "cell")
-    ends = [F.col(c) for c in ("a1", "b1", "a2", "b2")]
-    met = a.join(b, "cell").drop("cell").withColumn("d_", geo.leg_distance(*ends)).where(F.col("d_") <= metres)
-    each = met.groupBy(source, line, "leg_a", "leg_b").agg(F.min("d_").alias("d_"), F.max(geo.leg_overlap(*ends)).alias("o_"))  # two legs may share several squares
+    corners = lambda k: [F.col(e)[c].alias(f"{c}{e}{k}") for e in "ab" for c in "xy"]
+    a = spatial.leg_cells(materialize(sources.select(source, "points")), source, metres).select(source, F.col("leg").alias("leg_a"), *corners(1), "cell")
+    b = spatial.leg_cells(materialize(lines.select(line, "points")), line).select(line, F.col("leg").alias("leg_b"), *corners(2), "cell")
+    ends = spatial.leg_ends()
+    # boxes first; distances are worked out for legs whose boxes are near, not in the join
+    met = once(a.join(b, "cell").where(spatial.legs_near(*ends, metres)), d_=geo.leg_distance(*ends)).where(F.col("d_") <= metres)
+    met = once(met, o_=geo.leg_overlap(*ends))
+    each = met.groupBy(source, line, "leg_a", "leg_b").agg(F.min("d_").alias("d_"), F.max("o_").alias("o_"))  # two legs may share several squares
     pairs = each.groupBy(source, line).agg(F.min("d_").alias("distance_m"), F.sum("o_").alias("overlap_m"))
     if radius:
         pairs = pairs.join(sources.select(source, limit.alias("limit_")), source).where("distance_m <= limit_").drop("limit_")
