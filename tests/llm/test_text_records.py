@@ -173,6 +173,15 @@ def test_candidates_equal_brute_force(spark):
                 assert len(rivals) > 1 and (x[6] is None or y[6] is None or not near(x, y))
 
 
+def test_large_classes_keep_far_and_missing_pairs(spark):
+    """Lefts of one name and kind that are far from the right one, or without a distance, are candidates like near ones."""
+    schema = "record_id long, names array<string>, branch string, buildings array<string>, road string, district string, metres double, category string"
+    left = spark.createDataFrame([(i, ["공중화장실"], None, h, None, "구", m, "T") for i, (h, m) in enumerate([([], 5.0), ([], 500.0), ([], None), ([], None), (["길:1"], 900.0), (["길:1"], None)])], schema)
+    right = spark.createDataFrame([(10, ["공중화장실"], None, [], None, "구", 5.0, "T"), (11, ["공중화장실"], None, ["길:1"], None, "구", None, "T")], schema)
+    got = {tuple(r) for r in entities.candidate_pairs(left, right).collect()}
+    assert got == {(i, r) for i in range(6) for r in (10, 11)}
+
+
 def test_disguise_is_undone():
     assert abuse.normalize("너 같은 쓰 레 기, 멍*청이야!! 씨발발발발") == ["너", "같은", "쓰레기", "멍청이야", "씨발"]
     assert abuse.normalize("You dumb@55, b@5t@rd!") == ["you", "dumbass", "bastard"]

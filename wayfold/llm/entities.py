@@ -15,16 +15,12 @@ names share a key of the weighted prefix: of a name's pieces, rarest first, thos
 least ALIKE of its weight is left. So "public toilet" meets other plain "public toilet"s only, and a
 name that merely ends in it is blocked on what sets it apart. Distinct names are joined, not records.
 
-* same building and alike names, and same building whatever the names;
+* same building, whatever the names;
 * alike names, if at least one of the two has no building (other buildings contradict a match).
 
-Large classes. Lefts of one block with equal names, branch, district and category differ for a
-right record in their distance only. If two or more of them also have the same distance level,
-their probabilities for that record are equal and add up to less than one, so none reaches one
-half; and one that is far is less likely than one that is near or of unknown distance. Hence in a class of several lefts only those within NEAR_M of the right one, or the only one
-without distance, are paired; a class of one is paired with all. A key with a third of all rows
-thus gives near pairs only, and the join's keys are split by distance. (The rivals left out could
-only lower other pairs' probabilities.) In a building, names unlike are one class.
+Every pair of a block is compared, far ones and those without a distance too: what is left out would
+be missing from EM's patterns and among the rivals of other pairs. A key that many rows of both sides
+share costs the product of their numbers; AQE splits its join.
 
 EM sees only the table of patterns, whose size is the product of the levels. Messages are sums per
 record, pre-aggregated map-side.
@@ -54,7 +50,7 @@ from pyspark.sql import functions as F
 from wayfold.llm.address import em_weights, posterior
 from wayfold.plans.runtime import materialize, release
 
-ALIKE, NEAR_M, MORE, STRENGTH = 0.5, 12.0, 0.5, 100.0
+ALIKE, MORE, STRENGTH = 0.5, 0.5, 100.0
 #: fixed values: marks and notes that are not part of a name
 NOTES = re.compile(r"\[[^\]]*\]|\([^)]*\)|㈜|주식회사|^구\)|(?:정문|후문|주차장 ?입구|입구)$")
 BRANCH = re.compile(r"([가-힣]{1,4}?(?:역|본)?점)$")
@@ -159,49 +155,31 @@ def alike_names(left: DataFrame, right: DataFrame, weighed: DataFrame, alike: fl
     return shared.where(F.col("shared") >= alike * F.greatest("total_l", "total_r") - 1e-9).select("name_l", "name_r")
 
 
-def classed_pairs(left: DataFrame, right: DataFrame, near: float = NEAR_M) -> DataFrame:
-    """(left_id, right_id) of rows with equal key, of large classes the near ones only.
-
-    left: key, record_id, class, metres; right: key, record_id, metres.
-    """
-    left, right = left.distinct(), right.distinct()
-    sizes = left.groupBy("key", "class").agg(F.count("*").alias("n"), F.count_if(F.col("metres").isNull()).alias("n_missing"))
-    cell = lambda m: F.floor(m / near).cast("bigint")
-    whole = F.array(F.lit(None).cast("bigint"))
-    alone = (F.col("n") == 1) | (F.col("metres").isNull() & (F.col("n_missing") == 1))
-    a = left.join(sizes, ["key", "class"]).withColumn("cells", F.when(alone, whole).when(F.col("metres").isNotNull(), F.array(cell(F.col("metres")))))
-    a = a.select("key", F.col("record_id").alias("left_id"), F.col("metres").alias("m_l"), F.explode("cells").alias("cell"))
-    cells = F.when(F.col("metres").isNotNull(), F.concat(whole, F.sequence(cell(F.col("metres")) - 1, cell(F.col("metres")) + 1))).otherwise(whole)
-    b = right.select("key", F.col("record_id").alias("right_id"), F.col("metres").alias("m_r"), F.explode(cells).alias("cell"))
-    slot = lambda df: df.withColumn("slot", F.xxhash64("key", F.coalesce(F.col("cell"), F.lit(-(1 << 60)))))
-    a, b = slot(a), slot(b).withColumnsRenamed({"key": "key_r", "cell": "cell_r"})
-    hit = a.join(b, "slot").where((F.col("key") == F.col("key_r")) & F.col("cell").eqNullSafe(F.col("cell_r")))
-    return hit.where(F.col("cell").isNull() | (F.abs(F.col("m_l") - F.col("m_r")) <= near)).select("left_id", "right_id").distinct()
+def keyed_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(left_id, right_id) of all rows with equal key. Both sides: key, record_id."""
+    mine = lambda df, side: df.select("key", F.col("record_id").alias(side)).distinct()
+    return mine(left, "left_id").join(mine(right, "right_id"), "key").select("left_id", "right_id").distinct()
 
 
 def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(left_id, right_id) from all blocks. Both sides: record_id, names, branch, buildings, district, metres, category."""
-    kind = F.xxhash64(F.coalesce("branch", F.lit("")), F.coalesce("district", F.lit("")), F.coalesce("category", F.lit("")))
-    called = F.xxhash64(F.array_join(F.array_sort("names"), "|"), kind)
+    """(left_id, right_id) from all blocks. Both sides: record_id, names, buildings."""
 
     def forms(df: DataFrame) -> DataFrame:
-        rows = df.select("record_id", "buildings", "metres", kind.alias("kind"), called.alias("called"), F.explode("names").alias("name"))
+        rows = df.select("record_id", "buildings", F.explode("names").alias("name"))
         return materialize(rows.distinct())
 
     fl, fr = forms(left), forms(right)
     weighed = materialize(prefix_keys(fl.select("name").unionByName(fr.select("name"))))
-    keys = weighed.where("is_key").select("name", "piece")
     out = []
     unplaced, any_ = F.size("buildings") == 0, F.lit(True)
     for which_l, which_r in ((any_, unplaced), (unplaced, ~unplaced)):
         a, b = fl.where(which_l), fr.where(which_r)
         met = alike_names(a, b, weighed)
-        rows = b.join(met, F.col("name") == F.col("name_r")).select(F.col("name_l").alias("key"), "record_id", "metres")
-        out.append(materialize(classed_pairs(a.select(F.col("name").alias("key"), "record_id", F.col("called").alias("class"), "metres"), rows)))
+        rows = b.join(met, F.col("name") == F.col("name_r")).select(F.col("name_l").alias("key"), "record_id")
+        out.append(materialize(keyed_pairs(a.select(F.col("name").alias("key"), "record_id"), rows)))
     housed = lambda df: df.withColumn("b", F.explode("buildings"))
-    in_house = lambda f: housed(f).join(keys, "name").withColumn("key", F.concat_ws("|", "b", "piece"))
-    out.append(materialize(classed_pairs(in_house(fl).select("key", "record_id", F.col("called").alias("class"), "metres"), in_house(fr).select("key", "record_id", "metres"))))
-    out.append(materialize(classed_pairs(housed(left).select(F.col("b").alias("key"), "record_id", kind.alias("class"), "metres"), housed(right).select(F.col("b").alias("key"), "record_id", "metres"))))
+    # the same building whatever the names holds the pairs of one building and alike names
+    out.append(materialize(keyed_pairs(housed(left).withColumnRenamed("b", "key"), housed(right).withColumnRenamed("b", "key"))))
     return reduce(DataFrame.unionByName, out).distinct()
 
 
