@@ -1,6 +1,8 @@
 """Attribute transfer and place matching on small fixtures and against brute force."""
 
+import math
 import random
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +104,45 @@ def test_scores_spots_and_answers(spark):
         places.require_loaded(checks, {"repeated:a.k": 1, "null:a.k": 1})
 
 
+def test_scored_candidates_equal_brute_force_and_compare_few_names(spark):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("가나다라마바사아자차") for _ in range(rnd.randint(0, 6)))
+    row = lambda i: (i, word() if rnd.random() < 0.9 else None, f"중앙로 {rnd.randint(1, 9)}" if rnd.random() < 0.7 else None, 126.0 + rnd.random() * 0.01, 34.0 + rnd.random() * 0.01)
+    left, right = [row(i) for i in range(60)], [row(1000 + i) for i in range(300)]
+    kind = " long, name string, address string, lon double, lat double"
+    found = places.scored_candidates(spark.createDataFrame(left, "facility_id" + kind), spark.createDataFrame(right, "poi_id" + kind))
+    assert "least_" in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.facility_id: (r.poi_id, r.score) for r in found.collect()}
+
+    def haversine(a, b):
+        p, q = math.radians(a[4]), math.radians(b[4])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[3] - a[3]) / 2) ** 2
+        return 2 * 6371008.8 * math.asin(math.sqrt(h))
+
+    want = {}
+    for a in left:
+        scored = []
+        for b in right:
+            d = haversine(a, b)
+            if d <= 300:
+                ratio = 0.0 if a[1] is None or b[1] is None else SequenceMatcher(None, a[1], b[1]).ratio()
+                x, y = ((v[2] or "").replace(" ", "") for v in (a, b))
+                points = 25 if x and x == y else 18 if x and y and (x in y or y in x) else 0
+                scored.append((-(next(v for bound, v in places.DISTANCE_POINTS if d <= bound) + math.floor(ratio * 35) + points), d, -ratio, b[0]))
+        if scored:
+            want[a[0]] = (min(scored)[3], -min(scored)[0])
+    assert got == want
+
+
+def test_letters_bound_the_likeness(spark):
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("가나다라ab𐐀") for _ in range(rnd.randint(0, 9)))
+    df = spark.createDataFrame([(word(), word()) for _ in range(300)], "a string, b string")
+    each = lambda c: (F.length(c), text.letter_mask(F.col(c)))
+    for r in df.select("a", "b", text.blocks_ratio_bound(*each("a"), *each("b")).alias("most")).collect():
+        assert SequenceMatcher(None, r.a, r.b).ratio() <= r.most <= 1.0
+
+
 def test_shapes_as_text(spark):
     df = spark.createDataFrame([("POLYGON((0 0, 4 0, 4 4, 0 4))",), ("MULTILINESTRING((0 0, 1 1),(5 5),(2 2, 3 3, 4 4))",)], "g string")
     r = df.select(text.wkt_multipolygon(text.parse_multipolygon(F.col("g"))).alias("w"), text.parse_multilinestring(F.col("g")).alias("m")).collect()

@@ -170,6 +170,19 @@ def normalize_name(c: Column) -> Column:
     return F.regexp_replace(s, r"[^\p{L}\p{N}]", "")
 
 
+def letter_mask(c: Column) -> Column:
+    """64 bits, of which each letter of a text sets one."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(x), F.lit(64)).cast("int"))
+    letters = F.filter(F.split(c, ""), lambda x: x != "")  # empty text splits into itself
+    return F.aggregate(letters, F.lit(0).cast("bigint"), lambda mask, x: mask.bitwiseOR(bit(x)))
+
+
+def blocks_ratio_bound(len_a: Column, mask_a: Column, len_b: Column, mask_b: Column) -> Column:
+    """What arrow.longest_blocks_ratio of two texts can be at most, by their lengths and letter_mask: each bit of one text only is a letter without a partner."""
+    shared = F.least(len_a - F.bit_count(mask_a.bitwiseAND(F.bitwise_not(mask_b))), len_b - F.bit_count(mask_b.bitwiseAND(F.bitwise_not(mask_a))))
+    return F.when(len_a + len_b == 0, F.lit(1.0)).otherwise(2.0 * shared / (len_a + len_b))
+
+
 def normalize_plain(c: Column) -> Column:
     """Digits, ASCII letters and Hangul syllables only, after dropping bracketed notes."""
     return F.regexp_replace(F.regexp_replace(F.lower(c), r"\([^)]*\)", ""), r"[^0-9a-z가-힣]", "")

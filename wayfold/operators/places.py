@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import arrow, geo, text
 from wayfold.operators import fuse, graph, repair, spatial
-from wayfold.plans.runtime import materialize
+from wayfold.plans.runtime import materialize, once
 
 
 def match_places(sources: DataFrame, places: DataFrame, featured: DataFrame, metres: float = 20.0) -> DataFrame:
@@ -66,6 +66,8 @@ def match_report(matched: DataFrame) -> DataFrame:
 #: fixed values: points by distance in metres, for a shared address token, and for one address within the other
 DISTANCE_POINTS = ((30.0, 45), (50.0, 38), (100.0, 28), (200.0, 15), (300.0, 5))
 TOKEN_POINTS, CONTAINED_POINTS, NAME_POINTS = 25, 18, 35
+#: pairs within so many metres give each facility's first score to beat; discs are covered by squares as wide as this part of them
+FIRST_M, DISC_SPLIT = 50.0, 4
 
 
 def scored_candidates(facilities: DataFrame, pois: DataFrame, category_points: Column | None = None, generic: Column | None = None, metres: float = 300.0) -> DataFrame:
@@ -73,22 +75,39 @@ def scored_candidates(facilities: DataFrame, pois: DataFrame, category_points: C
 
     Both sides: id, name, address, lon, lat; category_points may use their columns, ending in _f and
     _p. The score adds points for distance, likeness of normalised names (none if generic),
-    addresses and category. Names are compared once for each distinct pair of them.
+    addresses and category. Near pairs first give each facility a score that it has at least; names
+    are compared only of pairs that could still reach it by the letters that they share.
     """
-    f = facilities.select([F.col(c).alias(f"{c}_f") if c not in ("facility_id", "lon", "lat") else F.col(c) for c in facilities.columns])
-    p = pois.select([F.col(c).alias(f"{c}_p") if c not in ("poi_id", "lon", "lat") else F.col(c) for c in pois.columns])
-    pairs = spatial.within_distance(f, p, metres)
-    pairs = materialize(pairs.withColumn("nf", text.normalize_name(F.col("name_f"))).withColumn("np", text.normalize_name(F.col("name_p"))))
-    alike = pairs.select("nf", "np").where("nf is not null and np is not null").distinct().withColumn("name_similarity", arrow.longest_blocks_ratio("nf", "np"))
-    j = pairs.join(alike, ["nf", "np"], "left").withColumn("name_similarity", F.when(generic if generic is not None else F.lit(False), 0.0).otherwise(F.coalesce("name_similarity", F.lit(0.0))))
+    def side(df: DataFrame, key: str, mark: str) -> DataFrame:
+        own = df.select([F.col(c).alias(f"{c}_{mark}") if c not in (key, "lon", "lat") else F.col(c) for c in df.columns])
+        name, address = F.col(f"name_{mark}"), F.col(f"address_{mark}")
+        own = own.withColumns({f"n{mark}": text.normalize_name(name), f"plain_{mark}_": text.normalize_plain(address), f"tokens_{mark}_": text.address_tokens(address)})
+        own = once(own, **{f"called_{mark}_": F.col(f"n{mark}")})
+        return materialize(own.withColumns({f"length_{mark}_": F.length(f"called_{mark}_"), f"mask_{mark}_": text.letter_mask(F.col(f"called_{mark}_"))}).drop(f"called_{mark}_"))
+
+    f, p = side(facilities, "facility_id", "f"), side(pois, "poi_id", "p")
+    named = ~F.coalesce(generic if generic is not None else F.lit(False), F.lit(False))
     by_distance = F.lit(0)
     for bound, v in reversed(DISTANCE_POINTS):
         by_distance = F.when(F.col("distance_m") <= bound, v).otherwise(by_distance)
-    a, b = text.normalize_plain(F.col("address_f")), text.normalize_plain(F.col("address_p"))
-    token = F.arrays_overlap(text.address_tokens(F.col("address_f")), text.address_tokens(F.col("address_p")))
+    a, b = F.col("plain_f_"), F.col("plain_p_")
+    token = F.arrays_overlap(F.col("tokens_f_"), F.col("tokens_p_"))
     inside = (a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a))
     address = F.when(token, TOKEN_POINTS).when(inside, CONTAINED_POINTS).otherwise(0)
-    j = j.withColumn("address_points", address).withColumn("score", by_distance + F.floor(F.col("name_similarity") * NAME_POINTS).cast("int") + F.col("address_points") + (category_points if category_points is not None else F.lit(0)))
+    of_kind = category_points if category_points is not None else F.lit(0)
+    name_points = lambda ratio: F.floor(ratio * NAME_POINTS).cast("int")
+
+    first = spatial.within_distance(p, f, min(FIRST_M, metres), DISC_SPLIT)
+    sure = by_distance + address + of_kind + F.when(named & (F.col("nf") == F.col("np")), NAME_POINTS).otherwise(0)
+    f = materialize(f.join(first.groupBy("facility_id").agg(F.max(sure).alias("least_")), "facility_id", "left"))
+
+    most = F.when(named, F.coalesce(name_points(text.blocks_ratio_bound(F.col("length_f_"), F.col("mask_f_"), F.col("length_p_"), F.col("mask_p_"))), F.lit(0))).otherwise(0)
+    could = lambda points: F.col("least_").isNull() | (by_distance + points + of_kind + most >= F.col("least_"))
+    # a null of the caller's points makes a null score, which comes first
+    some = spatial.within_distance(p, f, metres, DISC_SPLIT).where(of_kind.isNull() | (could(F.lit(max(TOKEN_POINTS, CONTAINED_POINTS))) & could(address)))
+    j = some.select("facility_id", "poi_id", "distance_m", address.alias("address_points"), (by_distance + of_kind).alias("sum_"), named.alias("named_"), "nf", "np")
+    j = j.withColumn("ratio_", arrow.longest_blocks_ratio("nf", "np")).withColumn("name_similarity", F.when(F.col("named_"), F.coalesce("ratio_", F.lit(0.0))).otherwise(0.0))
+    j = j.withColumn("score", F.col("sum_") + name_points(F.col("name_similarity")) + F.col("address_points"))
     best = j.groupBy("facility_id").agg(F.min(F.struct((-F.col("score")).alias("less"), "distance_m", (-F.col("name_similarity")).alias("unlike"), "poi_id", "address_points")).alias("m"))
     out = best.select("facility_id", "m.poi_id", (-F.col("m.less")).alias("score"), "m.distance_m", (-F.col("m.unlike")).alias("name_similarity"), "m.address_points")
     status = F.when((F.col("score") >= 75) & (F.col("distance_m") <= 80), "STRONG").when((F.col("score") >= 55) & (F.col("distance_m") <= 150), "MEDIUM").when(F.col("score") >= 38, "WEAK").when((F.col("address_points") > 0) | (F.col("name_similarity") >= 0.55), "REVIEW").otherwise("NEARBY")

@@ -114,24 +114,33 @@ def legs_near(a: Column, b: Column, c: Column, d: Column, gap: float) -> Column:
     return meet(a.x, b.x, c.x, d.x) & meet(a.y, b.y, c.y, d.y)
 
 
-def within_distance(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
+def within_distance(left: DataFrame, right: DataFrame, metres: float, split: int = 1) -> DataFrame:
     """Pairs within a great-circle distance.
 
     Both sides have lon and lat; their other columns must differ in name. Rows with null
     coordinates are in no pair. The disc is covered with a margin for the grid's scale error, and
-    the haversine distance decides.
+    the haversine distance decides. Where points are dense, split covers the disc by squares as wide
+    as this part of it; then planar distance sifts the pairs, and haversine is worked out once each.
     """
     def metric(df: DataFrame, mark: str) -> DataFrame:
         df = df.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-        return df.withColumn("m_", geo.to_metres(F.col("lon"), F.col("lat"))).withColumnsRenamed({"lon": f"lon_{mark}", "lat": f"lat_{mark}"})
+        m = geo.to_metres(F.col("lon"), F.col("lat"))
+        return (once(df, m_=m) if split > 1 else df.withColumn("m_", m)).withColumnsRenamed({"lon": f"lon_{mark}", "lat": f"lat_{mark}"})
 
     a, b = metric(left, "a"), metric(right, "b")
     reach = metres * 1.002 + 1.0
     a = a.withColumn("x_", F.col("m_.x")).withColumn("y_", F.col("m_.y")).drop("m_")
-    b = cover(b, F.col("m_.x") - reach, F.col("m_.y") - reach, F.col("m_.x") + reach, F.col("m_.y") + reach).drop("m_")
-    level = next(v for v in range(MIN_LEVEL, MAX_LEVEL + 1, LEVEL_STEP) if 2 * reach <= float(1 << v))
-    hits = at_levels(a, "x_", "y_", [level]).drop("x_", "y_").join(b, ["level_", "prefix_"])
+    if split > 1:
+        b = b.withColumn("u_", F.col("m_.x")).withColumn("v_", F.col("m_.y"))
+    b = cover(b, F.col("m_.x") - reach, F.col("m_.y") - reach, F.col("m_.x") + reach, F.col("m_.y") + reach, split).drop("m_")
+    level = next(v for v in range(MIN_LEVEL, MAX_LEVEL + 1, LEVEL_STEP) if 2 * reach / split <= float(1 << v))
+    hits = at_levels(a, "x_", "y_", [level])
     far = geo.haversine(F.col("lon_a"), F.col("lat_a"), F.col("lon_b"), F.col("lat_b"))
+    if split > 1:
+        dx, dy = F.col("x_") - F.col("u_"), F.col("y_") - F.col("v_")
+        near = hits.join(b, ["level_", "prefix_"]).where(dx * dx + dy * dy <= (metres * 1.01 + 1.0) ** 2).drop("x_", "y_", "u_", "v_")
+        return once(near, distance_m=far).where(F.col("distance_m") <= metres).drop("level_", "prefix_")
+    hits = hits.drop("x_", "y_").join(b, ["level_", "prefix_"])
     return hits.withColumn("distance_m", far).where(F.col("distance_m") <= metres).drop("level_", "prefix_")
 
 
