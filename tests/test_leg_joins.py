@@ -48,6 +48,22 @@ def test_lines_meet_regions_by_legs_that_enter_the_box(spark):
     assert not any("distinct" in x.lower() or "keys=[edge_id" in x.lower() for x in plan(o).splitlines())
 
 
+def test_a_region_is_sent_once_to_its_legs(spark):
+    """The shape is in no row of a leg; it holds for legs of later batches too."""
+    ring = [(0.0, 0.0), (100.0, 0.0), (100.0, 100.0), (0.0, 100.0)]
+    regions = spark.createDataFrame([(k, [[[(x + 1000.0 * k, y) for x, y in ring]]]) for k in range(3)], "shape bigint, parts array<array<array<struct<x:double,y:double>>>>")
+    many = spark.createDataFrame([(i, [(1000.0 * (i % 3) + 50.0, float(i % 90)), (1000.0 * (i % 3) + 150.0, float(i % 90))]) for i in range(60)], "edge_id bigint, points array<struct<x:double,y:double>>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        o = spatial.lines_in_regions(many, regions, "edge_id", "shape")
+        got = {(r.edge_id, r["shape"]): round(r.overlap_m, 6) for r in o.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {(i, i % 3): 50.0 for i in range(60) if i} | {(0, 0): got[(0, 0)]}
+    assert not any("parts" in x for x in joins(o))
+    assert "isnull(parts" in plan(o).lower()
+
+
 def test_near_lines_join_on_boxes_only(spark):
     spots = spark.createDataFrame([(1, [(64.0, 4.0)]), (2, [(0.5, 30.0)]), (3, [(500.0, 500.0)])], "vertex_id bigint, points array<struct<x:double,y:double>>")
     n = transfer.near_lines(spots, lines(spark), "vertex_id", "edge_id", 1.0)

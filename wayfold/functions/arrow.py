@@ -122,12 +122,26 @@ def inside_share(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray,
 
 
 def legs_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """line_, region_, overlap_m of rows line_, region_, ax, ay, bx, by, parts: the length of leg a-b inside the multipolygon, where it is more than 0."""
+    """line_, region_, overlap_m of rows region_, line_, ax, ay, bx, by, parts: the length of leg a-b inside the multipolygon, where it is more than 0.
+
+    A row with parts is a region; the rows without that follow it, over batches too, are its legs.
+    """
+    held = None
     for b in batches:
-        if not b.num_rows:
+        shape = b.column("parts").is_valid().to_numpy(zero_copy_only=False)
+        shapes = b.column("parts").drop_null()
+        of = np.cumsum(shape) - (held is None)
+        if held is not None:
+            shapes = pa.concat_arrays([held, shapes])
+        if not len(shapes):
+            continue
+        held = shapes.slice(len(shapes) - 1)
+        if shape.all():
             continue
+        level = shapes.take(pa.array(of[~shape]))
+        b = b.drop_columns(["parts"]).filter(pa.array(~shape))
         ax, ay, bx, by = (b.column(c).to_numpy(zero_copy_only=False) for c in ("ax", "ay", "bx", "by"))
-        starts, level = [], b.column("parts")
+        starts = []
         for _ in range(3):
             at = level.offsets.to_numpy()
             starts.append(at - at[0])

@@ -177,7 +177,7 @@ def lines_in_regions(lines: DataFrame, regions: DataFrame, line: str, region: st
     extent = F.greatest(F.col("box_.x1") - F.col("box_.x0"), F.col("box_.y1") - F.col("box_.y0"))
     levels = used_levels(boxed.select(level_of(extent / REGION_SPLIT).alias("level_"))) or [MIN_LEVEL]
     box = [F.col(f"box_.{c}") for c in ("x0", "y0", "x1", "y1")]
-    covered = cover(boxed, *box, REGION_SPLIT).select(F.col(region).alias("region_"), *[c.alias(f"{n}_") for c, n in zip(box, ("x0", "y0", "x1", "y1"))], F.col(parts).alias("parts"), "level_", "prefix_")
+    covered = cover(boxed, *box, REGION_SPLIT).select(F.col(region).alias("region_"), *[c.alias(f"{n}_") for c, n in zip(box, ("x0", "y0", "x1", "y1"))], "level_", "prefix_")
     at = F.explode(F.array(*[F.struct(F.lit(v).alias("level_"), F.shiftright("cell", 2 * (v - MIN_LEVEL)).alias("prefix_")) for v in levels])).alias("at_")
     passed = leg_cells(lines, line).select(F.col(line).alias("line_"), *[F.col(f"{e}.{c}").alias(f"{e}{c}") for e in "ab" for c in "xy"], "cell", at).select("*", "at_.*").drop("at_")
     meet = lambda c: (F.least(f"a{c}", f"b{c}") <= F.col(f"{c}1_")) & (F.greatest(f"a{c}", f"b{c}") >= F.col(f"{c}0_"))
@@ -190,5 +190,10 @@ def lines_in_regions(lines: DataFrame, regions: DataFrame, line: str, region: st
     entry = lambda c: F.greatest(F.col(f"{c}0_"), F.least(F.col(f"{c}1_"), F.col(f"a{c}") + F.col("t") * (F.col(f"b{c}") - F.col(f"a{c}"))))
     met = once(met, own=geo.morton(cell_of(entry("x")), cell_of(entry("y")))).where("own = cell")
     kinds = f"line_ {lines.schema[line].dataType.simpleString()}, region_ {regions.schema[region].dataType.simpleString()}, overlap_m double"
-    inside = met.select("line_", "region_", "ax", "ay", "bx", "by", "parts").mapInArrow(arrow.legs_inside, kinds).groupBy("line_", "region_").agg(F.sum("overlap_m").alias("overlap_m"))
+    # a region's shape stands once before its legs; in each leg's row it would be written over and over
+    empty = lambda *named: [F.lit(None).cast(kind).alias(c) for c, kind in named]
+    shapes = boxed.select(F.col(region).alias("region_"), *empty(("line_", lines.schema[line].dataType), *((c, "double") for c in ("ax", "ay", "bx", "by"))), F.col(parts).alias("parts"))
+    legs = met.select("region_", "line_", "ax", "ay", "bx", "by", *empty(("parts", shapes.schema["parts"].dataType)))
+    stood = shapes.unionByName(legs).repartition("region_").sortWithinPartitions("region_", F.col("parts").isNull())
+    inside = stood.mapInArrow(arrow.legs_inside, kinds).groupBy("line_", "region_").agg(F.sum("overlap_m").alias("overlap_m"))
     return inside.join(lines.select(F.col(line).alias("line_"), "length_m"), "line_").select(F.col("line_").alias(line), F.col("region_").alias(region), "overlap_m", "length_m")
