@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,24 @@ def near_crosses(lines: DataFrame, key: str = "edge_id", metres: float = 2.5, de
     return met.groupBy(f"{key}_a", f"{key}_b").agg(F.min(F.struct("distance_m", "turn")).alias("m")).select(f"{key}_a", f"{key}_b", "m.*")
 
 
+def maybe_along(met: DataFrame, metres: float, degrees: float, least_m: float) -> DataFrame:
+    """Pairs of met_legs that can have a stretch of near_overlaps: its tests in plain arithmetic, a little wider.
+
+    Only they are fit to sift all pairs: the join does the first in compiled code, which holds for
+    few expressions only. What rounding could decide otherwise is left to the exact tests.
+    """
+    a, b, c, d = spatial.leg_ends()
+    ux, uy, vx, vy, wx, wy = b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y, c.x - a.x, c.y - a.y
+    turned = (math.cos(math.radians(min(degrees, 90.0))) ** 2 - 1e-9) * (ux * ux + uy * uy) * (vx * vx + vy * vy)
+    met = met.where((ux * vx + uy * vy) * (ux * vx + uy * vy) >= turned)
+    # all along a-b is times its length here
+    met = once(met, n=ux * ux + uy * uy, u=ux * wx + uy * wy, v=ux * wx + uy * wy + ux * vx + uy * vy)
+    met = once(met, s=F.greatest(F.lit(0.0), F.least("u", "v")), e=F.least("n", F.greatest("u", "v"))).where(F.col("e") - F.col("s") >= (least_m - 1e-6) * F.sqrt("n"))
+    met = once(met, off=vx * wy - vy * wx, turn=(ux * vy - uy * vx) / F.nullif(F.col("n"), F.lit(0.0)), reach=(metres + 1e-6) * F.sqrt(vx * vx + vy * vy))
+    off = lambda at: F.abs(F.col("off") + F.col(at) * F.col("turn")) <= F.col("reach")
+    return met.where(off("s") & off("e")).drop("n", "u", "v", "s", "e", "off", "turn", "reach")
+
+
 def near_overlaps(lines: DataFrame, key: str = "edge_id", metres: float = 1.25, degrees: float = 20.0, least_m: float = 2.0) -> DataFrame:
     """key_a < key_b, length, x, y: stretches of at least least_m along which two legs run side by side; x, y is the stretch's middle.
 
@@ -64,7 +84,8 @@ def near_overlaps(lines: DataFrame, key: str = "edge_id", metres: float = 1.25,
     """
     a, b, c, d = spatial.leg_ends()
     along = lambda p: ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / F.nullif(F.hypot(b.x - a.x, b.y - a.y), F.lit(0.0))
-    met = once(met_legs(lines, key, metres), angle=geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y)).where(F.col("angle") <= degrees)
+    met = maybe_along(met_legs(lines, key, metres), metres, degrees, least_m)
+    met = once(met, angle=geo.axis_angle(b.x - a.x, b.y - a.y, d.x - c.x, d.y - c.y)).where(F.col("angle") <= degrees)
     met = once(met, n=F.hypot(b.x - a.x, b.y - a.y), u=along(c), v=along(d))
     met = once(met, s=F.greatest(F.lit(0.0), F.least("u", "v")), e=F.least(F.col("n"), F.greatest("u", "v"))).withColumn("length", F.col("e") - F.col("s")).where(F.col("length") >= least_m)
     at = lambda m: F.struct((a.x + m / F.col("n") * (b.x - a.x)).alias("x"), (a.y + m / F.col("n") * (b.y - a.y)).alias("y"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from wayfold.functions import geo, states, text
 from wayfold.operators import build, fuse, graph, rules, routing, spatial, topology, transfer
 from wayfold.plans.core_problems import located_places
-from wayfold.plans.reference import _CC, _LAT, _LON, _POINTS, _PT, _TM, HAV, SEG, _lifts, metric_lines, metric_nodes, segments
+from wayfold.plans.reference import _CC, _LAT, _LON, _POINTS, _PT, _TM, HAV, SEG, _lifts, bare_lines, metric_lines, metric_nodes, segments
 from wayfold.plans.runtime import materialize, table
 
 QUERIES: dict = {}
@@ -274,7 +274,7 @@ def near_crossings(spark, sf_dir):
 @query()
 def parallel_stretches(spark, sf_dir):
     """Stretches on which two lines run side by side."""
-    n = build.near_overlaps(metric_lines(spark, sf_dir).select("edge_id", "points"))
+    n = build.near_overlaps(bare_lines(spark, sf_dir))
     return n.select("edge_id_a", "edge_id_b", F.round("length", 3).alias("length"))
 
 

@@ -467,10 +467,21 @@ def osm_elements(spark, sf_dir):
 
 def metric_lines(spark, sf_dir):
     """Segments with points in EPSG:5179 metres."""
-    s = once(segments(spark, sf_dir), points=text.parse_linestring(F.col("geom"))).where("points is not null")
+    return _in_metres(segments(spark, sf_dir))
+
+
+def _in_metres(s: DataFrame) -> DataFrame:
+    s = once(s, points=text.parse_linestring(F.col("geom"))).where("points is not null")
     return s.withColumn("points", F.transform("points", lambda p: geo.to_metres(p.x, p.y)))
 
 
+def bare_lines(spark, sf_dir):
+    """edge_id and points of metric_lines; of a segment only what picks the latest load is sent about, its text once."""
+    s = table(spark, sf_dir, "road_segments")
+    first = F.min(F.struct((-F.col("load_id")).alias("newest"), "loaded_at", "geom"))
+    return _in_metres(s.groupBy("edge_id").agg(first["geom"].alias("geom"))).select("edge_id", "points")
+
+
 _planar = metric_lines
 
 
