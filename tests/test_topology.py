@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wayfold.functions import geo, text
-from wayfold.operators import routing, topology
+from wayfold.operators import routing, spatial, topology
 
 NODES = "vertex_id long, x double, y double"
 SEGS = "edge_id long, from_node_id long, to_node_id long, segment_type string, points array<struct<x:double,y:double>>"
@@ -137,3 +137,47 @@ def test_lines_inside_discs_and_polygons(spark):
     parts = [[[(-1.0, -1.0), (4.0, -1.0), (4.0, 4.0), (-1.0, 4.0)], [(1.0, -0.5), (2.0, -0.5), (2.0, 0.5), (1.0, 0.5)]], [[(9.0, 5.0), (12.0, 5.0), (12.0, 7.0), (9.0, 7.0)]]]
     df = line.withColumn("parts", F.lit(None).cast("string")).drop("parts").crossJoin(spark.createDataFrame([(parts,)], "parts array<array<array<struct<x:double,y:double>>>>"))
     assert abs(df.select(geo.length_inside(F.col("p"), F.col("parts")).alias("n")).first().n - (4 - 1 + 2)) < 1e-9
+
+
+def test_connecting_looks_again_only_where_something_changed(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(4)
+    nodes, edges, ids = [], [], iter(range(1, 10_000))
+    for e in range(90):
+        a, b = next(ids), next(ids)
+        x, y, turn = rnd.uniform(0, 150), rnd.uniform(0, 150), rnd.choice([(1, 0), (0, 1), (1, 1)])
+        far = rnd.choice([0.5, 20.0, 60.0])
+        nodes += [(a, x, y), (b, x + far * turn[0], y + far * turn[1])]
+        edges.append((100 + e, a, b))
+    nodes, segs = graph_of(spark, nodes + [(5_000, 1.0, 1.0)], edges + [(900, 1, 5_000)])
+    # an edge that starts away from its node, and one whose node is unknown
+    odd = spark.createDataFrame([(901, 3, 4, None, [(70.0, 70.0), (71.0, 90.0)]), (902, 5, 9_999, None, [(10.0, 10.0), (30.0, 10.0)])], SEGS)
+    segs = segs.unionByName(odd)
+    n0, s0, counts0 = nodes, segs, []
+    while True:  # every round from the beginning
+        found = topology.connectivity(n0, s0).where("priority <> 'LOW' and colour <> 'red'")
+        counts0.append(found.count())
+        if not counts0[-1]:
+            break
+        n0, s0, _log = topology.apply_candidates(n0, s0, found)
+    looked, touching = [], topology.touching
+    monkeypatch.setattr(topology, "touching", lambda points, lines, metres: looked.append(points.count() * lines.count()) or touching(points, lines, metres))
+    n, s, counts, settled = topology.connect_until_settled(nodes, segs)
+    rows = lambda df: sorted(str(r) for r in df.collect())
+    assert settled and counts == counts0 and len(counts) >= 3 and rows(s) == rows(s0) and rows(n) == rows(n0)
+    assert max(looked[1:5]) < looked[0] / 2  # after the first round, ends that are new and edges that are
+
+
+def test_touching_meets_legs_of_any_length(spark):
+    from wayfold.operators import transfer
+
+    points = [(i, float(x), float(y)) for i, (x, y) in enumerate([(0, 0), (6000.5, 4000), (-1, 5), (12000, 8000.9), (64, 64), (5, 0.999), (5, 1.001), (3000, -0.5)])]
+    lines = [(1, 90, 91, "A", [(0.0, 0.0), (12000.0, 8000.0)]), (2, 92, 93, "A", [(0.0, 0.0), (0.0, 9.0), (0.0, 9.0), (64.0, 64.0)]), (3, 94, 95, "A", [(-5000.0, 0.0), (5000.0, 0.0)]), (4, 96, 97, "A", [(5.0, 0.0), (5.0, 0.0)])]
+    nodes, segs = spark.createDataFrame(points, NODES), spark.createDataFrame(lines, SEGS)
+    want = transfer.near_lines(nodes.select("vertex_id", F.array(F.struct("x", "y")).alias("points")), segs, "vertex_id", "edge_id", 1.0)
+    got = topology.touching(nodes, segs, 1.0)
+    key = lambda df, d: sorted((r.vertex_id, r.edge_id, round(r[d], 9)) for r in df.collect())
+    assert key(got, "d") == key(want, "distance_m") and len(key(got, "d")) > 8
+    # a leg of 12 km passes some squares of its level, not hundreds of small ones
+    assert spatial.leg_squares(segs, "edge_id", 1.0).where("edge_id = 1").count() < 40

@@ -150,3 +150,41 @@ def legs_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length = inside_share(ax, ay, bx, by, *starts, x, y) * np.hypot(bx - ax, by - ay)
         some = pa.array(length > 0)
         yield pa.RecordBatch.from_arrays([b.column("line_").filter(some), b.column("region_").filter(some), pa.array(length).filter(some)], ["line_", "region_", "overlap_m"])
+
+
+def least_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least of all numbers below n that edges a-b link with each number."""
+    root = np.arange(n)
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low < high
+        if not apart.any():
+            return root
+        a, b = low[apart], high[apart]
+        np.minimum.at(root, b, a)
+        while (further := root[root]).tobytes() != root.tobytes():
+            root = further
+
+
+#: edges that are linked at once
+LINKED = 1 << 18
+
+
+def local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (x, y) to rows (v, r): every node of each LINKED edges or so, with the least node that these link it with."""
+    held, rows = [], 0
+
+    def linked(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ends = np.concatenate([c.column(i).to_numpy() for i in (0, 1) for c in held])
+        ids, at = np.unique(ends, return_inverse=True)
+        root = least_roots(at[: len(at) // 2], at[len(at) // 2 :], len(ids))
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[root])], names=["v", "r"])
+
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= LINKED:
+            yield linked(held)
+            held, rows = [], 0
+    if rows:
+        yield linked(held)

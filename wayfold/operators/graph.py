@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from wayfold.functions import arrow
 from wayfold.plans.runtime import materialize
 
 
@@ -24,14 +25,24 @@ def node_types(degree: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """vertex_id, component: least node id of the component, for every node with an edge.
 
-    Every vertex hooks on its least neighbour, pointers are doubled to their roots, and the graph
-    is contracted onto the roots until no edge is left. Edges shrink every round; hot nodes are
-    pre-aggregated and their joins split by AQE.
+    Ranges of edges by their lower id link what they hold, each by itself; only nodes that stand in
+    several ranges are left to link. Then every vertex hooks on its least neighbour, pointers are
+    doubled to their roots, and the graph is contracted onto the roots until no edge is left. Edges
+    shrink every round; hot nodes are pre-aggregated and their joins split by AQE.
     """
-    e = materialize(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y")).distinct())
-    vertices = e.select(F.explode(F.array("x", "y")).alias("v")).distinct()
-    e = e.where("x <> y")
+    known = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.least(a, b).alias("x"), F.greatest(a, b).alias("y"))
     label: DataFrame | None = None
+    numbers = known.schema["x"].dataType.simpleString() == "bigint"
+    if numbers:
+        # written before, as a range exchange reads its input twice
+        stars = materialize(materialize(known).repartitionByRange("x").mapInArrow(arrow.local_roots, "v bigint, r bigint"))
+        met = materialize(stars.groupBy("v").agg(F.min("r").alias("p"), F.max("r").alias("q")))
+        label = met.select("v", "p")
+        e = materialize(stars.join(met.where("p <> q").select("v", "p"), "v").where("r <> p").select(F.col("p").alias("x"), F.col("r").alias("y")).distinct())
+    else:
+        e = materialize(known.distinct())
+        vertices = e.select(F.explode(F.array("x", "y")).alias("v")).distinct()
+        e = e.where("x <> y")
     while not e.isEmpty():
         both = e.unionByName(e.select(F.col("y").alias("x"), F.col("x").alias("y")))
         point = materialize(both.groupBy(F.col("x").alias("v")).agg(F.min("y").alias("m")).select("v", F.least("v", "m").alias("p")))
@@ -48,6 +59,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             label = materialize(label.join(step, "p", "left").select("v", F.coalesce("q", "p").alias("p")))
         px, py = point.select(F.col("v").alias("x"), F.col("p").alias("px")), point.select(F.col("v").alias("y"), F.col("p").alias("py"))
         e = materialize(e.join(px, "x").join(py, "y").where("px <> py").select(F.least("px", "py").alias("x"), F.greatest("px", "py").alias("y")).distinct())
+    if numbers:
+        return label.select(F.col("v").alias("vertex_id"), F.col("p").alias("component"))
     if label is None:
         return vertices.select(F.col("v").alias("vertex_id"), F.col("v").alias("component"))
     return vertices.join(label, "v", "left").select(F.col("v").alias("vertex_id"), F.coalesce("p", "v").alias("component"))

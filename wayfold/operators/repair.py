@@ -15,8 +15,9 @@ def near_pairs(points: DataFrame, key: str, metres: float, others: DataFrame | N
     a = points.select(F.col(key).alias(f"{key}_a"), F.col("x").alias("xa"), F.col("y").alias("ya"))
     b = (points if others is None else others).select(F.col(key).alias(f"{key}_b"), F.col("x").alias("xb"), F.col("y").alias("yb"))
     level = next(v for v in range(spatial.MIN_LEVEL, spatial.MAX_LEVEL + 1, spatial.LEVEL_STEP) if 2 * metres <= float(1 << v))
-    covered = spatial.cover(b, F.col("xb") - metres, F.col("yb") - metres, F.col("xb") + metres, F.col("yb") + metres)
-    hits = spatial.at_levels(a, "xa", "ya", [level]).join(covered, ["level_", "prefix_"])
+    # of two sets it is points that are covered: others may be all nodes
+    covered = spatial.cover(a, F.col("xa") - metres, F.col("ya") - metres, F.col("xa") + metres, F.col("ya") + metres)
+    hits = spatial.at_levels(b, "xb", "yb", [level]).join(covered, ["level_", "prefix_"])
     near = hits.withColumn("distance_m", F.hypot(F.col("xa") - F.col("xb"), F.col("ya") - F.col("yb"))).where(F.col("distance_m") <= metres)
     near = near.where(F.col(f"{key}_a") < F.col(f"{key}_b")) if others is None else near
     return near.select(f"{key}_a", f"{key}_b", "distance_m")

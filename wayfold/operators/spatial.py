@@ -96,6 +96,31 @@ def leg_cells(lines: DataFrame, key: str, margin: float = 0.001) -> DataFrame:
     return leg.select(key, "leg", "a", "b", geo.morton(F.col("cx_"), F.col("cy_")).alias("cell"))
 
 
+#: a leg longer than this many of the smallest squares is covered by wider ones, so that about as many hold it
+LEG_SPLIT = 8
+
+
+def leg_squares(lines: DataFrame, key: str, margin: float) -> DataFrame:
+    """key, xa, ya, xb, yb, level_, prefix_: the legs of polylines with each aligned square that they pass, grown by a margin.
+
+    As leg_cells, but of a level by the leg's extent: a leg costs some twenty rows at most, however
+    long. Points meet it at_levels that occur; far fewer points than legs keep that cheap.
+    """
+    corner = [F.col(f"{e}.{c}").alias(f"{c}{e}") for e in "ab" for c in "xy"]
+    ax, ay, bx, by = (F.col(c) for c in ("xa", "ya", "xb", "yb"))
+    extent = F.greatest(F.abs(bx - ax), F.abs(by - ay)) / LEG_SPLIT
+    leg = once(line_legs(lines, key).select(key, *corner), level_=level_of(extent))
+    side = F.pow(F.lit(2.0), F.col("level_"))
+    of = lambda v: F.floor(grid(v) / side).cast("bigint")
+    leg = leg.withColumn("cx_", F.explode(F.sequence(of(F.least(ax, bx) - margin), of(F.greatest(ax, bx) + margin))))
+    # a leg nearly along the column has no stable place where it enters: it counts whole
+    x0 = F.col("cx_") * side - F.lit(SHIFT) - margin
+    at = lambda x: F.when(F.abs(bx - ax) < 1.0, F.lit(None)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (x - ax) / (bx - ax))))
+    p, q = ay + F.coalesce(at(x0), F.lit(0.0)) * (by - ay), ay + F.coalesce(at(x0 + side + 2 * margin), F.lit(1.0)) * (by - ay)
+    leg = leg.withColumn("cy_", F.explode(F.sequence(of(F.least(p, q) - margin), of(F.greatest(p, q) + margin))))
+    return leg.select(key, "xa", "ya", "xb", "yb", "level_", geo.morton(F.col("cx_"), F.col("cy_")).alias("prefix_"))
+
+
 class Spot(NamedTuple):
     """A point in two columns of their own, for the functions of geo."""
 

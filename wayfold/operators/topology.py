@@ -7,14 +7,15 @@ points) in planar metres; other columns of segments are kept.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wayfold.functions import geo
-from wayfold.operators import fuse, graph, repair, transfer
-from wayfold.plans.runtime import materialize
+from wayfold.operators import fuse, graph, repair, spatial, transfer
+from wayfold.plans.runtime import materialize, once
 
 CUT = "edge_id bigint, m double, vertex_id bigint, x double, y double"
 
@@ -28,11 +29,23 @@ def line_foot(x: Column, y: Column, points: Column) -> Column:
 
 
 def touching(points: DataFrame, segments: DataFrame, metres: float) -> DataFrame:
-    """vertex_id, edge_id, d, m, length, from_node_id, to_node_id of points (vertex_id, x, y) and segments within metres that do not end there."""
-    spots = points.select("vertex_id", F.array(F.struct("x", "y")).alias("points"))
-    near = transfer.near_lines(spots, segments.select("edge_id", "points"), "vertex_id", "edge_id", metres).select("vertex_id", "edge_id")
-    j = near.join(points.select("vertex_id", "x", "y"), "vertex_id").join(segments.select("edge_id", "from_node_id", "to_node_id", "points"), "edge_id").where("vertex_id <> from_node_id and vertex_id <> to_node_id")
-    return j.select("vertex_id", "edge_id", "x", "y", line_foot(F.col("x"), F.col("y"), F.col("points")).alias("f"), geo.line_length(F.col("points")).alias("length"), "from_node_id", "to_node_id", "points").select("vertex_id", "edge_id", "x", "y", "f.d", "f.m", "length", "from_node_id", "to_node_id", "points")
+    """vertex_id, edge_id, d, m, length, from_node_id, to_node_id of points (vertex_id, x, y) and segments within metres that do not end there.
+
+    A point lies in one square of each level, a leg passes squares of one; a strip along the leg
+    sifts what meets there in plain arithmetic, the foot on the whole line decides.
+    """
+    reach = metres + 0.001
+    squares = spatial.leg_squares(segments.select("edge_id", "points"), "edge_id", reach)
+    levels = spatial.used_levels(squares) or [spatial.MIN_LEVEL]
+    spots = materialize(spatial.at_levels(points.select("vertex_id", "x", "y"), "x", "y", levels))  # of few points a small file, which is sent about
+    dx, dy, ux, uy = F.col("x") - F.col("xa"), F.col("y") - F.col("ya"), F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya")
+    off = dx * uy - dy * ux
+    strip = F.col("x").between(F.least("xa", "xb") - reach, F.greatest("xa", "xb") + reach) & F.col("y").between(F.least("ya", "yb") - reach, F.greatest("ya", "yb") + reach)
+    strip = strip & (off * off <= reach * reach * (ux * ux + uy * uy))
+    near = materialize(spots.join(squares, ["level_", "prefix_"]).where(strip).select("vertex_id", "edge_id", "x", "y").distinct())  # legs that follow each other share a vertex
+    j = near.join(segments.select("edge_id", "from_node_id", "to_node_id", "points"), "edge_id").where("vertex_id <> from_node_id and vertex_id <> to_node_id")
+    j = once(j, f=line_foot(F.col("x"), F.col("y"), F.col("points"))).where(F.col("f.d") <= metres)
+    return j.withColumn("length", geo.line_length(F.col("points"))).select("vertex_id", "edge_id", "x", "y", "f.d", "f.m", "length", "from_node_id", "to_node_id", "points")
 
 
 def clustered_cuts(cuts: DataFrame, segments: DataFrame, gap: float) -> DataFrame:
@@ -50,15 +63,8 @@ def with_ids(clusters: DataFrame, nodes: DataFrame) -> DataFrame:
     return clusters.withColumnRenamed("vertex_id", "old_id").join(one.select("edge_id", "cluster", (F.col("top_") + F.col("n_")).alias("vertex_id")), ["edge_id", "cluster"])
 
 
-def rebuild(nodes: DataFrame, segments: DataFrame, redirects: DataFrame, cuts: DataFrame, connectors: DataFrame | None = None, drop_m: float = 0.3, review_m: float = 1.0, referenced_only: bool = True, kind: str = "SIDE_LINE") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes, segments and a log (reason, edge_id, length) after redirects (source, target), cuts and connectors (from_id, to_id).
-
-    A cut edge becomes parts with new ids, in order, after the greatest one; ends move to the place
-    of their final node. Self loops and edges below drop_m go, edges below review_m are logged; of
-    edges with the same ends and type the lowest id stays, so that originals win over parts and
-    connectors.
-    """
-    final = materialize(graph.resolve_redirects(redirects, "source", "target"))
+def reshaped(nodes: DataFrame, segments: DataFrame, final: DataFrame, cuts: DataFrame, connectors: DataFrame | None, top: DataFrame, kind: str) -> DataFrame:
+    """Segments after redirects (source, final), cuts and connectors, with their length len_ and whether they stay as they were, same_; new ids follow top (top_), one row."""
     placed = nodes.select("vertex_id", "x", "y").unionByName(cuts.select("vertex_id", "x", "y")).dropDuplicates(["vertex_id"])
     per_edge = cuts.groupBy("edge_id").agg(F.array_sort(F.collect_list(F.struct("m", "vertex_id"))).alias("cuts"))  # cuts of one edge: bounded by its length
     rest = [c for c in segments.columns if c not in ("edge_id", "from_node_id", "to_node_id", "points")]
@@ -70,35 +76,51 @@ def rebuild(nodes: DataFrame, segments: DataFrame, redirects: DataFrame, cuts: D
     pieces = F.arrays_zip(F.slice(ms, F.lit(1), n).alias("s"), F.slice(ms, F.lit(2), n).alias("e"), F.slice(vs, F.lit(1), n).alias("a"), F.slice(vs, F.lit(2), n).alias("b"))
     parts = line.select("edge_id", *rest, "line", F.posexplode(pieces).alias("part", "p")).where("p.e > p.s")
     parts = parts.select("edge_id", F.col("p.a").alias("from_node_id"), F.col("p.b").alias("to_node_id"), geo.substring(F.col("line"), F.col("p.s"), F.col("p.e")).alias("points"), *rest, "part")
-    top = segments.agg(F.coalesce(F.max("edge_id"), F.lit(0)).alias("top_"))
     ids = fuse.renumber(parts.select("edge_id", "part").distinct(), "n_", "edge_id", "part").crossJoin(F.broadcast(top)).select("edge_id", "part", (F.col("top_") + F.col("n_")).alias("id_"))
     fresh = parts.join(ids, ["edge_id", "part"]).withColumn("edge_id", F.col("id_")).drop("id_", "part")
-    out = whole.drop("part").select(fresh.columns).unionByName(fresh)
+    out = whole.drop("part").select(fresh.columns).withColumn("same_", F.lit(True)).unionByName(fresh.withColumn("same_", F.lit(False)))
     if connectors is not None:
         links = connectors.select(F.col("from_id").alias("from_node_id"), F.col("to_id").alias("to_node_id")).distinct()
-        most = out.agg(F.coalesce(F.max("edge_id"), F.lit(0)).alias("top_"))
-        links = fuse.renumber(links, "n_", "from_node_id", "to_node_id").crossJoin(F.broadcast(most)).select((F.col("top_") + F.col("n_")).alias("edge_id"), "from_node_id", "to_node_id", F.lit(kind).alias("segment_type"))
+        most = out.select("edge_id").unionByName(top.select(F.col("top_").alias("edge_id"))).agg(F.max("edge_id").alias("top_"))
+        links = fuse.renumber(links, "n_", "from_node_id", "to_node_id").crossJoin(F.broadcast(most)).select((F.col("top_") + F.col("n_")).alias("edge_id"), "from_node_id", "to_node_id", F.lit(kind).alias("segment_type"), F.lit(False).alias("same_"))
         out = out.unionByName(links, allowMissingColumns=True)
     for end in ("from_node_id", "to_node_id"):
         f = final.select(F.col("source").alias(end), F.col("final").alias("final_"))
         at = placed.select(F.col("vertex_id").alias(end), F.struct("x", "y").alias(f"{end}_at"))
-        out = out.join(f, end, "left").withColumn(end, F.coalesce("final_", end)).drop("final_").join(at, end, "left")
+        out = out.join(f, end, "left").withColumn("same_", F.col("same_") & F.col("final_").isNull()).withColumn(end, F.coalesce("final_", end)).drop("final_").join(at, end, "left")
     a, b = F.col("from_node_id_at"), F.col("to_node_id_at")
     inner = F.coalesce(F.slice("points", F.lit(2), F.greatest(F.size("points") - 2, F.lit(0))), F.array().cast("array<struct<x:double,y:double>>"))
+    kept = F.coalesce(a == F.get("points", F.lit(0)), F.lit(True)) & F.coalesce(b == F.element_at("points", -1), F.lit(True)) & (F.size("points") >= 2)
+    out = out.withColumn("same_", F.coalesce(F.col("same_") & kept, F.lit(False)))
     out = out.withColumn("points", F.concat(F.array(F.coalesce(a, F.get("points", F.lit(0)))), inner, F.array(F.coalesce(b, F.element_at("points", -1))))).drop("from_node_id_at", "to_node_id_at")
-    out = materialize(out.withColumn("len_", geo.line_length(F.col("points"))))
+    return out.withColumn("len_", geo.line_length(F.col("points")))
+
+
+def _referenced(nodes: DataFrame, segments: DataFrame) -> DataFrame:
+    used = segments.select(F.explode(F.array("from_node_id", "to_node_id")).alias("vertex_id")).distinct()
+    return nodes.join(used, "vertex_id", "left_semi")
+
+
+def rebuild(nodes: DataFrame, segments: DataFrame, redirects: DataFrame, cuts: DataFrame, connectors: DataFrame | None = None, drop_m: float = 0.3, review_m: float = 1.0, referenced_only: bool = True, kind: str = "SIDE_LINE") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes, segments and a log (reason, edge_id, length) after redirects (source, target), cuts and connectors (from_id, to_id).
+
+    A cut edge becomes parts with new ids, in order, after the greatest one; ends move to the place
+    of their final node. Self loops and edges below drop_m go, edges below review_m are logged; of
+    edges with the same ends and type the lowest id stays, so that originals win over parts and
+    connectors.
+    """
+    final = materialize(graph.resolve_redirects(redirects, "source", "target"))
+    top = segments.agg(F.coalesce(F.max("edge_id"), F.lit(0)).alias("top_"))
+    out = materialize(reshaped(nodes, segments, final, cuts, connectors, top, kind))
     loop, short = F.col("from_node_id") == F.col("to_node_id"), F.col("len_") < drop_m
     log = out.where(loop | (F.col("len_") < review_m)).select(F.when(loop, "SELF_LOOP").when(short, "DROPPED_SHORT").otherwise("REVIEW_SHORT").alias("reason"), "edge_id", F.col("len_").alias("length"))
     kept = out.where(~loop & ~short).withColumn("p_", F.least("from_node_id", "to_node_id")).withColumn("q_", F.greatest("from_node_id", "to_node_id"))
     kept = fuse.first_per_key(kept, ["p_", "q_", "segment_type"], "edge_id").drop("p_", "q_")
     if "length" in segments.columns:
         kept = kept.withColumn("length", F.round("len_", 2))
-    kept = materialize(kept.drop("len_").select(segments.columns))
+    kept = materialize(kept.drop("len_", "same_").select(segments.columns))
     all_nodes = nodes.unionByName(cuts.select("vertex_id", "x", "y").distinct(), allowMissingColumns=True)
-    if referenced_only:
-        used = kept.select(F.explode(F.array("from_node_id", "to_node_id")).alias("vertex_id")).distinct()
-        all_nodes = all_nodes.join(used, "vertex_id", "left_semi")
-    return all_nodes, kept, log
+    return _referenced(all_nodes, kept) if referenced_only else all_nodes, kept, log
 
 
 def repair_topology(nodes: DataFrame, segments: DataFrame, split_m: float = 1.0, end_m: float = 1.0, merge_m: float = 1.0, cluster_m: float = 1.0, shift_floor_m: float = 2.0, shift_share: float = 0.2) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -152,55 +174,100 @@ def repair_topology(nodes: DataFrame, segments: DataFrame, split_m: float = 1.0,
 # ---- connections between components
 
 
-def connectivity(nodes: DataFrame, segments: DataFrame, reach_m: float = 20.0, merge_m: float = 2.0, same_m: float = 0.75, split_m: float = 1.0, end_m: float = 1.0, connect_m: float = 12.0, straight_m: float = 3.0, ahead: float = 0.34, not_back: float = -0.35, per_pair: int = 2) -> DataFrame:
-    """candidate_id, kind, priority, colour, from_id, to_id, to_edge, m, distance_m: possible connections of different components.
+class Limits(NamedTuple):
+    """Distances in metres and cosines that decide on connections; per_pair: connections of ends kept for each two components."""
 
-    NODE_MERGE: an end and the nearest node within merge_m, each two nodes once; SPLIT_AND_CONNECT:
-    an end and the nearest inside of a segment within split_m; ENDPOINT_TO_ENDPOINT: two ends that
-    have none of both, within reach_m, the shortest per_pair of each two components. Ends further
-    apart than connect_m, or than straight_m without pointing at each other, are LOW. Segments with
-    unknown or equal ends or without length are ignored. Numbers go by distance, kind and ids.
-    """
+    reach_m: float = 20.0
+    merge_m: float = 2.0
+    same_m: float = 0.75
+    split_m: float = 1.0
+    end_m: float = 1.0
+    connect_m: float = 12.0
+    straight_m: float = 3.0
+    ahead: float = 0.34
+    not_back: float = -0.35
+    per_pair: int = 2
+
+
+def usable(nodes: DataFrame, segments: DataFrame) -> DataFrame:
+    """Segments with known, unequal ends and a length."""
     known = nodes.select("vertex_id")
     s = segments.where((F.col("from_node_id") != F.col("to_node_id")) & (geo.line_length(F.col("points")) > 0.01))
-    s = materialize(s.join(known.withColumnRenamed("vertex_id", "from_node_id"), "from_node_id", "left_semi").join(known.withColumnRenamed("vertex_id", "to_node_id"), "to_node_id", "left_semi").select("edge_id", "from_node_id", "to_node_id", "points"))
-    label = materialize(graph.components(s, "from_node_id", "to_node_id"))
-    placed = materialize(nodes.select("vertex_id", "x", "y").join(label, "vertex_id"))
-    ends = materialize(placed.join(graph.degrees(s).where("degree = 1").select("vertex_id"), "vertex_id"))
-    of = lambda end: label.select(F.col("vertex_id").alias(f"vertex_id_{end}"), F.col("component").alias(f"c{end}"))
-    # merges
-    pairs = repair.near_pairs(ends, "vertex_id", merge_m, placed).where("vertex_id_a <> vertex_id_b").join(of("a"), "vertex_id_a").join(of("b"), "vertex_id_b").where("ca <> cb")
-    nearest = materialize(pairs.groupBy("vertex_id_a").agg(F.min(F.struct("distance_m", "vertex_id_b")).alias("m")).select(F.col("vertex_id_a").alias("from_id"), F.col("m.vertex_id_b").alias("to_id"), "m.distance_m"))
-    once = nearest.groupBy(F.least("from_id", "to_id").alias("p"), F.greatest("from_id", "to_id").alias("q")).agg(F.min(F.struct("from_id", "to_id", "distance_m")).alias("m")).select("m.*")
-    none = {"to_edge": F.lit(None).cast("bigint"), "m": F.lit(None).cast("double")}
-    merges = once.select(F.lit("NODE_MERGE").alias("kind"), F.lit("NORMAL").alias("priority"), F.lit("blue").alias("colour"), "from_id", "to_id", *[v.alias(k) for k, v in none.items()], "distance_m")
-    # splits
-    near = touching(ends, s, split_m).join(label.select(F.col("vertex_id").alias("vertex_id"), F.col("component").alias("mine")), "vertex_id").join(label.select(F.col("vertex_id").alias("from_node_id"), F.col("component").alias("theirs")), "from_node_id").where("mine <> theirs")
+    return materialize(s.join(known.withColumnRenamed("vertex_id", "from_node_id"), "from_node_id", "left_semi").join(known.withColumnRenamed("vertex_id", "to_node_id"), "to_node_id", "left_semi").select("edge_id", "from_node_id", "to_node_id", "points"))
+
+
+def loose_ends(nodes: DataFrame, s: DataFrame, label: DataFrame) -> DataFrame:
+    """vertex_id, x, y, component of nodes with one edge."""
+    return materialize(nodes.select("vertex_id", "x", "y").join(graph.degrees(s).where("degree = 1").select("vertex_id"), "vertex_id").join(label, "vertex_id"))
+
+
+def close_nodes(ends: DataFrame, nodes: DataFrame, metres: float) -> DataFrame:
+    """vertex_id_a, vertex_id_b, distance_m of an end and another node."""
+    return repair.near_pairs(ends, "vertex_id", metres, nodes).where("vertex_id_a <> vertex_id_b")
+
+
+def close_insides(ends: DataFrame, s: DataFrame, split_m: float, end_m: float) -> DataFrame:
+    """vertex_id, edge_id, d, m, from_node_id of an end and the inside of a segment."""
+    near = touching(ends, s, split_m)
     gap = lambda p: F.hypot(F.col("x") - p.x, F.col("y") - p.y)
     away = F.least(gap(F.get("points", F.lit(0))), gap(F.element_at("points", -1)))
     foot = geo.interpolate(geo.measured(F.col("points")), F.col("m"))
     near = near.withColumn("p", foot).where(away > end_m)
     off = lambda p: F.hypot(F.col("p.x") - p.x, F.col("p.y") - p.y)
-    near = near.where(F.least(off(F.get("points", F.lit(0))), off(F.element_at("points", -1))) > end_m)
+    return near.where(F.least(off(F.get("points", F.lit(0))), off(F.element_at("points", -1))) > end_m).select("vertex_id", "edge_id", "d", "m", "from_node_id")
+
+
+def possible(ends: DataFrame, label: DataFrame, s: DataFrame, pairs: DataFrame, insides: DataFrame, limits: Limits, low: bool = True) -> DataFrame:
+    """Connections without numbers, of close_nodes pairs and close_insides; those of priority LOW only if low."""
+    of = lambda end: label.select(F.col("vertex_id").alias(f"vertex_id_{end}"), F.col("component").alias(f"c{end}"))
+    # merges
+    pairs = pairs.join(of("a"), "vertex_id_a").join(of("b"), "vertex_id_b").where("ca <> cb")
+    nearest = materialize(pairs.groupBy("vertex_id_a").agg(F.min(F.struct("distance_m", "vertex_id_b")).alias("m")).select(F.col("vertex_id_a").alias("from_id"), F.col("m.vertex_id_b").alias("to_id"), "m.distance_m"))
+    once_ = nearest.groupBy(F.least("from_id", "to_id").alias("p"), F.greatest("from_id", "to_id").alias("q")).agg(F.min(F.struct("from_id", "to_id", "distance_m")).alias("m")).select("m.*")
+    none = {"to_edge": F.lit(None).cast("bigint"), "m": F.lit(None).cast("double")}
+    merges = once_.select(F.lit("NODE_MERGE").alias("kind"), F.lit("NORMAL").alias("priority"), F.lit("blue").alias("colour"), "from_id", "to_id", *[v.alias(k) for k, v in none.items()], "distance_m")
+    # splits
+    near = insides.join(label.select(F.col("vertex_id").alias("vertex_id"), F.col("component").alias("mine")), "vertex_id").join(label.select(F.col("vertex_id").alias("from_node_id"), F.col("component").alias("theirs")), "from_node_id").where("mine <> theirs")
     cut = materialize(near.groupBy("vertex_id").agg(F.min(F.struct("d", "edge_id", "m")).alias("b")).select(F.col("vertex_id").alias("from_id"), F.col("b.d").alias("distance_m"), F.col("b.edge_id").alias("to_edge"), "b.m"))
     splits = cut.select(F.lit("SPLIT_AND_CONNECT").alias("kind"), F.lit("NORMAL").alias("priority"), F.lit("yellow").alias("colour"), "from_id", F.lit(None).cast("bigint").alias("to_id"), "to_edge", "m", "distance_m")
     # ends among themselves
     blocked = nearest.select(F.col("from_id").alias("vertex_id")).unionByName(cut.select(F.col("from_id").alias("vertex_id"))).distinct()
     free = materialize(ends.join(blocked, "vertex_id", "left_anti"))
-    leaving = s.select(F.explode(F.array(F.struct(F.col("from_node_id").alias("vertex_id"), geo.outward_tangent(F.col("points"), F.lit(True)).alias("t")), F.struct(F.col("to_node_id").alias("vertex_id"), geo.outward_tangent(F.col("points"), F.lit(False)).alias("t")))).alias("e")).select("e.*")
-    leaving = leaving.join(free.select("vertex_id"), "vertex_id", "left_semi")  # an end has one edge
-    side = lambda e: free.join(leaving, "vertex_id", "left").select(F.col("vertex_id").alias(f"vertex_id_{e}"), F.col("x").alias(f"x{e}"), F.col("y").alias(f"y{e}"), F.col("component").alias(f"c{e}"), F.col("t").alias(f"t{e}"))
-    met = repair.near_pairs(free, "vertex_id", reach_m).join(side("a"), "vertex_id_a").join(side("b"), "vertex_id_b").where("ca <> cb")
+    reach = limits.reach_m if low else min(limits.reach_m, max(limits.connect_m, limits.same_m))  # what lies further is LOW
+    side = lambda e: free.select(F.col("vertex_id").alias(f"vertex_id_{e}"), F.col("x").alias(f"x{e}"), F.col("y").alias(f"y{e}"), F.col("component").alias(f"c{e}"))
+    met = materialize(repair.near_pairs(free, "vertex_id", reach).join(side("a"), "vertex_id_a").join(side("b"), "vertex_id_b").where("ca <> cb"))
+    asked = materialize(met.select(F.explode(F.array("vertex_id_a", "vertex_id_b")).alias("vertex_id")).distinct())
+    tip = lambda end, first: s.join(asked.withColumnRenamed("vertex_id", end), end).select(F.col(end).alias("vertex_id"), geo.outward_tangent(F.col("points"), F.lit(first)).alias("t"))
+    leaving = materialize(tip("from_node_id", True).unionByName(tip("to_node_id", False)))  # an end has one edge
+    for e in "ab":
+        met = met.join(leaving.select(F.col("vertex_id").alias(f"vertex_id_{e}"), F.col("t").alias(f"t{e}")), f"vertex_id_{e}", "left")
     ux, uy = (F.col("xb") - F.col("xa")) / F.col("distance_m"), (F.col("yb") - F.col("ya")) / F.col("distance_m")
     fa, fb = F.col("ta.x") * ux + F.col("ta.y") * uy, -(F.col("tb.x") * ux + F.col("tb.y") * uy)
-    points_at = F.coalesce((F.greatest(fa, fb) >= ahead) & (F.least(fa, fb) >= not_back) & F.col("ta").isNotNull() & F.col("tb").isNotNull(), F.lit(False))
-    low = (F.col("distance_m") > connect_m) | ((F.col("distance_m") > straight_m) & ~points_at)
-    met = materialize(met.withColumn("low", low).withColumn("same", F.col("distance_m") <= same_m).withColumn("p0", F.least("ca", "cb")).withColumn("p1", F.greatest("ca", "cb")))
-    top = fuse.top_k(met.where("not low and not same"), ["p0", "p1"], per_pair, F.asc("distance_m"), F.asc("vertex_id_a"), F.asc("vertex_id_b"))
+    points_at = F.coalesce((F.greatest(fa, fb) >= limits.ahead) & (F.least(fa, fb) >= limits.not_back) & F.col("ta").isNotNull() & F.col("tb").isNotNull(), F.lit(False))
+    far = (F.col("distance_m") > limits.connect_m) | ((F.col("distance_m") > limits.straight_m) & ~points_at)
+    met = materialize(met.withColumn("low", far).withColumn("same", F.col("distance_m") <= limits.same_m).withColumn("p0", F.least("ca", "cb")).withColumn("p1", F.greatest("ca", "cb")))
+    top = fuse.top_k(met.where("not low and not same"), ["p0", "p1"], limits.per_pair, F.asc("distance_m"), F.asc("vertex_id_a"), F.asc("vertex_id_b"))
     colour = F.when(F.col("distance_m") <= 12.0, "orange").otherwise("red")
     rows = lambda df, kind, priority, c: df.select(F.lit(kind).alias("kind"), F.lit(priority).alias("priority"), c.alias("colour"), F.col("vertex_id_a").alias("from_id"), F.col("vertex_id_b").alias("to_id"), *[v.alias(k) for k, v in none.items()], "distance_m")
     out = merges.unionByName(rows(met.where("same"), "NODE_MERGE", "NORMAL", F.lit("blue"))).unionByName(splits)
-    out = out.unionByName(rows(top, "ENDPOINT_TO_ENDPOINT", "NORMAL", colour)).unionByName(rows(met.where("low and not same"), "ENDPOINT_TO_ENDPOINT", "LOW", colour))
+    out = out.unionByName(rows(top, "ENDPOINT_TO_ENDPOINT", "NORMAL", colour))
+    return out.unionByName(rows(met.where("low and not same"), "ENDPOINT_TO_ENDPOINT", "LOW", colour)) if low else out
+
+
+def connectivity(nodes: DataFrame, segments: DataFrame, **limits: float) -> DataFrame:
+    """candidate_id, kind, priority, colour, from_id, to_id, to_edge, m, distance_m: possible connections of different components, by Limits.
+
+    NODE_MERGE: an end and the nearest node within merge_m, each two nodes once; SPLIT_AND_CONNECT:
+    an end and the nearest inside of a segment within split_m; ENDPOINT_TO_ENDPOINT: two ends that
+    have none of both, within reach_m, the shortest per_pair of each two components. Ends further
+    apart than connect_m, or than straight_m without pointing at each other, are LOW. Segments with
+    unknown or equal ends or without length are ignored. Numbers go by distance, kind and ids.
+    """
+    by = Limits(**limits)
+    s = usable(nodes, segments)
+    label = materialize(graph.components(s, "from_node_id", "to_node_id"))
+    ends = loose_ends(nodes, s, label)
+    out = possible(ends, label, s, close_nodes(ends, nodes, by.merge_m), close_insides(ends, s, by.split_m, by.end_m), by)
     out = out.withColumn("distance_m", F.round("distance_m", 3)).withColumn("o_", F.coalesce("to_id", "to_edge")).withColumn("series", F.when(F.col("kind") == "NODE_MERGE", "merge").when(F.col("priority") == "LOW", "low").otherwise("conn"))
     numbered = None
     for name in ("conn", "merge", "low"):
@@ -210,12 +277,14 @@ def connectivity(nodes: DataFrame, segments: DataFrame, reach_m: float = 20.0, m
     return materialize(numbered.select("candidate_id", "kind", "priority", "colour", "from_id", "to_id", "to_edge", "m", "distance_m"))
 
 
-def apply_candidates(nodes: DataFrame, segments: DataFrame, candidates: DataFrame, include_low: bool = False, include_merges: bool = True, cluster_m: float = 1.0, merge_m: float = 1.0, end_m: float = 0.01) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Nodes, segments and a log after accepted candidates: merges, cuts (a node within merge_m of its cut becomes the new node, else gets a connector) and connectors."""
+def accepted(nodes: DataFrame, segments: DataFrame, candidates: DataFrame, include_low: bool = False, include_merges: bool = True, cluster_m: float = 1.0, merge_m: float = 1.0, end_m: float = 0.01) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Redirects, cuts and connectors of candidates, for rebuild."""
     ok = candidates if include_low else candidates.where("priority <> 'LOW'")
-    lengths = segments.select(F.col("edge_id").alias("to_edge"), geo.line_length(F.col("points")).alias("length"))
-    cut = ok.where("kind = 'SPLIT_AND_CONNECT'").join(lengths, "to_edge").where((F.col("m") > end_m) & (F.col("m") < F.col("length") - end_m))
-    named = materialize(with_ids(clustered_cuts(cut.select(F.col("to_edge").alias("edge_id"), "m", F.col("from_id").alias("vertex_id")), segments, cluster_m), nodes))
+    cut = ok.where("kind = 'SPLIT_AND_CONNECT'")
+    struck = materialize(segments.join(cut.select(F.col("to_edge").alias("edge_id")).distinct(), "edge_id", "left_semi").select("edge_id", "points"))
+    lengths = struck.select(F.col("edge_id").alias("to_edge"), geo.line_length(F.col("points")).alias("length"))
+    cut = cut.join(lengths, "to_edge").where((F.col("m") > end_m) & (F.col("m") < F.col("length") - end_m))
+    named = materialize(with_ids(clustered_cuts(cut.select(F.col("to_edge").alias("edge_id"), "m", F.col("from_id").alias("vertex_id")), struck, cluster_m), nodes))
     at = named.join(nodes.select(F.col("vertex_id").alias("old_id"), F.col("x").alias("ox"), F.col("y").alias("oy")), "old_id").withColumn("near", F.hypot(F.col("x") - F.col("ox"), F.col("y") - F.col("oy")) <= merge_m)
     at = materialize(at)
     taken = at.where("near").select(F.col("old_id").alias("source"), F.col("vertex_id").alias("target"))
@@ -226,19 +295,105 @@ def apply_candidates(nodes: DataFrame, segments: DataFrame, candidates: DataFram
         label = graph.components(pairs, "from_id", "to_id").where("vertex_id <> component").select(F.col("vertex_id").alias("source"), F.col("component").alias("target"))
         redirects = label.join(taken.select("source"), "source", "left_anti").unionByName(taken)
     links = ok.where("kind = 'ENDPOINT_TO_ENDPOINT'").select("from_id", "to_id").unionByName(at.where("not near").select(F.col("old_id").alias("from_id"), F.col("vertex_id").alias("to_id")))
-    return rebuild(nodes, segments, redirects, materialize(named.select("edge_id", "m", "vertex_id", "x", "y").distinct()), links)
+    return redirects, materialize(named.select("edge_id", "m", "vertex_id", "x", "y").distinct()), links
+
+
+def apply_candidates(nodes: DataFrame, segments: DataFrame, candidates: DataFrame, **accept: float | bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Nodes, segments and a log after accepted candidates: merges, cuts (a node within merge_m of its cut becomes the new node, else gets a connector) and connectors."""
+    return rebuild(nodes, segments, *accepted(nodes, segments, candidates, **accept))
+
+
+def rejoined(nodes: DataFrame, segments: DataFrame, redirects: DataFrame, cuts: DataFrame, connectors: DataFrame, whole: bool, drop_m: float = 0.3, kind: str = "SIDE_LINE") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Nodes and segments as rebuild gives them, the usable ones of these, and edge_id of all that went, came or changed.
+
+    A graph that was rebuilt holds nothing that a second pass would change by itself. So unless whole
+    is asked for, segments that are cut or end at a redirected node are taken out, and what becomes of
+    them is compared by ends and type with the rest.
+    """
+    final = materialize(graph.resolve_redirects(redirects, "source", "target"))
+    top = segments.agg(F.coalesce(F.max("edge_id"), F.lit(0)).alias("top_"))
+    pair = [F.least("from_node_id", "to_node_id").alias("p_"), F.greatest("from_node_id", "to_node_id").alias("q_")]
+    touched = segments
+    if not whole:
+        at = lambda end: segments.select("edge_id", end).join(final.select(F.col("source").alias(end)), end, "left_semi").select("edge_id")
+        hit = materialize(at("from_node_id").unionByName(at("to_node_id")).unionByName(cuts.select("edge_id")).distinct())
+        touched = materialize(segments.join(hit, "edge_id", "left_semi"))
+    out = materialize(reshaped(nodes, touched, final, cuts, connectors, top, kind))
+    came = out.where((F.col("from_node_id") != F.col("to_node_id")) & (F.col("len_") >= drop_m)).drop("len_").select("*", *pair)
+    came = materialize(fuse.first_per_key(came, ["p_", "q_", "segment_type"], "edge_id"))
+    if whole:
+        kept = materialize(came.select(segments.columns))
+        altered = segments.select("edge_id").join(came.where("same_").select("edge_id"), "edge_id", "left_anti").unionByName(came.where("not same_").select("edge_id"))
+    else:
+        rest = segments.select("edge_id", "segment_type", *pair).join(hit, "edge_id", "left_anti")
+        rival = rest.join(came.select("p_", "q_", F.col("segment_type").alias("type_"), F.col("edge_id").alias("new_")), ["p_", "q_"]).where(F.col("segment_type").eqNullSafe(F.col("type_")))
+        rival = materialize(rival.select("edge_id", "new_"))
+        came = came.join(rival.where("edge_id < new_").select(F.col("new_").alias("edge_id")), "edge_id", "left_anti")
+        went = materialize(hit.unionByName(rival.where("edge_id > new_").select("edge_id")))
+        came = materialize(came.select(segments.columns))
+        kept = materialize(segments.join(went, "edge_id", "left_anti").select(segments.columns).unionByName(came))
+        altered = went.unionByName(came.select("edge_id"))
+    nodes = materialize(_referenced(nodes.unionByName(cuts.select("vertex_id", "x", "y").distinct(), allowMissingColumns=True), kept))
+    return nodes, kept, _with_known_ends(nodes, kept), materialize(altered.distinct())
+
+
+def _with_known_ends(nodes: DataFrame, segments: DataFrame) -> DataFrame:
+    """Usable segments of a rebuilt graph, which has neither loops nor lines without length."""
+    ends = segments.select(F.explode(F.array("from_node_id", "to_node_id")).alias("vertex_id"))
+    lost = materialize(ends.where("vertex_id is not null").distinct().join(nodes.select("vertex_id"), "vertex_id", "left_anti"))
+    s = segments.where("from_node_id is not null and to_node_id is not null").select("edge_id", "from_node_id", "to_node_id", "points")
+    if lost.isEmpty():
+        return s
+    for end in ("from_node_id", "to_node_id"):
+        s = s.join(lost.withColumnRenamed("vertex_id", end), end, "left_anti")
+    return materialize(s)
 
 
 def connect_until_settled(nodes: DataFrame, segments: DataFrame, rounds: int = 20, **limits: float) -> tuple[DataFrame, DataFrame, list[int], bool]:
-    """Candidates found and applied again and again: nodes, segments, candidates of each round, and whether the last round found none."""
-    counts = []
+    """Candidates found and applied again and again: nodes, segments, candidates of each round, and whether the last round found none.
+
+    An end of the greatest component is held against the insides of other components only, any other
+    end against all. What lies near an end is looked for once; after a round only for ends that are
+    new and near segments and nodes that are.
+    """
+    by = Limits(**limits)
+    counts: list[int] = []
+    s = usable(nodes, segments)
+    state: tuple | None = None
     for _ in range(rounds):
-        found = connectivity(nodes, segments, **limits).where("priority <> 'LOW' and colour <> 'red'")
+        label = materialize(graph.components(s, "from_node_id", "to_node_id"))
+        ends = loose_ends(nodes, s, label)
+        main = label.groupBy("component").agg(F.count("*").alias("n")).agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+        inside = F.col("component") == F.lit(main.first()["main"])  # one row
+        outer = materialize(ends.where(~inside))
+        other = materialize(s.join(label.where(~inside).select(F.col("vertex_id").alias("from_node_id")), "from_node_id", "left_semi"))
+        if state is None:
+            pairs, insides = close_nodes(ends, nodes, by.merge_m), close_insides(outer, s, by.split_m, by.end_m)
+        else:
+            ends0, outer0, pairs0, insides0, altered, placed = state
+            still = lambda now, before: materialize(now.join(before.select("vertex_id"), "vertex_id", "left_semi").join(placed.select("vertex_id"), "vertex_id", "left_anti"))
+            less = lambda now, kept: materialize(now.join(kept.select("vertex_id"), "vertex_id", "left_anti"))
+            kept = still(ends, ends0)
+            new = less(ends, kept)
+            b = nodes.select(F.col("vertex_id").alias("vertex_id_b")).join(placed.select(F.col("vertex_id").alias("vertex_id_b")), "vertex_id_b", "left_anti")
+            pairs = pairs0.join(kept.select(F.col("vertex_id").alias("vertex_id_a")), "vertex_id_a", "left_semi").join(b, "vertex_id_b", "left_semi")
+            pairs = pairs.unionByName(close_nodes(new, nodes, by.merge_m)).unionByName(close_nodes(kept, placed.join(nodes.select("vertex_id"), "vertex_id", "left_semi"), by.merge_m))
+            kept = still(outer, outer0)
+            new = less(outer, kept)
+            fresh = materialize(s.join(altered, "edge_id", "left_semi"))
+            insides = insides0.join(kept.select("vertex_id"), "vertex_id", "left_semi").join(altered, "edge_id", "left_anti")
+            for points, lines in ((new, s), (kept, fresh)):
+                if not points.isEmpty():
+                    insides = insides.unionByName(close_insides(points, lines, by.split_m, by.end_m))
+        pairs, insides = materialize(pairs), materialize(insides)
+        across = insides.unionByName(close_insides(ends.where(inside), other, by.split_m, by.end_m))
+        found = materialize(possible(ends, label, s, pairs, across, by, low=False).where("colour <> 'red'"))
         counts.append(found.count())
         if not counts[-1]:
             return nodes, segments, counts, True
-        nodes, segments, _log = apply_candidates(nodes, segments, found)
-        nodes = materialize(nodes)
+        redirects, cuts, links = accepted(nodes, segments, found)
+        nodes, segments, s, altered = rejoined(nodes, segments, redirects, cuts, links, whole=state is None)
+        state = ends, outer, pairs, insides, altered, materialize(cuts.select("vertex_id", "x", "y").distinct())
     return nodes, segments, counts, False
 
 
